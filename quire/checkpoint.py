@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,3 +28,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     _ensure_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checkpoint_and_release(df: DataFrame) -> DataFrame:
+    """``checkpoint`` for the only reader of what came before: the shuffle files behind it are given up at once, not when the driver happens to collect garbage.
+
+    They go once nothing refers to the plan that wrote them; pass an unnamed ``df``.
+    """
+    spark, written = df.sparkSession, checkpoint(df)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return written
