@@ -5,10 +5,35 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.checkpoint import checkpoint
-from quire.llm import packing, spans, tokens
+from quire.llm import encoding, lookalikes, packing, spans, tokens
 from quire.sources.tables import table
 
 
+def records(spark, sf_dir):
+    """``tab, document_id, page_number, text`` of all pages and contracts."""
+    pages = table(spark, sf_dir, "native_text_pages").select(F.lit("native_text_pages").alias("tab"), "document_id", "page_number", "text")
+    contracts = table(spark, sf_dir, "parsed_documents").select(
+        F.lit("parsed_documents").alias("tab"), "document_id", F.lit(0).alias("page_number"), F.col("text.content").alias("text")
+    )
+    return pages.unionByName(contracts)
+
+
+def p1_found(spark, sf_dir):
+    return encoding.found(records(spark, sf_dir))
+
+
+def p1_restored(spark, sf_dir):
+    return encoding.restored(records(spark, sf_dir))
+
+
+def p3_found(spark, sf_dir):
+    return lookalikes.alike_pairs(records(spark, sf_dir))
+
+
+def p3_forms(spark, sf_dir):
+    return lookalikes.normalized(records(spark, sf_dir)).select("tab", "document_id", "page_number", "form")
+
+
 def p6_ids(spark, sf_dir):
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -39,7 +64,7 @@ def p8_shares(spark, sf_dir):
     return spans.shares(documents, spans.shared_spans(documents))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_forms, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
 
 SQL = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
