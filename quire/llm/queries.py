@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.checkpoint import checkpoint
-from quire.llm import encoding, lookalikes, packing, spans, tokens
+from quire.llm import encoding, language, lookalikes, packing, spans, tokens
 from quire.sources.tables import table
 
 
@@ -34,6 +34,20 @@ def p3_forms(spark, sf_dir):
     return lookalikes.normalized(records(spark, sf_dir)).select("tab", "document_id", "page_number", "form")
 
 
+def _contracts(spark, sf_dir):
+    return table(spark, sf_dir, "parsed_documents").select("document_id", F.col("text.language").alias("label"), F.col("text.content").alias("text"))
+
+
+def p5_found(spark, sf_dir):
+    return language.found(_contracts(spark, sf_dir), table(spark, sf_dir, "language_samples"))
+
+
+def p5_languages(spark, sf_dir):
+    """Language and confidence of every contract (``para_no`` 0) and of every paragraph."""
+    rows = language.paragraphs(_contracts(spark, sf_dir), table(spark, sf_dir, "language_samples"))
+    return rows.select("document_id", "label", "para_no", "lang", "confidence")
+
+
 def p6_ids(spark, sf_dir):
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -64,7 +78,7 @@ def p8_shares(spark, sf_dir):
     return spans.shares(documents, spans.shared_spans(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_forms, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
 
 SQL = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
