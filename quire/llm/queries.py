@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.checkpoint import checkpoint
-from quire.llm import encoding, language, lookalikes, packing, spans, tokens
+from quire.llm import encoding, language, lookalikes, packing, scans, spans, tokens
+from quire.operators import nested
 from quire.sources.tables import table
 
 
@@ -26,6 +27,22 @@ def p1_restored(spark, sf_dir):
     return encoding.restored(records(spark, sf_dir))
 
 
+def _scanned(spark, sf_dir):
+    """``tab, document_id, page_number, part_no, label, text`` of all pages, contracts and blocks."""
+    texts = records(spark, sf_dir).select(
+        "tab", "document_id", "page_number", F.lit(0).alias("part_no"), F.lit(None).cast("string").alias("label"), "text"
+    )
+    blocks = nested.blocks(table(spark, sf_dir, "run_pages")).select(
+        F.lit("run_pages").alias("tab"), "document_id", "page_number", F.col("block_no").alias("part_no"), F.col("block_label").alias("label"), F.col("block_content").alias("text")
+    )
+    return texts.unionByName(blocks)
+
+
+def p2_found(spark, sf_dir):
+    publishers = [r[0] for r in table(spark, sf_dir, "sources").select("publisher").distinct().collect()]
+    return scans.found(_scanned(spark, sf_dir), publishers)
+
+
 def p3_found(spark, sf_dir):
     return lookalikes.alike_pairs(records(spark, sf_dir))
 
@@ -78,7 +95,7 @@ def p8_shares(spark, sf_dir):
     return spans.shares(documents, spans.shared_spans(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p3_found, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
 
 SQL = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
