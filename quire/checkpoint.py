@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,13 +31,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checkpoint_and_release(df: DataFrame) -> DataFrame:
-    """``checkpoint`` for the only reader of what came before: the shuffle files behind it are given up at once, not when the driver happens to collect garbage.
+def checkpoint_and_release(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """``checkpoint`` of what ``make`` returns, after which the shuffle files behind it are given up, not only when the driver happens to collect garbage.
 
-    They go once nothing refers to the plan that wrote them; pass an unnamed ``df``.
+    They go once nothing refers to the plan that wrote them, which is why the plan is made here.
     """
-    spark, written = df.sparkSession, checkpoint(df)
-    del df
+    written = checkpoint(make())
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return written
