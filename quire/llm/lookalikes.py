@@ -60,6 +60,8 @@ _FROM_LATIN = {script: {ord(b): chr(a) for a, b in reversed(m.items())} for scri
 _LOOKS = {b: frozenset(["Latin", *(s for s, m in _FROM_LATIN.items() if ord(b) in m)]) for b in set(_TO_LATIN.values())}
 _OTHER = re.compile("[Ͱ-ϿЀ-ԯἀ-῿]")
 _TOKEN = re.compile("[A-Za-zÀ-ÖØ-öø-ʯͰ-ϿЀ-ԯ̀-ͯḀ-῿]+")
+_SURE_CYRILLIC = re.compile("[бвгджзийклмнптфцчшщъыьэюяБГДЖЗИЙЛПФЦЧШЩЪЫЬЭЮЯ]")
+_LATIN_OR_GREEK = re.compile("[A-Za-zÀ-ÖØ-öø-ʯͰ-Ͽ̀-ͯḀ-῿]")
 _ALIKE = re.compile("[" + "".join(map(chr, _TO_LATIN)) + "]")
 
 
@@ -88,6 +90,8 @@ def unify_scripts(line: str) -> str:
         # Latin letters alone may still stand for another script's, as in a token of a line of that script
         if not _OTHER.search(line):
             return line
+    if _SURE_CYRILLIC.search(line) and not _LATIN_OR_GREEK.search(line):
+        return line  # every token is of this script, or takes it from its neighbours
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(line)]
     looks = [unicodedata.normalize("NFD", line[a:z]).translate(_TO_LATIN) for a, z in tokens]
     sets = [_resolve(x) for x in looks]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.checkpoint import checkpoint
-from quire.llm.lookalikes import one_form
+from quire.llm.lookalikes import FOLDS, one_form
 from quire.partitioning import spread
 
 WORD_SHARE, PAIR_SHARE, TRIPLE_SHARE, COMPOUND_SHARE = 1e-6, 4e-6, 2e-6, 1e-6
@@ -62,6 +62,10 @@ _HAN_BLANK = re.compile(f"(?<=[{_CJK}，。；：、（）0-9A-Z]) (?=[{_CJK}，
 # Marks at the end of a split line; the second kind is never written inside a word.
 SPLIT_MARKS, SURE_MARKS = "-‐‑⁃–¬­", "¬­"
 _DIGITS = re.compile("(?=.*[0-9])[0-9OSBlIZ]+")
+_MARKS = set(SPLIT_MARKS)
+#: Characters whose consistent form matters for reading words; wide signs of punctuation do not.
+_FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ\xa0")) + "\u0300-\u036f]|[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z]|\xa0")
+_MAY_BE_NUMBER = re.compile(r"[0-9][.,]?[OSBlIZ]|[OSBlIZ][.,]?[0-9]")
 _SPLIT = re.compile(f"([{_LETTERS}]+)[{SPLIT_MARKS}]\\s*$")
 _HEAD = re.compile(f"\\s*([{_LETTERS}]+)")
 _NUMBER = re.compile(r"(?<![\w.,/-])(?=[^\s]*[0-9])(?=[^\s%]*[OSBlIZ])[0-9OSBlIZ]+(?:[.,][0-9OSBlIZ]+)?(?=%|[.,;:)。，；]*(?:\s|$)|[぀-鿿])")
@@ -129,10 +133,11 @@ def count_grams(records: DataFrame) -> DataFrame:
         triples: Counter = Counter()
 
         def emit() -> Iterator[pa.RecordBatch]:
-            for kind, counts in (("w", words), ("p", pairs), ("h", compounds), ("t", triples)):
+            for kind, counts, between in (("w", words, None), ("p", pairs, " "), ("h", compounds, None), ("t", triples, "")):
                 if counts:
+                    grams = list(counts) if between is None else list(map(between.join, counts))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([kind] * len(counts)), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["kind", "gram", "n"]
+                        [pa.array([kind] * len(counts)), pa.array(grams, pa.string()), pa.array(list(counts.values()), pa.int64())], ["kind", "gram", "n"]
                     )
                     counts.clear()
 
@@ -140,14 +145,17 @@ def count_grams(records: DataFrame) -> DataFrame:
             for t in b.column(0).to_pylist():
                 if not t:
                     continue
-                found = _WORD.findall(t.lower())
+                low = t.lower()
+                found = _WORD.findall(low)
                 words.update(found)
-                pairs.update(map(" ".join, zip(found, found[1:])))
+                pairs.update(zip(found, found[1:]))
                 if "-" in t:
-                    compounds.update(_COMPOUND.findall(t.lower()))
-                if not t.isascii():
+                    for x in low.split():
+                        if "-" in x:
+                            compounds.update(_COMPOUND.findall(x))
+                if _HAN.search(t):
                     for r in _runs(t):
-                        triples.update(map("".join, zip(r, r[1:], r[2:])))
+                        triples.update(zip(r, r[1:], r[2:]))
             if len(words) + len(pairs) + len(triples) > 400_000:
                 yield from emit()
         yield from emit()
@@ -196,6 +204,8 @@ class Reader:
         self.confusions = made["confusions"]
         self.rarest = max(0.5, TRIPLE_SHARE * made["totals"].get("t", 0) / 2)
         self._candidates: dict[str, tuple[tuple[str, float], ...]] = {}
+        self._plain: set[str] = set()
+        self._confusable = re.compile("[" + "".join(map(re.escape, self.confusions)) + "]") if self.confusions else None
 
     def candidates(self, word: str) -> tuple[tuple[str, float], ...]:
         """Readings of a lower-case word with the bits of their confusions; the word itself first."""
@@ -204,7 +214,10 @@ class Reader:
             known = self._find(word)
             if len(self._candidates) > 300_000:
                 self._candidates.clear()
+                self._plain.clear()
             self._candidates[word] = known
+            if len(known) == 1:
+                self._plain.add(word)
         return known
 
     def _find(self, word: str) -> tuple[tuple[str, float], ...]:
@@ -297,7 +310,7 @@ class Reader:
     def read(self, text: str) -> tuple[list[str], set[int], set[int]]:
         """The lines with misread words and characters corrected, the numbers (from 0) of lines that end in a split word, and of misread ones."""
         raw = text.split("\n")
-        lines = [one_form(x) for x in raw]
+        lines = (one_form(text) if _FOLDED.search(text) else text).split("\n")
         split: set[int] = set()
         misread: set[int] = set()
         carried: tuple[str, str, str] | None = None  # first piece, mark, second piece of the word split before this line
@@ -305,18 +318,20 @@ class Reader:
             if not line:
                 continue
             ending = None
-            m = _SPLIT.search(raw[i]) if i + 1 < len(lines) else None
+            m = _SPLIT.search(raw[i]) if i + 1 < len(lines) and raw[i].rstrip(" \t")[-1:] in _MARKS else None
             if m:
                 head = _HEAD.match(lines[i + 1])
                 if head and self.joins(one_form(m[1]), raw[i].rstrip()[-1], head[1]):
                     ending = (one_form(m[1]), raw[i].rstrip()[-1], head[1])
                     split.add(i)
-            fixed, wrong = self._read_words(line, raw[i], carried, ending)
-            if wrong:
-                misread.add(i)
-                lines[i] = fixed
+            # most lines hold nothing but words that read as themselves
+            if carried or ending or _MAY_BE_NUMBER.search(line) or not self._plain.issuperset(_WORD.findall(line.lower())):
+                fixed, wrong = self._read_words(line, raw[i], carried, ending)
+                if wrong:
+                    misread.add(i)
+                    lines[i] = fixed
             carried = ending
-        if _HAN.search(text):
+        if self._confusable and self._confusable.search(text):
             self._read_characters(lines, misread)
         return lines, split, misread
 
@@ -449,8 +464,12 @@ def _reader(shared) -> Reader:
 HEADING_LABELS = ("paragraph_title", "figure_title", "table_title", "caption", "figure_caption", "table_caption")
 
 
+#: Lines of more characters are no furniture; headers are shorter still.
+LONGEST_FURNITURE, LONGEST_HEADER = 72, 44
+
+
 def _short(line: str) -> bool:
-    return 0 < len(line.strip()) <= 90
+    return 0 < len(line.strip()) <= LONGEST_FURNITURE
 
 
 def _cores(line: str) -> tuple[str | None, bool] | None:
@@ -472,9 +491,9 @@ def edge_lines(tab: str, label: str | None, text: str, page: int) -> Iterator[tu
         edge = set(filled[:2] + filled[-2:])
         first = filled[0] if filled else -1
         for i in filled:
-            if _short(lines[i]):
+            if _short(lines[i]) and (i in edge or len(lines[i]) <= LONGEST_HEADER):
                 c = _cores(lines[i]) if i in edge else (lines[i].strip(), False)
-                if c and (i in edge or not _SENTENCE_END.search(lines[i])):
+                if c and (i in edge or len(lines[i]) <= LONGEST_HEADER and not _SENTENCE_END.search(lines[i])):
                     role = "title" if page == 1 and i == first else "top" if i in filled[:2] else "line"
                     yield i + 1, _core_shape(c[0]), c[1], i in edge, role
     elif tab == "parsed_documents":

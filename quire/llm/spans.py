@@ -176,7 +176,7 @@ def shared_spans(documents: DataFrame, span: int = SPAN, gram: int = GRAM) -> Da
     """``doc_id, span_start, span_end``: the maximal runs of characters that lie in a stretch of at least ``span`` characters
     found verbatim in another record."""
     found = groups(documents, span, gram)
-    candidates = checkpoint_and_release(found.join(_in_several(found, "h"), "h", "left_semi"))
+    candidates = checkpoint_and_release(documents.sparkSession, lambda: found.join(_in_several(found, "h"), "h", "left_semi"))
     flagged = candidates.join(_in_several(candidates, "h", "whole"), ["h", "whole"], "left")
     entire = flagged.where("a IS NOT NULL").selectExpr("doc_id", "first", f"last + {span} AS end")
     # of a group that is shared as a whole, two records stand for all where others may share a part of it
