@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 # Character ranges and patterns that results depend on.
 CJK = r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
@@ -53,13 +54,13 @@ def line_count(text: Column) -> Column:
     return (F.regexp_count(text, F.lit(ends)) + open_ended).cast("bigint")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compact_text(texts: pd.Series) -> pd.Series:
     """The NFKC form without white space; Spark has no expression for it."""
     return texts.map(lambda t: None if t is None else "".join(unicodedata.normalize("NFKC", t).split()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def order_similarity(parsed: pd.Series, native: pd.Series) -> pd.Series:
     """The matching-blocks ratio of two texts, in this order, rounded to six places."""
     return pd.Series(
@@ -70,7 +71,7 @@ def order_similarity(parsed: pd.Series, native: pd.Series) -> pd.Series:
 def python_round(places: int):
     """Rounding to the nearest, by the exact binary value; neither of Spark's roundings gives it."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def rounded(values: pd.Series) -> pd.Series:
         return values.map(lambda x: x if pd.isna(x) else round(x, places)).astype("float64")
 
