@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,8 @@ def checkpoint_and_release(spark: SparkSession, make: Callable[[], DataFrame]) -
     They go once nothing refers to the plan that wrote them, which is why the plan is made here.
     """
     written = checkpoint(make())
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3):  # listeners may hold the plan a little longer
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
     return written
