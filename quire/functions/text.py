@@ -193,9 +193,9 @@ def output_name(identity: Column, with_parent: bool = False, longest: int = 48)
 def output_directory(identity: Column) -> Column:
     """The cleaned parent directories of a relative path and its output name."""
     parents = F.filter(
-        F.transform(F.split(F.regexp_extract(identity, r"^(.*)/[^/]*$", 1), "/"), path_component), lambda x: F.length(x) > 0
+        F.transform(F.split(F.regexp_extract(identity, r"^(.*)/[^/]*$", 1), "/"), lambda p: path_component(p)), lambda x: F.length(x) > 0
     )
-    return F.concat_ws("/", F.array_join(F.nullif(parents, F.array().cast("array<string>")), "/"), output_name(identity))
+    return F.array_join(F.concat(parents, F.array(output_name(identity))), "/")
 
 
 def markdown_images_relative(markdown: Column, folder: str = "artifacts") -> Column:

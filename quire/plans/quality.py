@@ -80,11 +80,12 @@ def failure_stages(spark, sf_dir):
 
 
 def table_measures(spark, sf_dir):
-    """Tables of contracts as their markdown text has them, by document: the cells of each table element's text."""
-    e = nested.elements(table(spark, sf_dir, "parsed_documents")).where("kind = 'table'").select("document_id", "element_id", "text").distinct()
-    rows = e.select("document_id", "element_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("row_no", "row"))
-    cells = rows.select("document_id", F.col("element_id").alias("artifact_id"), "row_no", F.explode(F.split("row", r"\|")).alias("cell"))
-    return quality.table_measures(cells, e.select("document_id", "element_id", F.col("element_id").alias("artifact_id")))
+    """Tables of contracts, which are the paragraphs of their content that begin with a bar."""
+    c = table(spark, sf_dir, "parsed_documents").select("document_id", F.posexplode(F.split("text.content", "\n\n")).alias("n", "text")).distinct().where("text LIKE '|%'")
+    e = c.select("document_id", F.concat(F.lit("table-"), F.col("n").cast("string")).alias("artifact_id"), "text")
+    rows = e.select("document_id", "artifact_id", F.posexplode(F.split("text", "\n")).alias("row_no", "row"))
+    cells = rows.where("row_no <> 1").select("document_id", "artifact_id", "row_no", F.explode(F.split("row", r"\|")).alias("cell"))
+    return quality.table_measures(cells, e.select("document_id", F.col("artifact_id").alias("element_id"), "artifact_id"))
 
 
 def source_pages(spark, sf_dir):
@@ -208,8 +209,8 @@ SELECT document_id, CASE WHEN NOT completed THEN 'PARSER_RUN_FAILED' WHEN NOT as
 """,
     "failure_stages": "SELECT run_id, list_sort(list_distinct(list_filter(list_transform(coalesce(errors, []), lambda e: e.stage), lambda s: length(s) > 0))) AS failure_stages FROM runs",
     "table_measures": """
-WITH e AS (SELECT DISTINCT document_id, e.element_id AS element_id, e.text AS text FROM (SELECT document_id, unnest(elements) AS e FROM parsed_documents) s WHERE e.kind = 'table'),
-c AS (SELECT document_id, element_id, unnest(string_split(row, '|')) AS cell FROM (SELECT document_id, element_id, unnest(string_split(coalesce(text, ''), chr(10))) AS row FROM e) r),
+WITH e AS (SELECT DISTINCT document_id, n AS element_id, t AS text FROM (SELECT document_id, unnest(string_split(text.content, chr(10) || chr(10))) AS t, unnest(range(0, len(string_split(text.content, chr(10) || chr(10))))) AS n FROM parsed_documents) s WHERE t LIKE '|%'),
+c AS (SELECT document_id, element_id, unnest(string_split(row, '|')) AS cell FROM (SELECT document_id, element_id, unnest(string_split(text, chr(10))) AS row, unnest(range(0, len(string_split(text, chr(10))))) AS row_no FROM e) r WHERE row_no <> 1),
 a AS (SELECT document_id, element_id, count(cell) AS cells, count(*) FILTER (WHERE trim(cell) <> '') AS filled FROM c GROUP BY ALL)
 SELECT document_id, count(DISTINCT element_id) AS tables, count(*) FILTER (WHERE filled = 0) AS empty_tables, count(*) FILTER (WHERE filled > 0 AND filled / cells < 0.5) AS sparse_tables FROM a GROUP BY document_id
 """,

@@ -27,7 +27,7 @@ def documents(spark: SparkSession, folder: str, recursive: bool = True) -> DataF
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
     """``path, byte_size, content_sha256`` of every file below a folder, paths relative to it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    base = F.lit(folder.rstrip("/").split(":", 1)[-1].lstrip("/") + "/")
+    base = folder.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
     return files.select(F.substring_index("path", base, -1).alias("path"), F.col("length").alias("byte_size"), F.sha2("content", 256).alias("content_sha256"))
 
 
