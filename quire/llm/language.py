@@ -114,6 +114,9 @@ class Model:
             rows[i, np.searchsorted(keys, s[np.isin(s, keys)])] = 1
         rows /= np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
         marks = rows[landmarks].astype(np.float64)
+        if not samples:
+            self.weights = np.ones((0, 1), np.float32)
+            return
         kernel = marks @ marks.T
         values, vectors = np.linalg.eigh(kernel + 1e-9 * np.eye(len(marks)))
         good = values > 1e-6
@@ -194,14 +197,14 @@ def languages_of(contents: list[str], model: Model, restorer: encoding.Restorer)
         rows = list(zip(scored[at : at + n], letters[at : at + n]))
         at += n
         weight = np.zeros(len(model.languages))
-        for (score, known), size in rows:
+        for (score, known), size in rows if model.languages else []:
             if known >= LEAST_KNOWN and known >= size * KNOWN_PER_LETTER:
                 weight[score.argmax()] += size
-        if not weight.any():  # only short paragraphs
+        if model.languages and not weight.any():  # only short paragraphs
             for (score, known), size in rows:
                 if known >= size * KNOWN_PER_LETTER and size > 1:
                     weight[score.argmax()] += size
-        if not weight.any():
+        if not model.languages or not weight.any():
             out.append([(None, 0.0)] * (n + 1))
             continue
         main = int(weight.argmax())
