@@ -38,9 +38,16 @@ def _scanned(spark, sf_dir):
     return texts.unionByName(blocks)
 
 
+def _publishers(spark, sf_dir):
+    return [r[0] for r in table(spark, sf_dir, "sources").select("publisher").distinct().collect()]  # a table of fixed size
+
+
 def p2_found(spark, sf_dir):
-    publishers = [r[0] for r in table(spark, sf_dir, "sources").select("publisher").distinct().collect()]
-    return scans.found(_scanned(spark, sf_dir), publishers)
+    return scans.found(_scanned(spark, sf_dir), _publishers(spark, sf_dir))
+
+
+def p2_repaired(spark, sf_dir):
+    return scans.repaired(_scanned(spark, sf_dir), _publishers(spark, sf_dir))
 
 
 def p3_found(spark, sf_dir):
@@ -95,7 +102,7 @@ def p8_shares(spark, sf_dir):
     return spans.shares(documents, spans.shared_spans(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p3_found, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repaired, p3_found, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
 
 SQL = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",

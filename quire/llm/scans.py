@@ -82,9 +82,14 @@ _ROMAN = re.compile(r"m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3
 _SENTENCE_END = re.compile(r"[.。!?;；:：,，、)）]\s*$")
 
 
+def _close(text: str) -> str:
+    """Unspaced script without the blanks set between its characters; other text as it is."""
+    return _HAN_BLANK.sub("", text) if _HAN.search(text) else text
+
+
 def is_page_number(text: str) -> bool:
     """Whether the text has the form of a page number."""
-    t = _HAN_BLANK.sub("", one_form(text).strip())
+    t = _close(one_form(text).strip())
     if not t or len(t) > 30 or not _PAGE.fullmatch(t):
         return False
     words = re.sub(r"[\W\d_]+", " ", t).split()
@@ -103,7 +108,7 @@ _SHAPES = str.maketrans("ec il1!|oa0s5tf7g9qb68", "cc" + "_" + "lllll" + "ooo" +
 
 def skeleton(text: str) -> str:
     """What is left of a line when confusable shapes are taken as one."""
-    t = _HAN_BLANK.sub("", one_form(text)).strip().lower()
+    t = _close(one_form(text)).strip().lower()
     for pattern, by in _SKELETON:
         t = pattern.sub(by, t)
     return re.sub(r"[\s_]+", "_", t.translate(_SHAPES))
@@ -423,11 +428,39 @@ class Reader:
             lines[i] = "".join(by.get(j, c) for j, c in enumerate(lines[i]))
             misread.add(i)
 
+    def repair(self, text: str, furniture: set[int]) -> str:
+        """The text without furniture lines (numbers from 1), corrected, with split words whole and lines joined into paragraphs."""
+        lines, split, _ = self.read(text)
+        widest = max(map(len, lines), default=0)
+        out: list[str] = []
+        open_line = join_word = False  # whether the last line goes on, and whether in the middle of a word
+        for i, line in enumerate(lines):
+            if i + 1 in furniture:
+                continue  # a paragraph goes on below furniture
+            line = line.strip()
+            if not line:
+                out.append("")
+                open_line = join_word = False
+                continue
+            if open_line and out and out[-1] and not _OWN_LINE.match(line):
+                before = out[-1]
+                close = join_word or _HAN.match(before[-1]) and _HAN.match(line[0]) or before[-1] in "，、；。,;" and _HAN.match(line[0]) or before[-1] in "-‐‑" and line[0].isalpha()
+                out[-1] = (before[:-1] if join_word else before) + ("" if close else " ") + line
+            else:
+                out.append(line)
+            join_word = i in split
+            open_line = not _OWN_LINE.match(line) and (join_word or len(line) >= 0.6 * widest)
+        return re.sub(r"\n{3,}", "\n\n", "\n".join(out)).strip("\n")
+
 
 #: Signs that the consistent form narrows, as the counts have them.
 _WIDE = {",": "，", ";": "；"}
 
 
+# Openings of lines that stand by themselves.
+_OWN_LINE = re.compile(r"[#|!•*]|- |[0-9]+(?:\.[0-9]+)* \S|(?:Table|Figure|Tabelle|Abbildung|Tableau|Tabla|Figura|Tabela|Tabella|Таблица|Рисунок|表|图|図) ?[0-9]")
+
+
 def _digits(m: re.Match) -> str:
     return m.group().translate(str.maketrans("OSBlIZ", "058112"))
 
@@ -604,3 +637,20 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
     furniture = again.unionByName(plain).distinct()
     rest = lines.where("kind <> 'edge'").select(*keys, "kind").join(furniture, keys, "left_anti")
     return furniture.withColumn("kind", F.lit("furniture")).unionByName(rest)
+
+
+def repaired(records: DataFrame, publishers: list[str]) -> DataFrame:
+    """``tab, document_id, page_number, part_no, text``: each text repaired into continuous paragraphs, without furniture."""
+    made = tables(records)
+    keys = ["tab", "document_id", "page_number", "part_no"]
+    dropped = found(records, publishers).where("kind = 'furniture'").groupBy(*keys).agg(F.collect_list("line_no").alias("dropped"))
+    shared = records.sparkSession.sparkContext.broadcast(made)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = _reader(shared)
+        for b in batches:
+            texts = [None if t is None else r.repair(t, set(d or ())) for t, d in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(texts, pa.string())], [*keys, "text"])
+
+    rows = records.select(*keys, "text").distinct().join(dropped, keys, "left").select(*keys, "text", "dropped")
+    return rows.mapInArrow(run, "tab STRING, document_id STRING, page_number INT, part_no INT, text STRING")
