@@ -516,9 +516,11 @@ def _cores(line: str) -> tuple[str | None, bool] | None:
     return (rest[0], len(rest) < len(parts)) if len(rest) == 1 else None
 
 
-def edge_lines(tab: str, label: str | None, text: str, page: int) -> Iterator[tuple[int, str | None, bool, bool, str]]:
+_DASHED = re.compile(r"- [0-9OlIS]+ -(?:\s|$)|\| ?[0-9OlIS]+(?:\s{2,}|$)")
+
+
+def edge_lines(tab: str, label: str | None, lines: list[str], page: int) -> Iterator[tuple[int, str | None, bool, bool, str]]:
     """Lines that may be furniture: number from 1, skeleton of the core, whether a page number is on the line, whether at the page's edge, and a role."""
-    lines = text.split("\n")
     if tab == "native_text_pages":
         filled = [i for i, x in enumerate(lines) if x.strip()]
         edge = set(filled[:2] + filled[-2:])
@@ -537,7 +539,7 @@ def edge_lines(tab: str, label: str | None, text: str, page: int) -> Iterator[tu
             if x.startswith("# ") and not titled:
                 titled = True
                 yield i + 1, _core_shape(x[2:]), False, False, "title"
-            elif not x.startswith(("#", "|", "!", "- ", "* ", "• ")):
+            elif not x.startswith(("#", "|", "!", "- ", "* ", "• ")) or _DASHED.match(x):
                 c = _cores(x)
                 if c:
                     yield i + 1, _core_shape(c[0]), c[1], True, "line"
@@ -583,10 +585,10 @@ def lines_of(records: DataFrame, made: dict) -> DataFrame:
             for tab, doc, page, part, label, text in zip(*(c.to_pylist() for c in b.columns)):
                 if not text:
                     continue
-                _, split, misread = r.read(text)
+                lines, split, misread = r.read(text)
                 out += [(tab, doc, page, part, i + 1, "hyphen", None, None, None, None) for i in split]
                 out += [(tab, doc, page, part, i + 1, "misread", None, None, None, None) for i in misread]
-                out += [(tab, doc, page, part, i, "edge", s, n, e, role) for i, s, n, e, role in edge_lines(tab, label, text, page)]
+                out += [(tab, doc, page, part, i, "edge", s, n, e, role) for i, s, n, e, role in edge_lines(tab, label, lines, page)]
             columns = list(zip(*out)) if out else [[]] * 10
             types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [x.split()[0] for x in LINES.split(", ")])
