@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.checkpoint import checkpoint
 from quire.llm.lookalikes import FOLDS, one_form
 from quire.partitioning import spread
 
@@ -142,6 +143,7 @@ def costs_of(counts: dict[str, int], total: int) -> dict[str, float]:
 
 def unit_costs(counts: DataFrame) -> dict[str, float]:
     """Bits of each unit with a share of ``MIN_SHARE`` or more: at most ``1 / MIN_SHARE`` units."""
+    counts = checkpoint(counts)  # read twice
     total = counts.agg(F.sum("n")).collect()[0][0] or 0
     least = max(2, MIN_SHARE * total)
     return costs_of({r["unit"]: r["n"] for r in counts.where(F.col("n") >= least).collect()}, total)

@@ -64,7 +64,19 @@ SPLIT_MARKS, SURE_MARKS = "-‐‑⁃–¬­", "¬­"
 _DIGITS = re.compile("(?=.*[0-9])[0-9OSBlIZ]+")
 _MARKS = set(SPLIT_MARKS)
 #: Characters whose consistent form matters for reading words; wide signs of punctuation do not.
-_FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ\xa0")) + "\u0300-\u036f]|[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z]|\xa0")
+_FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ")) + "\u0300-\u036f]")
+_OTHER = re.compile("[Ͱ-ԯ]")
+_MIXED = re.compile("[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z]")
+_SPLIT_END = re.compile(f"[{SPLIT_MARKS}][ \\t\\r]*(?:\\n|$)")
+
+
+def _folded(text: str) -> str:
+    """The text in its consistent form, as far as that matters for reading words."""
+    if text.isascii() or not (_FOLDED.search(text) or _OTHER.search(text) and _MIXED.search(text)):
+        return text
+    return one_form(text)
+
+
 _MAY_BE_NUMBER = re.compile(r"[0-9][.,]?[OSBlIZ]|[OSBlIZ][.,]?[0-9]")
 _SPLIT = re.compile(f"([{_LETTERS}]+)[{SPLIT_MARKS}]\\s*$")
 _HEAD = re.compile(f"\\s*([{_LETTERS}]+)")
@@ -88,8 +100,10 @@ def _close(text: str) -> str:
 
 
 def is_page_number(text: str) -> bool:
-    """Whether the text has the form of a page number."""
-    t = _close(one_form(text).strip())
+    """Whether the text, in its consistent form, has the form of a page number."""
+    if len(text) > 60:
+        return False
+    t = _close(text.strip())
     if not t or len(t) > 30 or not _PAGE.fullmatch(t):
         return False
     words = re.sub(r"[\W\d_]+", " ", t).split()
@@ -107,8 +121,8 @@ _SHAPES = str.maketrans("ec il1!|oa0s5tf7g9qb68", "cc" + "_" + "lllll" + "ooo" +
 
 
 def skeleton(text: str) -> str:
-    """What is left of a line when confusable shapes are taken as one."""
-    t = _close(one_form(text)).strip().lower()
+    """What is left of a line in its consistent form when confusable shapes are taken as one."""
+    t = _close(text).strip().lower()
     for pattern, by in _SKELETON:
         t = pattern.sub(by, t)
     return re.sub(r"[\s_]+", "_", t.translate(_SHAPES))
@@ -286,7 +300,8 @@ class Reader:
     def joins(self, first: str, mark: str, second: str) -> bool:
         """Whether two pieces at a line break are one word that was split there."""
         if mark in SURE_MARKS:
-            return True
+            whole = first + second
+            return whole.isupper() or whole[1:].islower()  # else damage of another kind
         a, b = first.lower(), second.lower()
         joined, hyphened = self.words.get(a + b, 0), self._compound(a, b)
         if joined or hyphened:
@@ -315,11 +330,14 @@ class Reader:
     def read(self, text: str) -> tuple[list[str], set[int], set[int]]:
         """The lines with misread words and characters corrected, the numbers (from 0) of lines that end in a split word, and of misread ones."""
         raw = text.split("\n")
-        lines = (one_form(text) if _FOLDED.search(text) else text).split("\n")
+        folded = _folded(text)
+        lines = folded.split("\n")
         split: set[int] = set()
         misread: set[int] = set()
         carried: tuple[str, str, str] | None = None  # first piece, mark, second piece of the word split before this line
-        for i, line in enumerate(lines):
+        # most texts hold nothing but words that read as themselves
+        plain = not _MAY_BE_NUMBER.search(folded) and not _SPLIT_END.search(text) and self._plain.issuperset(_WORD.findall(folded.lower()))
+        for i, line in enumerate(() if plain else lines):
             if not line:
                 continue
             ending = None
@@ -329,7 +347,6 @@ class Reader:
                 if head and self.joins(one_form(m[1]), raw[i].rstrip()[-1], head[1]):
                     ending = (one_form(m[1]), raw[i].rstrip()[-1], head[1])
                     split.add(i)
-            # most lines hold nothing but words that read as themselves
             if carried or ending or _MAY_BE_NUMBER.search(line) or not self._plain.issuperset(_WORD.findall(line.lower())):
                 fixed, wrong = self._read_words(line, raw[i], carried, ending)
                 if wrong:
@@ -385,24 +402,23 @@ class Reader:
     def _read_characters(self, lines: list[str], misread: set[int]) -> None:
         """Corrects confused characters of unspaced script in ``lines``, with contexts that reach over line breaks."""
         triples, confused, rarest = self.triples, self.confusions, self.rarest
-        # one stretch of characters with their places; digits and capitals are one class
+        # stretches of characters with their places, from lines that hold a confusable one and their neighbours; digits and capitals are one class
+        near = {j for i, line in enumerate(lines) if self._confusable.search(line) for j in (i - 1, i, i + 1)}
         chars: list[str] = []
         places: list[tuple[int, int]] = []
-        for i, line in enumerate(lines):
-            if not line:
+        for i in sorted(near & set(range(len(lines)))):
+            line = lines[i]
+            if not line or "�" in line or i - 1 not in near:  # a paragraph's end, damage of another kind, or another stretch
                 chars.append("\n")
                 places.append((i, -1))
-                continue
-            if "�" in line:  # damage of another kind
-                chars.append("\n")
-                places.append((i, -1))
-                continue
+                if not line or "�" in line:
+                    continue
             for j, c in enumerate(line):
                 if c == " ":
                     continue
                 if c.isascii() and (c.isdigit() or c.isupper()):
                     c = "0"
-                    if chars and chars[-1] == "0":
+                    if chars[-1:] == ["0"]:
                         continue
                 chars.append(_WIDE.get(c, c))
                 places.append((i, j))
@@ -472,7 +488,8 @@ _BESIDE = set("’‘“”„«»‹›–—…•·°²³±µ‐‑。，、
 def _plain(line: str, m: re.Match) -> bool:
     """Whether a word stands beside ordinary signs only; others are damage of another kind."""
     a, z = line[m.start() - 1 : m.start()], line[m.end() : m.end() + 1]
-    return all(not c or c.isascii() or c in _BESIDE or c.isspace() or bool(_HAN.match(c)) for c in (a, z)) and a not in ("²", "³", "º")
+    return all(not c or c.isascii() or c in _BESIDE or c.isspace() or bool(_HAN.match(c)) for c in (a, z)) and not (
+        a in ("²", "³", "°", "±", "µ", "º", "¡", "¿") and line[m.start() - 2 : m.start() - 1].isalpha())
 
 
 def _is_code(line: str, m: re.Match) -> bool:
@@ -505,11 +522,16 @@ def _short(line: str) -> bool:
     return 0 < len(line.strip()) <= LONGEST_FURNITURE
 
 
+_COLUMNS = re.compile(r"\s{2,}|\t")
+
+
 def _cores(line: str) -> tuple[str | None, bool] | None:
     """The part of a line that is no page number, and whether another part is one; None if several parts are none."""
-    parts = [p for p in re.split(r"\s{2,}|\t", line.strip()) if p]
     if is_page_number(line):
         return None, True
+    parts = [p for p in _COLUMNS.split(line.strip()) if p]
+    if len(parts) == 1:
+        return parts[0], False
     rest = [p for p in parts if not is_page_number(p)]
     if not rest:
         return None, True
@@ -619,7 +641,7 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
     )
     headings = edges.where("role = 'heading' AND shape IS NOT NULL").groupBy("shape").agg(F.countDistinct("document_id").alias("d")).where("d > 1").select("shape")
     repeated = repeated.join(headings, "shape", "left_anti")
-    names = sorted({_core_shape(p) for p in publishers if p and p.strip()})
+    names = sorted({_core_shape(one_form(p)) for p in publishers if p and p.strip()})
     known = F.col("shape").isin(names) if names else F.lit(False)
 
     titles = edges.where("role = 'title' AND shape IS NOT NULL").select("document_id", "shape").distinct().withColumn("is_title", F.lit(True))
