@@ -208,3 +208,13 @@ def replace_by_map(text: Column, replacements: Column) -> Column:
     return F.aggregate(
         replacements, text, lambda t, r: F.when(F.length(r["old"]) > 0, F.replace(t, r["old"], r["new"])).otherwise(t)
     )
+
+
+def utc_text(time: Column) -> Column:
+    """A timestamp as text in UTC, in seconds, with ``Z``; the session must be in UTC."""
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def elapsed_ms(start: Column, end: Column) -> Column:
+    """Milliseconds between two texts of a time, with ``Z`` or an offset."""
+    return F.unix_millis(F.try_to_timestamp(end)) - F.unix_millis(F.try_to_timestamp(start))

@@ -101,6 +101,14 @@ def zipped_lines(texts: Column, scores: Column, boxes: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get(texts, i).alias("text"), F.get(scores, i).alias("score"), F.get(boxes, i).alias("bbox")))
 
 
+def normalized_blocks(blocks: DataFrame) -> DataFrame:
+    """Blocks whose id is their place unless it is a whole number, and whose order is their place; the parser's order is kept beside it."""
+    whole = F.col("block_id").rlike("^-?[0-9]+$")
+    return blocks.withColumns({
+        "parser_block_order": F.col("block_order"), "block_id": F.when(whole, F.col("block_id")).otherwise((F.col("block_no") - 1).cast("string")), "block_order": (F.col("block_no") - 1).cast("bigint"),
+    })
+
+
 def page_texts(blocks: DataFrame, document: str = "run_id") -> DataFrame:
     """The filled contents of each page in order, parted by blank lines."""
     kept = blocks.where("block_content <> ''")

@@ -86,6 +86,19 @@ def set_difference(expected: DataFrame, actual: DataFrame, keys: list[str], comp
     )
 
 
+# Suffixes of artifact files.
+IMAGE_SUFFIXES, TABLE_SUFFIXES = (".png", ".jpg", ".jpeg", ".webp"), (".csv",)
+
+
+def binding_problems(bindings: DataFrame) -> DataFrame:
+    """Bindings (``run_id, page_number, collection, block_id, artifact_path``) with ``problem``: a block bound twice, a path used twice, or a wrong suffix; null if sound."""
+    block = Window.partitionBy("run_id", "page_number", "block_id")
+    path = Window.partitionBy("run_id", "artifact_path")
+    suffix = F.lower(F.regexp_extract("artifact_path", r"(\.[^./]+)$", 1))
+    fits = F.when(F.col("collection") == "tables", suffix.isin(*TABLE_SUFFIXES)).otherwise(suffix.isin(*IMAGE_SUFFIXES))
+    return bindings.withColumn("problem", F.when(F.count("*").over(block) > 1, "duplicate_binding").when(F.count("*").over(path) > 1, "destination_conflict").when(~F.coalesce(fits, F.lit(False)), "suffix"))
+
+
 def latest(rows: DataFrame, *keys: str, by: str) -> DataFrame:
     """One row per key: the one with the greatest ``by``; of equal ones the least row by its other columns."""
     order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(by), F.xxhash64(*[c for c in rows.columns if c not in keys and c != by]))

@@ -65,3 +65,15 @@ def first_errors(errors: DataFrame, document: str, shown: int = 10) -> DataFrame
     order = Window.partitionBy(document).orderBy("error_no")
     numbered = errors.withColumn("nth", F.row_number().over(order)).withColumn("total", F.count("*").over(Window.partitionBy(document)))
     return numbered.where(F.col("nth") <= shown).withColumn("more", F.greatest(F.col("total") - shown, F.lit(0)).cast("bigint")).drop("nth", "total")
+
+
+def artifact_ids(files: DataFrame, document: str = "document_id") -> DataFrame:
+    """``files`` (with ``collection, path``) with ids ``table-0``, ``image-0`` and so on, by file name within a document."""
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.withColumn("artifact_id", F.concat(F.col("collection"), F.lit("-"), (F.row_number().over(Window.partitionBy(document, "collection").orderBy(name, "path")) - 1).cast("string")))
+
+
+def page_artifact_ids(bindings: DataFrame, run: str = "run_id") -> DataFrame:
+    """Bindings with ids counted over the pages of a run, tables and images apart, each page's in their order (``place``)."""
+    order = Window.partitionBy(run, "collection").orderBy("page_number", "place", "artifact_path")
+    return bindings.withColumn("artifact_id", F.concat(F.regexp_replace("collection", "s$", ""), F.lit("-"), (F.row_number().over(order) - 1).cast("string")))

@@ -165,3 +165,9 @@ def route(primary: DataFrame, fallback: DataFrame) -> DataFrame:
         "document_id", F.when(first, "selected_primary").when(second, "selected_fallback").otherwise("degraded").alias("outcome"),
         F.when(first, "primary").when(second, "fallback").alias("selected"),
     )
+
+
+def routing_payload(routed: DataFrame, root: str = "") -> DataFrame:
+    """``routed`` (``document_id, outcome, selected``) with the selected contract's path inside its package, null where nothing is selected."""
+    path = F.concat(F.lit(root), F.col("document_id"), F.lit("/"), F.col("selected"), F.lit("/parsed-document.json"))
+    return routed.withColumn("payload", F.struct(F.lit(2).alias("routing_version"), F.col("outcome"), F.col("selected"), F.when(F.col("selected").isNotNull(), path).alias("contract_path")))

@@ -121,6 +121,39 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     return pages.withColumn("action", F.when(~bad, "keep").when(F.col("status") == "partial", "drop").otherwise("error"))
 
 
+def page_payloads(pages: DataFrame, run: str = "run_id") -> DataFrame:
+    """``run_id, pages, violations``: whether the page records of a run fit their pages.
+
+    ``pages`` are ``run_id, page_number, width, height, page`` (a parsed record, null if unreadable): each record's index is its page number less one, sizes
+    are equal, and the page count is the same throughout, at least 1, and no less than the number of pages and the highest page number.
+    """
+    c = F.col
+    readable = c("page").isNotNull()
+    rows = pages.select(run, "page_number", "page", readable.alias("readable"), ((c("page.page_index") + 1) == c("page_number")).alias("index_ok"),
+                        (c("page.width").eqNullSafe(c("width")) & c("page.height").eqNullSafe(c("height"))).alias("size_ok"), c("page.page_count").alias("page_count"))
+    grouped = rows.groupBy(run).agg(
+        F.count("*").alias("pages"), F.min("readable").alias("readable"), F.min(F.coalesce("index_ok", ~c("readable"))).alias("index_ok"), F.min(F.coalesce(c("size_ok"), F.lit(True)) | ~c("readable")).alias("size_ok"),
+        F.countDistinct("page_number").alias("numbers"), F.max("page_number").alias("highest"), F.min("page_count").alias("least"), F.max("page_count").alias("most"),
+    )
+    rules = [
+        ("unreadable_page", c("readable")), ("page_index", c("index_ok")), ("page_size", c("size_ok")), ("duplicate_page", c("numbers") == c("pages")), ("page_count_varies", c("least") == c("most")),
+        ("page_count_too_low", (c("most") >= 1) & (c("most") >= c("numbers")) & (c("most") >= c("highest"))),
+    ]
+    return grouped.select(run, "pages", violations(rules).alias("violations"))
+
+
+def full_request(status: Column, write_json: Column, write_tables: Column, export_images: Column) -> Column:
+    """Whether a run asked for all outputs, which a failed one need not."""
+    return (status == "failed") | F.coalesce(write_json & write_tables & export_images, F.lit(False))
+
+
+def identity(rows: DataFrame) -> DataFrame:
+    """``rows`` (``document_id, source_ref, language``) with ``violations`` of the names a contract is made for."""
+    c = F.col
+    rules = [("document_id", c("document_id").rlike(T.IDENTIFIER)), ("source_ref", c("source_ref").rlike(T.IDENTIFIER)), ("language", F.length(F.trim("language")) >= 2)]
+    return rows.withColumn("violations", violations(rules))
+
+
 class ViolationError(ValueError):
     """A strict check found a violation."""
 

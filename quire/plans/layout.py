@@ -153,9 +153,53 @@ def element_ids(spark, sf_dir):
     return _blocks(spark, sf_dir).select("run_id", "page_number", "block_no", T.block_element_id(F.col("page_number"), F.col("block_id"), F.col("block_order")).alias("element_id"))
 
 
+def _bindings(spark, sf_dir):
+    pages = table(spark, sf_dir, "run_pages").dropDuplicates(["run_id", "page_number"])
+    one = lambda c: pages.select("run_id", "page_number", F.lit(c).alias("collection"), F.posexplode(c).alias("place", "a"))
+    return one("images").unionByName(one("tables")).select("run_id", "page_number", "collection", "place", F.col("a.block_id").alias("block_id"), F.col("a.artifact_path").alias("artifact_path"))
+
+
+def binding_problems(spark, sf_dir):
+    """Bindings with some paths in capitals, some without a known suffix, and one page's bindings given twice."""
+    b = _bindings(spark, sf_dir)
+    b = b.withColumn("artifact_path", F.when(F.col("page_number") % 5 == 0, F.replace("artifact_path", F.lit(".png"), F.lit(".gif"))).when(F.col("page_number") % 3 == 0, F.upper("artifact_path")).otherwise(F.col("artifact_path")))
+    return links.binding_problems(b.unionByName(b.where("page_number = 2").withColumn("artifact_path", F.concat(F.lit("x/"), "artifact_path"))))
+
+
+def page_artifact_ids(spark, sf_dir):
+    return order.page_artifact_ids(_bindings(spark, sf_dir)).select("run_id", "page_number", "collection", "block_id", "artifact_id")
+
+
+def artifact_ids(spark, sf_dir):
+    a = nested.artifacts(table(spark, sf_dir, "parsed_documents")).where("kind IN ('image', 'table_csv')").select("document_id", F.expr("IF(kind = 'image', 'image', 'table')").alias("collection"), "path").distinct()
+    return order.artifact_ids(a)
+
+
+def normalized_blocks(spark, sf_dir):
+    return contract.normalized_blocks(_blocks(spark, sf_dir)).select("run_id", "page_number", "block_no", "block_id", "block_order", "parser_block_order")
+
+
+def provenance_boxes(spark, sf_dir):
+    """Boxes of elements under the rule for their pages' sizes."""
+    d = table(spark, sf_dir, "parsed_documents").dropDuplicates(["document_id"])
+    pages = d.select("document_id", F.explode("pages").alias("p")).select("document_id", F.col("p.page_number").alias("page_number"), F.col("p.width").alias("width"), F.col("p.height").alias("height"))
+    b = nested.provenance(d).withColumnsRenamed({"x0": "l", "y0": "b", "x1": "r", "y1": "t"}).join(pages, ["document_id", "page_number"], "left")
+    # a tenth of the boxes reach over the page's edge, and some have no height
+    b = b.withColumn("r", F.expr("IF(provenance_no = 1 AND length(element_id) % 2 = 0, width + 0.25, r)")).withColumn("t", F.expr("IF(page_number % 4 = 0, b, t)"))
+    box = G.page_box(F.col("l"), F.col("t"), F.col("r"), F.col("b"), F.col("width"), F.col("height"))
+    return b.select("document_id", "element_id", "provenance_no", "page_number", *[v.alias(k) for k, v in box.items()])
+
+
+def box_counters(spark, sf_dir):
+    """How many boxes of each document were clamped, grown and rejected."""
+    n = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("bigint"))
+    return provenance_boxes(spark, sf_dir).groupBy("document_id").agg(n(F.col("clamped")).alias("clamped"), n(F.col("expanded")).alias("expanded"), n(F.col("problem").isNotNull()).alias("rejected"))
+
+
 QUERIES = {f.__name__: f for f in (
     reading_order_blocks, reading_order_tree, item_ordinals, artifact_binding, caption_join, missing_references, iou_match, bbox_normalize, bbox_expand, block_boxes, bbox_scale_1000, polygon_box, union_box,
-    label_extract, label_bbox, page_text_concat, kind_map, element_ids)}
+    label_extract, label_bbox, page_text_concat, kind_map, element_ids, binding_problems, page_artifact_ids, artifact_ids, normalized_blocks,
+    provenance_boxes, box_counters)}
 
 _BLOCKS = """(SELECT run_id, document_id, page_number, width, height, CAST(i + 1 AS INTEGER) AS block_no, b->>'$.block_id' AS block_id, b->>'$.block_label' AS block_label, b->>'$.block_content' AS block_content,
     CAST(b->>'$.block_order' AS BIGINT) AS block_order, CAST(b->'$.block_bbox' AS DOUBLE[]) AS bb
@@ -189,6 +233,21 @@ _LABELS = f"""(SELECT *, length(matched_text) AS n FROM (SELECT *, CASE WHEN reg
     CASE WHEN regexp_matches(line, '{_TABLE}') THEN CASE WHEN regexp_extract(line, '{_TABLE}', 2) <> '' THEN 'punctuated' WHEN regexp_extract(line, '{_TABLE}', 3) <> '' THEN 'continued' ELSE 'bare' END END AS label_form
   FROM {_CHUNKS} c) d WHERE object_type IS NOT NULL)"""
 
+_BINDINGS = f"""(SELECT run_id, page_number, collection, CAST(place AS INTEGER) AS place, a.block_id AS block_id, a.artifact_path AS artifact_path FROM (SELECT run_id, page_number, 'images' AS collection, unnest(images) AS a, unnest(range(0, len(images))) AS place
+  FROM {_ALL_PAGES} p UNION ALL SELECT run_id, page_number, 'tables', unnest(tables), unnest(range(0, len(tables))) FROM {_ALL_PAGES} p) s)"""
+_PX, _PY = _grown("cx0", "cx1", "width"), _grown("cy0", "cy1", "height")
+_PROVENANCE_BOXES = f"""
+WITH d AS (SELECT DISTINCT ON (document_id) * FROM parsed_documents), g AS (SELECT document_id, p.page_number AS page_number, p.width AS width, p.height AS height FROM (SELECT document_id, unnest(pages) AS p FROM d) s),
+e AS (SELECT document_id, e.element_id AS element_id, unnest(e.provenance) AS p, unnest(range(1, 1 + len(e.provenance))) AS n FROM (SELECT document_id, unnest(elements) AS e FROM d) s),
+b AS (SELECT e.document_id, element_id, CAST(n AS INTEGER) AS provenance_no, p.page_number AS page_number, width, height, p.bbox.x0 AS l, p.bbox.y0 AS b, CASE WHEN n = 1 AND length(element_id) % 2 = 0 THEN width + 0.25 ELSE p.bbox.x1 END AS r,
+  CASE WHEN p.page_number % 4 = 0 THEN p.bbox.y0 ELSE p.bbox.y1 END AS t FROM e LEFT JOIN g ON g.document_id = e.document_id AND g.page_number = e.p.page_number),
+s AS (SELECT *, least(l, r) AS sx0, greatest(l, r) AS sx1, least(t, b) AS sy0, greatest(t, b) AS sy1 FROM b),
+c AS (SELECT *, least(greatest(sx0, 0.0), width) AS cx0, least(greatest(sx1, 0.0), width) AS cx1, least(greatest(sy0, 0.0), height) AS cy0, least(greatest(sy1, 0.0), height) AS cy1,
+  CASE WHEN l IS NULL OR t IS NULL OR r IS NULL OR b IS NULL THEN 'invalid_box' WHEN width IS NULL OR height IS NULL THEN 'unknown_page' WHEN sx0 < -0.5 OR sy0 < -0.5 OR sx1 > width + 0.5 OR sy1 > height + 0.5 THEN 'outside_page' END AS problem FROM s)
+SELECT document_id, element_id, provenance_no, page_number, CASE WHEN problem IS NULL THEN {_PX[0]} END AS x0, CASE WHEN problem IS NULL THEN {_PY[0]} END AS y0, CASE WHEN problem IS NULL THEN {_PX[1]} END AS x1, CASE WHEN problem IS NULL THEN {_PY[1]} END AS y1,
+  problem IS NULL AND (cx0 <> sx0 OR cx1 <> sx1 OR cy0 <> sy0 OR cy1 <> sy1) AS clamped, problem IS NULL AND (NOT cx1 > cx0 OR NOT cy1 > cy0) AS expanded, problem FROM c
+"""
+
 SQL = {
     "reading_order_blocks": f"""
 SELECT run_id, page_number, block_no, block_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY page_number, place, block_no) - 1 AS INTEGER) AS reading_order
@@ -271,5 +330,25 @@ SELECT document_id, page_number, CAST(i AS INTEGER) AS i, greatest(0.0, x / 600)
 SELECT run_id, page_number, block_no, 'block-' || page_number || '-' || coalesce(CASE WHEN regexp_full_match(block_id, '[A-Za-z0-9][A-Za-z0-9._-]{{0,159}}') THEN block_id ELSE NULL END,
   CASE WHEN block_id IS NULL THEN NULL ELSE CASE WHEN regexp_matches(trim(regexp_replace(block_id, '[^A-Za-z0-9._-]+', '_', 'g'), '_'), '^[A-Za-z0-9]') THEN trim(regexp_replace(block_id, '[^A-Za-z0-9._-]+', '_', 'g'), '_')[1:159] ELSE 'id-' || sha256(block_id)[1:16] END END,
   CAST(block_order AS VARCHAR), 'unknown') AS element_id FROM {_BLOCKS} b
+""",
+    "binding_problems": """
+WITH b AS {B}, c AS (SELECT * REPLACE (CASE WHEN page_number % 5 = 0 THEN replace(artifact_path, '.png', '.gif') WHEN page_number % 3 = 0 THEN upper(artifact_path) ELSE artifact_path END AS artifact_path) FROM b),
+d AS (SELECT * FROM c UNION ALL SELECT * REPLACE ('x/' || artifact_path AS artifact_path) FROM c WHERE page_number = 2)
+SELECT *, CASE WHEN count(*) OVER (PARTITION BY run_id, page_number, block_id) > 1 THEN 'duplicate_binding' WHEN count(*) OVER (PARTITION BY run_id, artifact_path) > 1 THEN 'destination_conflict'
+  WHEN NOT CASE WHEN collection = 'tables' THEN lower(artifact_path) LIKE '%.csv' ELSE regexp_matches(lower(artifact_path), '\\.(png|jpg|jpeg|webp)$') END THEN 'suffix' END AS problem FROM d
+""".replace("{B}", _BINDINGS),
+    "page_artifact_ids": f"""
+SELECT run_id, page_number, collection, block_id, rtrim(collection, 's') || '-' || (row_number() OVER (PARTITION BY run_id, collection ORDER BY page_number, place, artifact_path) - 1) AS artifact_id FROM {_BINDINGS} b
+""",
+    "artifact_ids": """
+WITH a AS (SELECT DISTINCT document_id, CASE WHEN a.kind = 'image' THEN 'image' ELSE 'table' END AS collection, a.path AS path FROM (SELECT document_id, unnest(artifacts) AS a FROM parsed_documents) s WHERE a.kind IN ('image', 'table_csv'))
+SELECT *, collection || '-' || (row_number() OVER (PARTITION BY document_id, collection ORDER BY string_split(path, '/')[-1], path) - 1) AS artifact_id FROM a
+""",
+    "normalized_blocks": f"""
+SELECT run_id, page_number, block_no, CASE WHEN regexp_full_match(block_id, '-?[0-9]+') THEN block_id ELSE CAST(block_no - 1 AS VARCHAR) END AS block_id, CAST(block_no - 1 AS BIGINT) AS block_order, block_order AS parser_block_order FROM {_BLOCKS} b
+""",
+    "provenance_boxes": _PROVENANCE_BOXES,
+    "box_counters": f"""
+SELECT document_id, CAST(sum(CAST(coalesce(clamped, false) AS BIGINT)) AS BIGINT) AS clamped, CAST(sum(CAST(coalesce(expanded, false) AS BIGINT)) AS BIGINT) AS expanded, count(problem) AS rejected FROM ({_PROVENANCE_BOXES}) b GROUP BY document_id
 """,
 }

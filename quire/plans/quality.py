@@ -121,9 +121,31 @@ def export_counts(spark, sf_dir):
     return validate.export_counts(native, exported, statuses)
 
 
+def page_payload_checks(spark, sf_dir):
+    p = table(spark, sf_dir, "run_pages").dropDuplicates(["run_id", "page_number"])
+    page = F.from_json("page_json", nested.PAGE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"})
+    rows = p.select("run_id", "page_number", "width", "height", page.alias("page")).withColumn("page", F.expr("IF(page._unreadable IS NULL, page, NULL)"))
+    return validate.page_payloads(rows)
+
+
+def identity_checks(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("document_id"), F.col("source").alias("source_ref"), F.col("lang").alias("language"))
+    return validate.identity(d.withColumn("document_id", F.when(F.length("document_id") % 2 == 0, F.replace("document_id", F.lit(" "), F.lit("-"))).otherwise(F.col("document_id"))))
+
+
+def routing_payload(spark, sf_dir):
+    return quality.routing_payload(route_decision(spark, sf_dir)).select("document_id", "payload.routing_version", "payload.outcome", "payload.contract_path")
+
+
+def run_durations(spark, sf_dir):
+    """How long runs took by their own times, and those times in one form."""
+    r = table(spark, sf_dir, "runs").select("run_id", "result").distinct()
+    return r.select("run_id", T.elapsed_ms(F.col("result.started_at"), F.col("result.completed_at")).alias("elapsed_ms"), T.utc_text(F.try_to_timestamp(F.col("result.started_at"))).alias("started"))
+
+
 QUERIES = {f.__name__: f for f in (
     text_measures, page_coverage, quality_gate, ocr_confidence, route_decision, fallback_work, report_consistency, failure_stages, table_measures, source_pages, contract_violations, run_violations,
-    native_text_violations, export_counts)}
+    native_text_violations, export_counts, page_payload_checks, identity_checks, routing_payload, run_durations)}
 
 _CJK = "\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}"
 _MEASURES = f"""
@@ -255,5 +277,18 @@ x AS (SELECT run_id, 'images' AS collection, sum(coalesce(len(images), 0)) AS n
 y AS (SELECT * FROM x WHERE n > 0), s AS (SELECT DISTINCT run_id, result.status AS status FROM runs)
 SELECT run_id, collection, CASE WHEN coalesce(n.n, 0) = coalesce(y.n, 0) THEN 'ok' WHEN status = 'partial' THEN 'drop' ELSE 'error' END AS action
 FROM n FULL JOIN y USING (run_id, collection) JOIN s USING (run_id)
+""",
+    "page_payload_checks": """
+WITH p AS (SELECT run_id, page_number, width, height, CASE WHEN json_valid(page_json) THEN page_json END AS j FROM (SELECT DISTINCT ON (run_id, page_number) * FROM run_pages) u),
+r AS (SELECT run_id, page_number, j IS NOT NULL AS readable, CAST(j->'$.page_index' AS BIGINT) + 1 = page_number AS index_ok, CAST(j->'$.width' AS DOUBLE) IS NOT DISTINCT FROM width AND CAST(j->'$.height' AS DOUBLE) IS NOT DISTINCT FROM height AS size_ok,
+  CAST(j->'$.page_count' AS BIGINT) AS n FROM p),
+g AS (SELECT run_id, count(*) AS pages, bool_and(readable) AS readable, bool_and(coalesce(index_ok, NOT readable)) AS index_ok, bool_and(size_ok OR NOT readable) AS size_ok, count(DISTINCT page_number) AS numbers, max(page_number) AS highest, min(n) AS least, max(n) AS most FROM r GROUP BY run_id)
+SELECT run_id, pages, """ + _rules([("unreadable_page", "readable"), ("page_index", "index_ok"), ("page_size", "size_ok"), ("duplicate_page", "numbers = pages"), ("page_count_varies", "least = most"), ("page_count_too_low", "most >= 1 AND most >= numbers AND most >= highest")]) + " AS violations FROM g",
+    "identity_checks": "WITH d AS (SELECT CASE WHEN length('doc ' || doc_id) % 2 = 0 THEN 'doc-' || doc_id ELSE 'doc ' || doc_id END AS document_id, source AS source_ref, lang AS language FROM documents) SELECT *, " + _rules([
+        ("document_id", f"regexp_matches(document_id, {_ID})"), ("source_ref", f"regexp_matches(source_ref, {_ID})"), ("language", "length(trim(language)) >= 2")]) + " AS violations FROM d",
+    "run_durations": """
+SELECT run_id, epoch_ms(CAST(result.completed_at AS TIMESTAMPTZ)) - epoch_ms(CAST(result.started_at AS TIMESTAMPTZ)) AS elapsed_ms, strftime(CAST(result.started_at AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS started
+FROM (SELECT DISTINCT run_id, result FROM runs) r
 """,
 }
+SQL["routing_payload"] = f"SELECT document_id, 2 AS routing_version, outcome, CASE WHEN selected IS NOT NULL THEN document_id || '/' || selected || '/parsed-document.json' END AS contract_path FROM ({SQL['route_decision']}) r"
