@@ -640,7 +640,8 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
         .select("shape")
     )
     headings = edges.where("role = 'heading' AND shape IS NOT NULL").groupBy("shape").agg(F.countDistinct("document_id").alias("d")).where("d > 1").select("shape")
-    repeated = repeated.join(headings, "shape", "left_anti")
+    # at most 1 / HEADER_SHARE shapes of 40 characters: joined by broadcast, as a third of all lines may be page numbers, without shape
+    repeated = F.broadcast(repeated.join(headings, "shape", "left_anti"))
     names = sorted({_core_shape(one_form(p)) for p in publishers if p and p.strip()})
     known = F.col("shape").isin(names) if names else F.lit(False)
 
