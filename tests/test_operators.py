@@ -168,3 +168,33 @@ def test_gate_over_a_stream(spark, data, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     want = quality.gate(contract_measures(spark.read.parquet(str(tmp_path / "in"))))
     assert got.count() == 10 and got.exceptAll(want.select(got.columns)).count() == 0
+
+
+def test_small_rules(spark):
+    rows = spark.createDataFrame([("failed", None, None, None), ("partial", True, True, False), ("succeeded", True, True, True)], "status STRING, a BOOLEAN, b BOOLEAN, c BOOLEAN")
+    assert [r[0] for r in rows.select(validate.full_request(F.col("status"), F.col("a"), F.col("b"), F.col("c"))).collect()] == [True, False, True]
+    scores = spark.createDataFrame([(0.0,), (1.0,), (1.5,), (float("nan"),), (None,)], "s DOUBLE")
+    assert [r[0] for r in scores.select(validate.confidence(F.col("s"))).collect()] == [True, True, False, False, False]
+    pages = spark.createDataFrame([("partial", 1, 0.0, 5.0), ("succeeded", 0, 5.0, 5.0), ("succeeded", 1, 5.0, 5.0), ("partial", None, 5.0, 5.0)], "status STRING, page_number INT, width DOUBLE, height DOUBLE")
+    assert [r["action"] for r in validate.usable_pages(pages).collect()] == ["drop", "error", "keep", "drop"]
+    swaps = F.array(F.struct(F.lit("a").alias("old"), F.lit("bb").alias("new")), F.struct(F.lit("b").alias("old"), F.lit("c").alias("new")), F.struct(F.lit("").alias("old"), F.lit("x").alias("new")))
+    assert spark.range(1).select(T.replace_by_map(F.lit("aba"), swaps)).collect()[0][0] == "ccccc"
+
+
+def test_page_payloads_name_each_problem(spark):
+    page = "STRUCT<page_index: BIGINT, page_count: BIGINT, width: DOUBLE, height: DOUBLE>"
+    rows = [("ok", 1, 5.0, 6.0, (0, 2, 5.0, 6.0)), ("ok", 2, 5.0, 6.0, (1, 2, 5.0, 6.0)), ("bad", 1, 5.0, 6.0, None), ("bad", 2, 5.0, 6.0, (2, 1, 5.0, 7.0)), ("bad", 2, 5.0, 6.0, (1, 3, 5.0, 6.0))]
+    got = {r["run_id"]: r["violations"] for r in validate.page_payloads(spark.createDataFrame(rows, f"run_id STRING, page_number INT, width DOUBLE, height DOUBLE, page {page}")).collect()}
+    assert got == {"ok": [], "bad": ["unreadable_page", "page_index", "page_size", "duplicate_page", "page_count_varies"]}
+
+
+def test_page_images(spark):
+    rows = [("d", 1, "p/1.png", "s", "s", 10, 10, 5.0, 5.0), ("d", 0, "../x", "s", "t", 0, 10, 5.0, None)]
+    df = spark.createDataFrame(rows, "document_id STRING, page_number INT, image_path STRING, image_sha256 STRING, actual_sha256 STRING, width_pixels INT, height_pixels INT, width_points DOUBLE, height_points DOUBLE")
+    assert [r["violations"] for r in validate.page_images(df).orderBy("page_number", ascending=False).collect()] == [[], ["page_number", "image_path", "image_sha256", "pixels", "points"]]
+
+
+def test_binding_problems(spark):
+    rows = [("r", 1, "images", "a", "x.PNG"), ("r", 1, "images", "b", "y.gif"), ("r", 1, "tables", "c", "t.csv"), ("r", 2, "tables", "c", "t.csv"), ("r", 3, "images", "d", "1.png"), ("r", 3, "images", "d", "2.png")]
+    got = [r["problem"] for r in links.binding_problems(spark.createDataFrame(rows, "run_id STRING, page_number INT, collection STRING, block_id STRING, artifact_path STRING")).orderBy("page_number", "block_id").collect()]
+    assert got == [None, "suffix", "destination_conflict", "destination_conflict", "duplicate_binding", "duplicate_binding"]
