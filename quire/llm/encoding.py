@@ -40,6 +40,8 @@ GAIN = 12.0
 GAIN_UTF8 = 4.0
 #: Bits of a unit that the table lacks, and of each of its characters beyond the first.
 UNKNOWN, UNKNOWN_MORE = 22.0, 2.0
+#: A line is looked at if a unit has so many bits; a sign of fewer bits is common.
+RARE, COMMON_SIGN = 15.0, 11.0
 #: Bits of a byte that no character explains.
 BAD_BYTE = 20.0
 #: Readings kept at each position of the lattice.
@@ -162,46 +164,48 @@ class Restorer:
         self.characters = characters
         self.known = set(characters) | {chr(i) for i in range(128)}
         self._masks: dict[str, dict[tuple, list[str]]] = {}
-        self._tokens: dict[str, tuple[float, int, int]] = {}
+        self._tokens: dict[str, tuple[float, int, int, int, float]] = {}
+        self.signs = {u for u in costs if is_sign(u)}
         self._alphabet: dict[str, set[str]] = {}
 
-    def measure(self, text: str) -> tuple[float, int, int]:
-        """Bits of the units beyond ASCII of ``text``, the number of known words and pairs, and of unknown units."""
-        bits, known, unknown = 0.0, 0, 0
+    def measure(self, text: str) -> tuple[float, int, int, int, float]:
+        """Of the units beyond ASCII: their bits, the number of known words and pairs, of unknown units, of common signs, and the bits of the rarest."""
+        bits, known, unknown, common, rarest = 0.0, 0, 0, 0, 0.0
         for token in text.split():
             if not token.isascii():
                 x = self._tokens.get(token) or self._measure_token(token)
                 bits += x[0]
                 known += x[1]
                 unknown += x[2]
-        return bits, known, unknown
+                common += x[3]
+                if x[4] > rarest:
+                    rarest = x[4]
+        return bits, known, unknown, common, rarest
 
-    def _measure_token(self, token: str) -> tuple[float, int, int]:
+    def _measure_token(self, token: str) -> tuple[float, int, int, int, float]:
         get = self.costs.get
-        bits, known, unknown = 0.0, 0, 0
+        bits, known, unknown, common, rarest = 0.0, 0, 0, 0, 0.0
         for u in units(token):
             own = get(u)
             if own is None:
-                bits += UNKNOWN + UNKNOWN_MORE * (len(u) - 1)
+                own = UNKNOWN + UNKNOWN_MORE * (len(u) - 1)
                 unknown += 1
+            elif u in self.signs:
+                common += own <= COMMON_SIGN and (u[0] != "a" or u[1] in "²³")
             else:
-                bits += own
-                known += len(u) > 1 and not is_sign(u)
+                known += len(u) > 1
+            bits += own
+            if own > rarest:
+                rarest = own
         if len(token) < 30:
             if len(self._tokens) > 200_000:
                 self._tokens.clear()
-            self._tokens[token] = bits, known, unknown
-        return bits, known, unknown
+            self._tokens[token] = bits, known, unknown, common, rarest
+        return bits, known, unknown, common, rarest
 
     def suspicious(self, line: str) -> bool:
         """Whether the line holds a unit that the table lacks."""
-        known = self.costs
-        for token in line.split():
-            if not token.isascii():
-                for u in units(token):
-                    if u not in known:
-                        return True
-        return False
+        return self.measure(line)[2] > 0
 
     def _bytes(self, line: str, decoder: str) -> list[int | None] | None:
         """The line's bytes under a decoder, None for lost ones; None if it cannot have come from the decoder."""
@@ -291,10 +295,11 @@ class Restorer:
         """The cheapest reading of the line in any encoding, and how many bits it saves.
 
         Bytes that are valid UTF-8 throughout are evidence enough of a reading that saves ``GAIN_UTF8`` bits. Any other must
-        save ``GAIN`` bits, hold more known words and pairs than the line, and no more unknown units.
+        save ``GAIN`` bits and either hold more known words and pairs than the line and no more unknown units, or more
+        common signs, fewer unknown units and no fewer known words.
         """
         lost = LOST in line
-        bits, known, unknown = self.measure(line.replace(LOST, ""))
+        bits, known, unknown, signs, _ = self.measure(line.replace(LOST, ""))
         present = bits + BAD_BYTE * line.count(LOST)
         best, least, twice = line, present, set()
         for decoder in MISREAD_AS:
@@ -322,21 +327,46 @@ class Restorer:
                         text, spoiled = self.read(data, encoding)
                 if valid and again:
                     twice.add(text)
-                got, more, less = self.measure(text.replace(LOST, ""))
+                got, more, less, common, _ = self.measure(text.replace(LOST, ""))
                 got += spoiled
-                if got < least and (lost or (got + GAIN_UTF8 <= present if valid else got + GAIN <= present and more > known and less <= unknown)):
+                if got >= least:
+                    continue
+                better = more > known and less <= unknown or common > signs and less < unknown and more >= known
+                if lost or (got + GAIN_UTF8 <= present if valid else got + GAIN <= present and better):
                     best, least = text, got
         for once in twice:
             text, _ = self.restore_once(once, again=False)
-            got, more, less = self.measure(text)
+            got, more, less, _, _ = self.measure(text)
             if text is not once and got < least and more > known and less <= unknown:
                 best, least = text, got
         return best, present - least
 
+    def valid_utf8(self, line: str) -> str | None:
+        """The cheapest reading of a line whose bytes under some decoder are valid UTF-8 throughout, if it saves ``GAIN_UTF8`` bits."""
+        present, best = self.measure(line)[0], None
+        for decoder in MISREAD_AS:
+            data = self._bytes(line, decoder)
+            if data is not None:
+                try:
+                    text = bytes(data).decode()
+                except UnicodeDecodeError:
+                    continue
+                bits = self.measure(text)[0]
+                if bits + GAIN_UTF8 <= present:
+                    best, present = text, bits + GAIN_UTF8
+        return best
+
     def restore_line(self, line: str) -> tuple[str, bool]:
         """The restored line, and whether it was damaged."""
-        if line.isascii() or LOST not in line and not (self.suspicious(line) and self.suspicious(one_form(line))):
+        if line.isascii():
             return line, False
+        if LOST not in line:
+            _, _, unknown, _, rarest = self.measure(line)
+            if rarest < RARE:
+                return line, False
+            if not unknown or not self.suspicious(one_form(line)):
+                text = self.valid_utf8(line)
+                return (line, False) if text is None else (text, True)
         damaged = LOST in line
         for _ in range(3):
             text, gain = self.restore_once(line)
