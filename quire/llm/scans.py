@@ -37,8 +37,10 @@ WORD_SHARE, PAIR_SHARE, TRIPLE_SHARE, COMPOUND_SHARE = 1e-6, 4e-6, 2e-6, 1e-6
 SETTLED, RARER = 0.9, 30.0
 #: A confused pair makes up this share of all such rare fillers at least.
 CONFUSION_SHARE = 0.0008
-#: How many times as frequent a reading must be as a known word it replaces.
-FAR_MORE = 200.0
+#: How many times as frequent a reading must be as a known word it replaces, by the word's length (5 or more); languages share short words.
+FAR_MORE = {3: 3000.0, 4: 200.0, 5: 40.0}
+#: The share of a reading of a short word that is unknown or holds a digit.
+SHORT_SHARE = 3e-5
 #: A header stands at the edge of its page in this share of its occurrences, and makes up this share of edge lines.
 EDGE_SHARE, HEADER_SHARE = 0.85, 2e-5
 #: Bits that a reading of a character must save beyond those of the confusion.
@@ -49,8 +51,8 @@ CONFUSED, UNSEEN = 8.0, 26.0
 # Shapes read wrongly, with what was printed.
 MISREAD = (
     ("c", "e"), ("e", "c"), ("l", "i"), ("i", "l"), ("o", "a"), ("0", "o"), ("ri", "n"), ("f", "t"), ("t", "f"), ("5", "s"), ("cl", "d"), ("ii", "u"), ("rn", "m"),
-    ("m", "rn"), ("1", "l"), ("1", "i"), ("!", "i"), ("|", "l"), ("9", "g"), ("q", "g"), ("li", "h"), ("h", "li"), ("6", "b"), ("8", "b"), ("ü", "ti"), ("vv", "w"), ("nn", "m"), ("d", "cl"),
-    ("n", "ri"), ("u", "ii"), ("w", "vv"), ("3", "e"), ("7", "t"), ("0", "о"), ("с", "е"), ("п", "н"), ("г", "т"), ("п", "л"), ("и", "п"), ("з", "в"), ("н", "м"), ("и", "й"), ("ьі", "ы"),
+    ("m", "rn"), ("1", "l"), ("1", "i"), ("!", "i"), ("|", "l"), ("9", "g"), ("q", "g"), ("li", "h"), ("h", "li"), ("6", "b"), ("ü", "ti"), ("vv", "w"), ("nn", "m"), ("d", "cl"),
+    ("n", "ri"), ("u", "ii"), ("w", "vv"), ("0", "о"), ("с", "е"), ("п", "н"), ("г", "т"), ("п", "л"), ("и", "п"), ("з", "в"), ("н", "м"), ("и", "й"), ("ьі", "ы"),
     ("ьi", "ы"), ("6", "б"), ("3", "з"), ("о", "а"), ("н", "и"), ("и", "н"), ("л", "п"), ("ц", "и"), ("ш", "щ"), ("е", "с"),
 )
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ʯͰ-ϿЀ-ԯ̀-ͯ"
@@ -61,6 +63,7 @@ _HAN = re.compile(f"[{_CJK}]")
 _HAN_BLANK = re.compile(f"(?<=[{_CJK}，。；：、（）0-9A-Z]) (?=[{_CJK}，。；：、（）0-9A-Z])")
 # Marks at the end of a split line; the second kind is never written inside a word.
 SPLIT_MARKS, SURE_MARKS = "-‐‑⁃–¬­", "¬­"
+_WITH_SIGN = re.compile(f"[{_LETTERS}][0-9!|]|[0-9!|][{_LETTERS}]")
 _DIGITS = re.compile("(?=.*[0-9])[0-9OSBlIZ]+")
 _MARKS = set(SPLIT_MARKS)
 #: Characters whose consistent form matters for reading words; wide signs of punctuation do not.
@@ -242,11 +245,11 @@ class Reader:
     def _find(self, word: str) -> tuple[tuple[str, float], ...]:
         own = self.words.get(word, 0)
         found: dict[str, float] = {}
-        if len(word) > 1:
+        least = self._least(word, own)
+        if least is not None:
             once = self._once(word)
             for w in once:
-                n = self.words.get(w, 0)
-                if n > max(FAR_MORE * own, 0) and (own or n):
+                if self.words.get(w, 0) > least:
                     found[w] = CONFUSED
             if not found and not own and len(word) > 4:
                 for x in once:
@@ -255,6 +258,16 @@ class Reader:
                             found[w] = 2 * CONFUSED
         return ((word, 0.0), *sorted(found.items(), key=lambda x: (x[1], -self.words[x[0]]))[:6])
 
+    def _least(self, word: str, own: int) -> float | None:
+        """How often another word must occur to be a reading of this one; None if none can be."""
+        if _WITH_SIGN.search(word):  # never written so
+            return 0 if len(word) > 2 else SHORT_SHARE * self.total
+        if len(word) < 3:
+            return None
+        if own:
+            return own * FAR_MORE[min(len(word), 5)]
+        return 0 if len(word) > 3 else SHORT_SHARE * self.total
+
     @staticmethod
     def _once(word: str) -> set[str]:
         out = set()
