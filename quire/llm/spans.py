@@ -28,7 +28,7 @@ from quire.checkpoint import checkpoint_and_release
 from quire.partitioning import spread
 
 SPAN = 200
-GRAM = 100
+GRAM = 140
 #: Characters hashed at once; a longer text is hashed by itself.
 CHUNK = 1 << 20
 
