@@ -36,7 +36,7 @@ WORD_SHARE, PAIR_SHARE, TRIPLE_SHARE, COMPOUND_SHARE = 1e-6, 4e-6, 2e-6, 1e-6
 #: A context is filled by one character if it has this share of it; a filler is rare if that one is so many times as frequent.
 SETTLED, RARER = 0.9, 30.0
 #: A confused pair makes up this share of all such rare fillers at least.
-CONFUSION_SHARE = 0.0008
+CONFUSION_SHARE = 0.0003
 #: How many times as frequent a reading must be as a known word it replaces, by the word's length (5 or more); languages share short words.
 FAR_MORE = {3: 3000.0, 4: 200.0, 5: 40.0}
 #: The share of a reading of a short word that is unknown or holds a digit.
@@ -67,7 +67,7 @@ _WITH_SIGN = re.compile(f"[{_LETTERS}][0-9!|]|[0-9!|][{_LETTERS}]")
 _DIGITS = re.compile("(?=.*[0-9])[0-9OSBlIZ]+")
 _MARKS = set(SPLIT_MARKS)
 #: Characters whose consistent form matters for reading words; wide signs of punctuation do not.
-_FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ")) + "\u0300-\u036f]")
+_FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ")) + "\u0300-\u036f\u3099\u309a\uf900-\ufaff]")
 _OTHER = re.compile("[Ͱ-ԯ]")
 _MIXED = re.compile("[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z]")
 _SPLIT_END = re.compile(f"[{SPLIT_MARKS}][ \\t\\r]*(?:\\n|$)")
@@ -167,6 +167,7 @@ def count_grams(records: DataFrame) -> DataFrame:
             for t in b.column(0).to_pylist():
                 if not t:
                     continue
+                t = _folded(t)
                 low = t.lower()
                 found = _WORD.findall(low)
                 words.update(found)
@@ -187,7 +188,11 @@ def count_grams(records: DataFrame) -> DataFrame:
 
 def confusions(grams: DataFrame) -> dict[str, list[tuple[str, float]]]:
     """What each character of an unspaced script may have been, with bits; learned from contexts that one character fills."""
-    t = grams.where("kind = 't'").selectExpr("substr(gram, 1, 1) || substr(gram, 3, 1) AS around", "substr(gram, 2, 1) AS c", "n")
+    # the context of a character: what stands on both sides, before it, or after it
+    t = grams.where("kind = 't'").selectExpr(
+        """inline(array(named_struct('around', substr(gram, 1, 1) || '_' || substr(gram, 3, 1), 'c', substr(gram, 2, 1), 'n', n),
+        named_struct('around', substr(gram, 1, 2) || '_', 'c', substr(gram, 3, 1), 'n', n), named_struct('around', '_' || substr(gram, 2, 2), 'c', substr(gram, 1, 1), 'n', n)))"""
+    )
     settled = (
         t.groupBy("around")
         .agg(F.max_by("c", "n").alias("usual"), F.max("n").alias("most"), F.sum("n").alias("total"))
@@ -197,7 +202,9 @@ def confusions(grams: DataFrame) -> dict[str, list[tuple[str, float]]]:
     pairs = rare.groupBy("c", "usual").agg(F.sum("n").alias("n"), F.count("*").alias("contexts"))
     total = pairs.agg(F.sum("n")).collect()[0][0] or 0
     out: dict[str, list[tuple[str, float]]] = {}
-    for r in pairs.where(F.col("n") >= CONFUSION_SHARE * total).where("contexts >= 2").collect():  # at most 1 / CONFUSION_SHARE
+    for r in pairs.where(F.col("n") >= CONFUSION_SHARE * total).where("contexts >= 2 OR n >= 20").collect():  # at most 1 / CONFUSION_SHARE
+        if one_form(r["c"]) == r["usual"]:
+            continue  # another form of the same character
         out.setdefault(r["c"], []).append((r["usual"], -math.log2(r["n"] / total)))
     return out
 
@@ -224,7 +231,7 @@ class Reader:
         self.words, self.pairs, self.compounds, self.triples = made["w"], made["p"], made["h"], made["t"]
         self.total = max(1, made["totals"].get("w", 1))
         self.confusions = made["confusions"]
-        self.rarest = max(0.5, TRIPLE_SHARE * made["totals"].get("t", 0) / 2)
+        self.rarest = max(0.5, TRIPLE_SHARE * made["totals"].get("t", 0) / 6)
         self._candidates: dict[str, tuple[tuple[str, float], ...]] = {}
         self._plain: set[str] = set()
         self._confusable = re.compile("[" + "".join(map(re.escape, self.confusions)) + "]") if self.confusions else None
