@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 PAGE_SCHEMA = (
     "page_index BIGINT, page_count BIGINT, width DOUBLE, height DOUBLE, "
     "parsing_res_list ARRAY<STRUCT<block_label: STRING, block_content: STRING, block_bbox: ARRAY<DOUBLE>, "
-    "block_id: STRING, block_order: BIGINT>>, "
-    "ocr_lines ARRAY<STRUCT<text: STRING, score: DOUBLE, bbox: ARRAY<DOUBLE>>>, _unreadable STRING"
+    "block_id: STRING, block_order: BIGINT>>, _unreadable STRING"
 )
+LINES_SCHEMA = "ocr_lines ARRAY<STRUCT<text: STRING, score: DOUBLE, bbox: ARRAY<DOUBLE>>>, _unreadable STRING"
 
 
-def read_pages(run_pages: DataFrame) -> DataFrame:
+def read_pages(run_pages: DataFrame, schema: str = PAGE_SCHEMA) -> DataFrame:
     """``run_id, document_id, page_number, page``: the page record of each readable ``page_json``; others are left out."""
     page = F.from_json(
         F.col("page_json"),
-        PAGE_SCHEMA,
+        schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"},
     )
     return (

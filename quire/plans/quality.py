@@ -44,7 +44,7 @@ def quality_gate(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    pages = nested.read_pages(table(spark, sf_dir, "run_pages")).dropDuplicates(["run_id", "page_number"])
+    pages = nested.read_pages(table(spark, sf_dir, "run_pages"), nested.LINES_SCHEMA).dropDuplicates(["run_id", "page_number"])
     return pages.select(F.col("run_id").alias("document_id"), "page_number", F.explode("page.ocr_lines").alias("l")).select("document_id", "page_number", F.col("l.score").alias("score"))
 
 
