@@ -534,12 +534,12 @@ def _reader(shared) -> Reader:
 HEADING_LABELS = ("paragraph_title", "figure_title", "table_title", "caption", "figure_caption", "table_caption")
 
 
-#: Lines of more characters are no furniture; headers are shorter still.
-LONGEST_FURNITURE, LONGEST_HEADER = 72, 44
+#: Lines of more characters, or bytes, are no furniture; headers are shorter still.
+LONGEST_FURNITURE, WIDEST_FURNITURE, LONGEST_HEADER = 66, 100, 44
 
 
 def _short(line: str) -> bool:
-    return 0 < len(line.strip()) <= LONGEST_FURNITURE
+    return 0 < len(line.strip()) <= LONGEST_FURNITURE and len(line.encode("utf-8", "replace")) <= WIDEST_FURNITURE
 
 
 _COLUMNS = re.compile(r"\s{2,}|\t")
