@@ -17,5 +17,5 @@ def test_spread(spark):
     assert spread(small).rdd.getNumPartitions() == cores and spread(small).count() == 10
     many = spark.range(10, numPartitions=cores + 3)
     assert spread(many) is many
-    grouped = small.groupBy("id").count()
+    grouped = many.groupBy("id").count()
     assert spread(grouped) is grouped
