@@ -43,6 +43,8 @@ FAR_MORE = {3: 3000.0, 4: 200.0, 5: 40.0}
 SHORT_SHARE = 3e-5
 #: A header stands at the edge of its page in this share of its occurrences, and makes up this share of edge lines.
 EDGE_SHARE, HEADER_SHARE = 0.85, 2e-5
+#: A confusable character that is misread in a smaller share of its occurrences is mostly right.
+COMMON_SHARE = 0.1
 #: Bits that a reading of a character must save beyond those of the confusion.
 CHARACTER_GAIN = 4.0
 #: Bits of one confusion, and of a word the corpus does not have.
@@ -186,8 +188,8 @@ def count_grams(records: DataFrame) -> DataFrame:
     return spread(records.select("text").where("text IS NOT NULL")).mapInArrow(run, "kind STRING, gram STRING, n BIGINT").groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
 
-def confusions(grams: DataFrame) -> dict[str, list[tuple[str, float]]]:
-    """What each character of an unspaced script may have been, with bits; learned from contexts that one character fills."""
+def confusions(grams: DataFrame) -> tuple[dict[str, list[tuple[str, float]]], set[str]]:
+    """What each character of an unspaced script may have been, with bits; learned from contexts that one character fills. Also those that are mostly right."""
     # the context of a character: what stands on both sides, before it, or after it
     t = grams.where("kind = 't'").selectExpr(
         """inline(array(named_struct('around', substr(gram, 1, 1) || '_' || substr(gram, 3, 1), 'c', substr(gram, 2, 1), 'n', n),
@@ -199,14 +201,18 @@ def confusions(grams: DataFrame) -> dict[str, list[tuple[str, float]]]:
         .where(f"most >= {SETTLED} * total AND most >= {RARER}")
     )
     rare = t.join(settled, "around").where(f"c <> usual AND n * {RARER} <= most AND c RLIKE '[{_CJK}]' AND usual RLIKE '[{_CJK}]'")
-    pairs = rare.groupBy("c", "usual").agg(F.sum("n").alias("n"), F.count("*").alias("contexts"))
+    all_of = t.groupBy("c").agg(F.sum("n").alias("all_of"))
+    pairs = rare.groupBy("c", "usual").agg(F.sum("n").alias("n"), F.count("*").alias("contexts")).join(all_of, "c")
     total = pairs.agg(F.sum("n")).collect()[0][0] or 0
     out: dict[str, list[tuple[str, float]]] = {}
+    common: set[str] = set()
     for r in pairs.where(F.col("n") >= CONFUSION_SHARE * total).where("contexts >= 2 OR n >= 20").collect():  # at most 1 / CONFUSION_SHARE
         if one_form(r["c"]) == r["usual"]:
             continue  # another form of the same character
         out.setdefault(r["c"], []).append((r["usual"], -math.log2(r["n"] / total)))
-    return out
+        if r["n"] < COMMON_SHARE * r["all_of"]:
+            common.add(r["c"])
+    return out, common
 
 
 def tables(records: DataFrame) -> dict:
@@ -214,7 +220,8 @@ def tables(records: DataFrame) -> dict:
     grams = checkpoint(count_grams(records))
     totals = {r["kind"]: r["n"] for r in grams.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     share = {"w": WORD_SHARE, "p": PAIR_SHARE, "h": COMPOUND_SHARE, "t": TRIPLE_SHARE}
-    out: dict = {"totals": totals, "confusions": confusions(grams)}
+    found, common = confusions(grams)
+    out: dict = {"totals": totals, "confusions": found, "common": common}
     for kind in share:
         least = max(2, share[kind] * (totals.get("w" if kind == "h" else kind) or 0))
         out[kind] = {r["gram"]: r["n"] for r in grams.where((F.col("kind") == kind) & (F.col("n") >= least)).collect()}
@@ -230,7 +237,7 @@ class Reader:
     def __init__(self, made: dict):
         self.words, self.pairs, self.compounds, self.triples = made["w"], made["p"], made["h"], made["t"]
         self.total = max(1, made["totals"].get("w", 1))
-        self.confusions = made["confusions"]
+        self.confusions, self.common = made["confusions"], made["common"]
         self.rarest = max(0.5, TRIPLE_SHARE * made["totals"].get("t", 0) / 6)
         self._candidates: dict[str, tuple[tuple[str, float], ...]] = {}
         self._plain: set[str] = set()
@@ -419,11 +426,22 @@ class Reader:
             line = _NUMBER.sub(_digits, line)
         return line, wrong
 
+    def _doubtful(self, line: str) -> bool:
+        """Whether the line holds a confusable character, one that is mostly right not counting in a known triple."""
+        for m in self._confusable.finditer(line):
+            j = m.start()
+            if m.group() not in self.common:
+                return True
+            around = line[max(0, j - 1) : j + 2]
+            if len(around) == 3 and "".join("0" if c.isascii() and (c.isdigit() or c.isupper()) else _WIDE.get(c, c) for c in around) not in self.triples:
+                return True
+        return False
+
     def _read_characters(self, lines: list[str], misread: set[int]) -> None:
         """Corrects confused characters of unspaced script in ``lines``, with contexts that reach over line breaks."""
         triples, confused, rarest = self.triples, self.confusions, self.rarest
         # stretches of characters with their places, from lines that hold a confusable one and their neighbours; digits and capitals are one class
-        near = {j for i, line in enumerate(lines) if self._confusable.search(line) for j in (i - 1, i, i + 1)}
+        near = {j for i, line in enumerate(lines) if self._doubtful(line) for j in (i - 1, i, i + 1)}
         chars: list[str] = []
         places: list[tuple[int, int]] = []
         for i in sorted(near & set(range(len(lines)))):

@@ -60,5 +60,5 @@ def test_page_numbers():
 def test_confused_characters_are_learned_from_settled_contexts(spark):
     text = CHINESE + "进水泵组未满足合同的要求。"
     texts = [text] * 200 + [text.replace("未", "末")] + [text.replace("检", "俭")]
-    found = scans.confusions(scans.count_grams(spark.createDataFrame([(t,) for t in texts], "text STRING")))
+    found, _ = scans.confusions(scans.count_grams(spark.createDataFrame([(t,) for t in texts], "text STRING")))
     assert found["末"][0][0] == "未"
