@@ -5,11 +5,14 @@ neighbouring characters of scripts written without spaces, and of other signs be
 classes. A line costs the sum of its units' code lengths. Where a line holds rare units, also in the
 consistent form of look-alike characters, it is turned back into bytes under each
 known decoding; lost bytes (U+FFFD) become wildcards. The byte lattice is then read in each known
-encoding by Viterbi search over the characters the corpus knows, and the cheapest reading of all is taken. If
+encoding by exact Viterbi search over all characters the corpus knows, and the cheapest reading of all is taken. If
 it is cheaper by enough bits and holds more known words, the line is damaged and the reading is its restored text; the
 search is repeated on the result for text that was decoded wrongly twice. A line with a lost byte is damaged even
 if nothing can be read from it.
 
+A lost letter or sign, in any encoding or in a line that is right otherwise, is read by the whole word: the known words, ASCII ones
+among them, and signs that fit the stretch between white space are compared, and U+FFFD stays where none fits or two are about as likely.
+
 The unit table holds units with a share of at least ``MIN_SHARE`` of all, thus at most ``1 / MIN_SHARE`` of them whatever the size
 of the corpus, and is counted over all texts.
 
@@ -42,10 +45,12 @@ GAIN_UTF8 = 4.0
 UNKNOWN, UNKNOWN_MORE = 22.0, 2.0
 #: A line is looked at if a unit has so many bits; a sign of fewer bits is common.
 RARE, COMMON_SIGN = 15.0, 11.0
+#: Bits more of a character in an unspaced script that makes no known pair with the one before.
+UNPAIRED = 8.0
 #: Bits of a byte that no character explains.
 BAD_BYTE = 20.0
-#: Readings kept at each position of the lattice.
-BEAM = 8
+#: Bits by which the reading of a lost letter or sign must be cheaper than any other, and of one that stands between blanks.
+MARGIN, MARGIN_ALONE = 1.0, 8.0
 
 # Character ranges of alphabets beyond ASCII, and of scripts written without spaces.
 ALPHABETS = "À-ÖØ-öø-ʯ̀-ͯͰ-߿Ḁ-῿"
@@ -61,6 +66,11 @@ _PARTS = re.compile(f"[{UNSPACED}]+|[A-Za-z{ALPHABETS}]+|[^\x00-\x7f]")
 _LETTER = re.compile(f"[A-Za-z{ALPHABETS}]")
 _IDEOGRAM = re.compile(f"[{UNSPACED}]")
 LOST = "�"
+#: Characters that stand for a set of letters and signs while a line is read.
+_OPEN = "\U000f0000"
+_LOST_STRETCH = re.compile(f"\\S*[{LOST}{_OPEN}-\U000ffffd]\\S*")
+_LOST_RUN = re.compile(f"[A-Za-z{ALPHABETS}{LOST}{_OPEN}-\U000ffffd]+")
+_ASCII_WORD = re.compile(f"(?<![{ALPHABETS}A-Za-z])[A-Za-z]+(?![{ALPHABETS}A-Za-z])")
 
 
 def _side(c: str) -> str:
@@ -95,7 +105,7 @@ def units(token: str) -> list[str]:
 
 
 def count_units(texts: DataFrame, column: str = "text") -> DataFrame:
-    """``unit, n``: how often each unit occurs in all texts."""
+    """``unit, n``: how often each unit, and each word in ASCII, occurs in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -108,11 +118,17 @@ def count_units(texts: DataFrame, column: str = "text") -> DataFrame:
         for b in batches:
             tokens: Counter = Counter()
             for t in b.column(0).to_pylist():
-                if t and not t.isascii():
-                    tokens.update([x for x in t.split() if not x.isascii()])
+                if t:
+                    tokens.update(t.split())
             for token, n in tokens.items():
-                for u in units(token):
+                if token.isalpha() and token.isascii():
+                    total[token] += n
+                    continue
+                for u in _ASCII_WORD.findall(token):
                     total[u] += n
+                if not token.isascii():
+                    for u in units(token):
+                        total[u] += n
             if len(total) > 300_000:
                 yield emit()
         if total:
@@ -133,6 +149,8 @@ def _natural(unit: str, share: float) -> bool:
         if c == LOST or unit[0] == unit[2] == "a" and c not in INSIDE_WORDS:
             return False
         return share >= (MIN_SHARE if _IDEOGRAM.match(c) else MIN_SIGN_SHARE)
+    if unit.isascii():
+        return share >= MIN_SHARE
     if any(ord(c) in FOLDS for c in unit):
         return False
     return share >= (MIN_SHARE if len(unit) > 1 else MIN_SIGN_SHARE)
@@ -144,11 +162,14 @@ def costs_of(counts: dict[str, int], total: int) -> dict[str, float]:
 
 
 def unit_costs(counts: DataFrame) -> dict[str, float]:
-    """Bits of each unit with a share of ``MIN_SHARE`` or more: at most ``1 / MIN_SHARE`` units."""
-    counts = checkpoint(counts)  # read twice
-    total = counts.agg(F.sum("n")).collect()[0][0] or 0
-    least = max(2, MIN_SHARE * total)
-    return costs_of({r["unit"]: r["n"] for r in counts.where(F.col("n") >= least).collect()}, total)
+    """Bits of each unit with a share of ``MIN_SHARE`` or more, and likewise of each word in ASCII: at most ``1 / MIN_SHARE`` of either."""
+    counts = checkpoint(counts.withColumn("plain", F.expr("octet_length(unit) = length(unit)")))  # read twice
+    out: dict[str, float] = {}
+    totals = {r["plain"]: r["n"] for r in counts.groupBy("plain").agg(F.sum("n").alias("n")).collect()}
+    for plain, total in totals.items():
+        rows = counts.where((F.col("plain") == plain) & (F.col("n") >= max(2, MIN_SHARE * total))).collect()
+        out.update(costs_of({r["unit"]: r["n"] for r in rows}, total))
+    return out
 
 
 class Restorer:
@@ -157,13 +178,35 @@ class Restorer:
     def __init__(self, costs: dict[str, float]):
         self.costs = costs
         characters: dict[str, float] = {}
+        self._after: dict[str, dict[str, float]] = {}
+        self._before: dict[str, list[str]] = {}
+        self._words: dict[int, list[str]] = {}
+        self._beside: dict[tuple[str, str], list[tuple[str, float]]] = {}
+        around: dict[tuple[str, str], float] = {}
+        for u, bits in costs.items():
+            if is_sign(u):
+                around[u[0], u[2]] = around.get((u[0], u[2]), 0.0) + 2.0**-bits
         for u, bits in costs.items():
-            for c in u[1] if is_sign(u) else u:
-                if c != LOST and bits < characters.get(c, 1e9):
-                    characters[c] = bits
+            sign = is_sign(u)
+            if not u.isascii():
+                for c in u[1] if sign else u:
+                    if c != LOST and bits < characters.get(c, 1e9):
+                        characters[c] = bits
+            if sign:
+                self._beside.setdefault((u[0], u[2]), []).append((u[1], bits + math.log2(around[u[0], u[2]])))  # among the signs that stand so
+            elif _IDEOGRAM.match(u):
+                if len(u) == 2:
+                    self._after.setdefault(u[0], {})[u[1]] = bits
+                    self._before.setdefault(u[1], []).append(u[0])
+            else:
+                self._words.setdefault(len(u), []).append(u)
         self.characters = characters
         self.known = set(characters) | {chr(i) for i in range(128)}
         self._masks: dict[str, dict[tuple, list[str]]] = {}
+        self._arcs: dict[tuple, tuple[dict[str, float], str, float]] = {}
+        self._open: dict[str, str] = {}
+        self._sets: list[set[str]] = []
+        self._filled: dict[tuple, str] = {}
         self._tokens: dict[str, tuple[float, int, int, int, float]] = {}
         self.signs = {u for u in costs if is_sign(u)}
         self._alphabet: dict[str, set[str]] = {}
@@ -228,80 +271,215 @@ class Restorer:
         return out
 
     def _matching(self, pattern: tuple, encoding: str) -> list[str]:
-        """Known characters whose bytes fit a pattern with wildcards."""
+        """Known characters whose bytes fit a pattern with wildcards; a lost byte is none of ASCII."""
         masks = self._masks.get(encoding)
         if masks is None:
             masks = self._masks[encoding] = {}
-            for c in sorted(self.known, key=lambda c: self.characters.get(c, 12.0)):
+            for c in sorted(self.characters, key=self.characters.get):
                 try:
                     b = c.encode(encoding)
                 except UnicodeEncodeError:
                     continue
                 for bits in range(1, 1 << len(b)):
-                    key = tuple(None if bits >> i & 1 else x for i, x in enumerate(b))
-                    group = masks.setdefault(key, [])
-                    if len(group) < 2 * BEAM:
+                    group = masks.setdefault(tuple(None if bits >> i & 1 else x for i, x in enumerate(b)), [])
+                    if len(group) < 16:
                         group.append(c)
         return masks.get(pattern, [])
 
+    def _arc(self, pattern: tuple, encoding: str) -> tuple[dict[str, float], str, float]:
+        """Of a pattern: its characters of unspaced scripts with their bits, one character that stands for all others, and its bits."""
+        arc = self._arcs.get((pattern, encoding))
+        if arc is None:
+            fitting = self._matching(pattern, encoding)
+            unspaced = {c: self.characters[c] for c in fitting if _IDEOGRAM.match(c)}
+            others = "".join(sorted(c for c in fitting if c not in unspaced))
+            if others and others not in self._open:
+                self._open[others] = chr(ord(_OPEN) + len(self._sets))
+                self._sets.append(set(others))
+            arc = self._arcs[pattern, encoding] = unspaced, self._open.get(others, ""), min((self.characters[c] for c in others), default=0.0)
+        return arc
+
+    def _decode(self, piece: list[int | None], encoding: str) -> str:
+        """The one character that the bytes are, or nothing."""
+        if None not in piece:
+            try:
+                c = bytes(piece).decode(encoding)
+            except UnicodeDecodeError:
+                return ""
+            if len(c) == 1 and c < _OPEN:
+                return c
+        return ""
+
     def read(self, data: list[int | None], encoding: str) -> tuple[str, float]:
-        """The cheapest reading of a byte lattice, and the bits of what it could not explain."""
+        """The cheapest reading of a byte lattice, and the bits of what it could not explain.
+
+        A character of which no byte is left is read only by a known pair with a neighbour that has bytes left.
+        """
         if None not in data:
             try:
                 return bytes(data).decode(encoding), 0.0
             except UnicodeDecodeError:
                 pass
         n, widest = len(data), _WIDEST.get(encoding, 1)
-        beams: list[dict[str, tuple[float, float, int, str]]] = [{} for _ in range(n + 1)]
-        beams[0][""] = (0.0, 0.0, -1, "")
-        pair, single = self.costs.get, self.characters.get
+        # of each place and last character: bits, place and last character before
+        states: list[dict[str, tuple[float, int, str]]] = [{} for _ in range(n + 1)]
+        states[0][""] = (0.0, -1, "")
+        single, after = self.characters.get, self._after
         for at in range(n):
-            here = sorted(beams[at].items(), key=lambda x: x[1][0])[:BEAM]
+            here = states[at]
             if not here:
                 continue
-            arcs: list[tuple[int, str, float]] = []
+            cheapest = min(here, key=lambda c: here[c][0])
+            base = here[cheapest][0]
+            # the cheapest before a character that makes no known pair with it
+            apart = min(here, key=lambda c: here[c][0] + (UNPAIRED if _IDEOGRAM.match(c) else 0.0))
+            unpaired = here[apart][0] + (UNPAIRED if _IDEOGRAM.match(apart) else 0.0)
+
+            def reach(end: int, c: str, bits: float, last: str) -> None:
+                old = states[end].get(c)
+                if old is None or bits < old[0]:
+                    states[end][c] = (bits, at, last)
+
             for width in range(1, min(widest, n - at) + 1):
-                piece = data[at : at + width]
-                if None in piece:
-                    arcs.extend((at + width, c, 0.0) for c in self._matching(tuple(piece), encoding))
-                else:
-                    try:
-                        c = bytes(piece).decode(encoding)
-                    except UnicodeDecodeError:
-                        continue
-                    if len(c) == 1:
-                        arcs.append((at + width, c, 0.0))
+                piece, end = data[at : at + width], at + width
+                if None not in piece:
+                    c = self._decode(piece, encoding)
+                    if c:
+                        own = 0.0 if c < "\x80" else single(c, UNKNOWN)
+                        if _IDEOGRAM.match(c):
+                            reach(end, c, unpaired + own, apart)
+                            for last in self._before.get(c, ()):
+                                if last in here:
+                                    reach(end, c, here[last][0] + min(own, after[last][c]), last)
+                        else:
+                            reach(end, c, base + own, cheapest)
                         if piece[0] < 0x80 and width == 1:
                             break
-            arcs.append((at + 1, LOST, BAD_BYTE))
-            for end, c, bad in arcs:
-                own = 0.0 if c < "\x80" else (bad or single(c, UNKNOWN))
-                target = beams[end]
-                for last, (bits, spoiled, _, _) in here:
-                    new = bits + min(own, pair(last + c, own))
-                    old = target.get(c)
-                    if old is None or new < old[0]:
-                        target[c] = (new, spoiled + bad, at, last)
-        if not beams[n]:
-            return "", 1e9
-        last, (_, spoiled, _, _) = min(beams[n].items(), key=lambda x: x[1][0])
+                    continue
+                unspaced, others, own = self._arc(tuple(piece), encoding)
+                if others:
+                    reach(end, others, base + own, cheapest)
+                if not unspaced:
+                    continue
+                if any(x is not None for x in piece):
+                    for c, own in unspaced.items():
+                        reach(end, c, unpaired + own, apart)
+                else:
+                    following = [self._decode(data[end : end + w], encoding) for w in range(1, widest + 1)]
+                    for c in {c for d in following for c in self._before.get(d, ())} & unspaced.keys():
+                        reach(end, c, unpaired + unspaced[c], apart)
+                for last, (bits, since, _) in here.items():
+                    pairs = after.get(last)
+                    if pairs and (any(x is not None for x in piece) or any(x is not None for x in data[since:at])):
+                        few, many = (pairs, unspaced) if len(pairs) < len(unspaced) else (unspaced, pairs)
+                        for c in few:
+                            if c in many:
+                                reach(end, c, bits + min(pairs[c], unspaced[c]), last)
+            reach(at + 1, LOST, base + BAD_BYTE, cheapest)
+        last = min(states[n], key=lambda c: states[n][c][0])
         out, at = [], n
         while at > 0:
             out.append(last)
-            _, _, at, last = beams[at][last]
-        return "".join(reversed(out)), spoiled
+            _, at, last = states[at][last]
+        text = _LOST_STRETCH.sub(lambda m: self._fill_stretch(m.group()), "".join(reversed(out)))
+        return text, BAD_BYTE * text.count(LOST)
+
+    def fill(self, text: str) -> str:
+        """The text with the lost letters and signs that a known word, or a sign's neighbours, settle; others are U+FFFD."""
+        # characters beyond _OPEN that the text itself has stand for no set
+        return _LOST_STRETCH.sub(lambda m: m.group() if max(m.group()) >= _OPEN else self._fill_stretch(m.group()), text)
+
+    def _fill_stretch(self, token: str) -> str:
+        rest = [c for c in token if self._fitting(c) is None]
+        if not self.known.issuperset(rest):  # damage of another kind
+            return "".join(c if self._fitting(c) is None else LOST for c in token)
+
+        def run(m: re.Match) -> str:
+            piece = m.group()
+            if piece.isalpha():  # nothing is lost
+                return piece
+            a, z = m.span()
+            key = piece, _side(token[a - 1 : a]), _side(token[z : z + 1])
+            filled = self._filled.get(key)
+            if filled is None:
+                options = sorted((bits, text) for text, bits in self._fillings(*key).items())
+                margin = MARGIN_ALONE if key[1] == key[2] == "e" and len(piece) == 1 else MARGIN
+                clear = options and (len(options) == 1 or options[1][0] - options[0][0] >= margin)
+                filled = options[0][1] if clear else "".join(LOST if self._fitting(c) is not None else c for c in piece)
+                if len(self._filled) > 100_000:
+                    self._filled.clear()
+                self._filled[key] = filled
+            return filled
+
+        return _LOST_RUN.sub(run, token)
+
+    def _fitting(self, c: str) -> set[str] | None:
+        """The characters a lost one may be; an empty set for any beyond ASCII, None if it is not lost."""
+        return set() if c == LOST else self._sets[ord(c) - ord(_OPEN)] if c >= _OPEN else None
+
+    def _fillings(self, piece: str, left: str, right: str) -> dict[str, float]:
+        """Readings of a stretch of letters and lost characters between two classes of neighbours, with their bits: known words, parted by known signs."""
+        sets = [self._fitting(c) for c in piece]
+        n = len(piece)
+        ends: list[dict[str, float]] = [{} for _ in range(n + 1)]  # readings of what is left from each place
+        ends[n][""] = 0.0
+        for i in range(n - 1, -1, -1):
+            out = ends[i]
+            for word, bits in self._words_like(piece[i:], sets[i:], n == 1 and left != "c" != right).items():
+                out[word] = bits
+            for p in range(i, n):
+                if sets[p] is None:
+                    continue
+                sides = left if p == 0 else "a", right if p == n - 1 else "a"
+                if not sets[p] and "c" in sides:
+                    continue  # it may be a character of the unspaced script
+                before = {"": 0.0} if p == i else self._words_like(piece[i:p], sets[i:p], False)
+                for c, bits in self._beside.get(sides, ()):
+                    if (c in sets[p] if sets[p] else not _IDEOGRAM.match(c)) and not c.isascii():
+                        for x, own in before.items():
+                            for y, rest in ends[p + 1].items():
+                                if own + bits + rest < out.get(x + c + y, 1e9):
+                                    out[x + c + y] = own + bits + rest
+        return ends[0]
+
+    def _words_like(self, piece: str, sets: list[set[str] | None], alone: bool) -> dict[str, float]:
+        """Known words that fit, with their bits; in capitals also if the table has them in small letters.
+
+        A word of which no letter is left is one only if it has one letter and stands ``alone``.
+        """
+        lost = [k for k, x in enumerate(sets) if x is not None]
+        if not lost:
+            bits = self.costs.get(piece, self.costs.get(piece.lower()))
+            return {} if bits is None else {piece: bits}
+        if len(lost) == len(piece) and not alone:
+            return {}
+        out: dict[str, float] = {}
+        intact = [(k, c) for k, c in enumerate(piece) if sets[k] is None]
+        capitals = len(intact) > 1 and all(c.isupper() for _, c in intact)
+        capital = bool(intact) and intact[0][0] == 0 and intact[0][1].isupper()
+        for w in self._words.get(len(piece), ()):
+            if w.isascii():
+                continue
+            forms = (w, w.upper()) if capitals else (w, w[0].upper() + w[1:]) if capital else (w,)
+            for form in forms:
+                if len(form) == len(piece) and all(form[k] == c for k, c in intact) and all(form[k] in sets[k] if sets[k] else form[k] >= "\x80" for k in lost):
+                    if self.costs[w] < out.get(form, 1e9):
+                        out[form] = self.costs[w]
+        return out
 
     def restore_once(self, line: str, again: bool = True) -> tuple[str, float]:
         """The cheapest reading of the line in any encoding, and how many bits it saves.
 
         Bytes that are valid UTF-8 throughout are evidence enough of a reading that saves ``GAIN_UTF8`` bits. Any other must
         save ``GAIN`` bits and either hold more known words and pairs than the line and no more unknown units, or more
-        common signs, fewer unknown units and no fewer known words.
+        common signs, fewer unknown units and no fewer known words. The reading of a line with lost bytes must
+        hold a known word or pair.
         """
         lost = LOST in line
         bits, known, unknown, signs, _ = self.measure(line.replace(LOST, ""))
         present = bits + BAD_BYTE * line.count(LOST)
         best, least, twice = line, present, set()
+        done: set[tuple] = set()
         for decoder in MISREAD_AS:
             data = self._bytes(line, decoder)
             if data is None:
@@ -310,12 +488,22 @@ class Restorer:
                 if encoding == decoder:
                     continue
                 spoiled, valid = 0.0, False
+                if lost:
+                    key = (encoding, *data)
+                    if key in done:
+                        continue
+                    done.add(key)
                 if encoding not in _WIDEST:
+                    text = bytes([0 if x is None else x for x in data]).decode(encoding, "replace")
                     if lost:
+                        if LOST in text:
+                            continue  # of bytes that are there
+                        text = "".join(LOST if x is None else c for x, c in zip(data, text))
+                    if not self.known.issuperset(text.replace(LOST, "") if lost else text):
                         continue
-                    text = bytes(data).decode(encoding, "replace")
-                    if not self.known.issuperset(text):
-                        continue
+                    if lost:
+                        text = self.fill(text)
+                        spoiled = BAD_BYTE * text.count(LOST)
                 else:
                     text = bytes([63 if x is None else x for x in data]).decode(encoding, "replace")
                     odd = sum(c not in self.known for c in text)
@@ -331,8 +519,9 @@ class Restorer:
                 got += spoiled
                 if got >= least:
                     continue
-                better = more > known and less <= unknown or common > signs and less < unknown and more >= known
-                if lost or (got + GAIN_UTF8 <= present if valid else got + GAIN <= present and better):
+                # a line with lost bytes has more characters, and so more chance pairs, than its reading
+                better = (more > known or lost and more > 0) and less <= unknown or common > signs and less < unknown and more >= known
+                if got + GAIN_UTF8 <= present if valid else got + GAIN <= present and better:
                     best, least = text, got
         for once in twice:
             text, _ = self.restore_once(once, again=False)
@@ -375,7 +564,7 @@ class Restorer:
             line, damaged = text, True
             if not self.suspicious(line):
                 break
-        return line, damaged
+        return self.fill(line) if LOST in line else line, damaged
 
     def damaged(self, text: str | None) -> bool:
         """Whether any line is damaged."""

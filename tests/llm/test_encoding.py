@@ -56,3 +56,28 @@ def test_found(spark):
     back = {r["document_id"]: (r["restored"], r["damaged_lines"]) for r in encoding.restored(df).collect()}
     assert back["bad"] == ("x\n" + CLEAN[0], 1) and back["null"] == (None, 0)
     assert encoding.found(df.limit(0)).count() == 0
+
+
+def _restorer_of(texts):
+    counts: dict = {}
+    for t in texts:
+        for token in t.split():
+            for u in [*encoding._ASCII_WORD.findall(token), *encoding.units(token)]:
+                counts[u] = counts.get(u, 0) + 1
+    return encoding.Restorer(encoding.costs_of(counts, sum(counts.values())))
+
+
+def test_lost_bytes_of_alphabets_are_read_by_whole_words():
+    r = _restorer_of([*CLEAN * 50, "Le débit relevé, the operator’s findings at s, reste ± 3 m²."] * 50)
+    for text in ("Le débit relevé reste.", "Débit RELEVÉ", "the operator’s findings", "L’équipe a nécessité"):
+        lost = text.encode("cp1252").decode("utf-8", "replace")
+        assert encoding.LOST in lost and r.restore(lost) == (text, 1)
+    for lost in ("comiss�o", "����1.67��", "�� �", "zzz� kept", "\U000f0000 \U00100001�"):  # no known word fits
+        assert r.restore(lost) == (lost, 1)
+    assert r.restore("Le débit relevé à".encode().decode("latin-1").replace("\xa9", "�", 1))[0].startswith("Le débit relevé")
+
+
+def test_words_are_counted_in_ascii_too(spark):
+    df = spark.createDataFrame([("the operator’s café",), ("the pump",), (None,)], "text STRING")
+    got = {r["unit"]: r["n"] for r in encoding.count_units(df).collect()}
+    assert got == {"the": 2, "operator": 1, "s": 1, "pump": 1, "a’a": 1, "café": 1}
