@@ -271,7 +271,7 @@ class Restorer:
         return out
 
     def _matching(self, pattern: tuple, encoding: str) -> list[str]:
-        """Known characters whose bytes fit a pattern with wildcards; a lost byte is none of ASCII."""
+        """All known characters whose bytes fit a pattern with wildcards; a lost byte is none of ASCII."""
         masks = self._masks.get(encoding)
         if masks is None:
             masks = self._masks[encoding] = {}
@@ -281,9 +281,7 @@ class Restorer:
                 except UnicodeEncodeError:
                     continue
                 for bits in range(1, 1 << len(b)):
-                    group = masks.setdefault(tuple(None if bits >> i & 1 else x for i, x in enumerate(b)), [])
-                    if len(group) < 16:
-                        group.append(c)
+                    masks.setdefault(tuple(None if bits >> i & 1 else x for i, x in enumerate(b)), []).append(c)
         return masks.get(pattern, [])
 
     def _arc(self, pattern: tuple, encoding: str) -> tuple[dict[str, float], str, float]:

@@ -81,3 +81,15 @@ def test_words_are_counted_in_ascii_too(spark):
     df = spark.createDataFrame([("the operator’s café",), ("the pump",), (None,)], "text STRING")
     got = {r["unit"]: r["n"] for r in encoding.count_units(df).collect()}
     assert got == {"the": 2, "operator": 1, "s": 1, "pump": 1, "a’a": 1, "café": 1}
+
+
+def test_a_rarer_character_is_read_by_its_neighbours():
+    """Of characters that share the bytes left, any known one is a candidate, however many are more frequent."""
+    usual = [chr(o) for o in range(0x6D40, 0x6D7F) if chr(o) != "浦"]
+    r = _restorer_of([f"{c}甲{c}乙" for c in usual] * 50 + ["青浦区的记录已提交审核小组。"] * 3)
+    text = "青浦区的记录已提交审核小组。"
+    data: list = list(text.encode())
+    data[5] = None  # the last byte of the second character
+    assert r.read(data, "utf-8") == (text, 0.0)
+    damaged = "".join("�" if x is None else bytes([x]).decode("latin-1") for x in data)
+    assert r.restore(damaged) == (text, 1)
