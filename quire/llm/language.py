@@ -5,7 +5,8 @@ String-kernel classification: a text is the set of its character n-grams of one
 common. Landmarks drawn evenly from the sure examples span a Nyström approximation of that kernel, in which one ridge
 regression per language is fitted against the rest. Because the kernel is linear in the n-grams, landmark map
 and regression collapse into one weight per n-gram and language, and paragraphs are scored in batches by one matrix
-product of their presence rows with these weights.
+product of their presence rows with these weights. A long paragraph is scored by stretches of equal length: its score is the
+mean of theirs, and its number of known n-grams their sum, so that both mean the same at any length.
 
 A document's main language is the one with most letters in its paragraphs. Labels are read through a table of codes and
 names. Text is brought into one form, and damaged lines are restored, before it is scored.
@@ -33,8 +34,10 @@ LONGEST = 4
 #: Landmarks of each language.
 LANDMARKS = 20
 RIDGE = 1e-3
-#: Paragraphs scored by one product.
+#: Stretches scored by one product.
 BATCH = 256
+#: A longer text is scored by stretches of so many characters at most, as the presence of n-grams saturates.
+STRETCH = 600
 _SLOTS = 21
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -164,10 +167,19 @@ class Model:
         return product[:, :-1] / np.sqrt(np.maximum(known, 1))[:, None], known
 
     def classify(self, texts: list[str]) -> list[tuple[np.ndarray, float]]:
-        """``scores`` of any number of texts, by batches."""
-        out: list[tuple[np.ndarray, float]] = []
-        for at in range(0, len(texts), BATCH):
-            out.extend(zip(*self.scores(texts[at : at + BATCH])))
+        """``scores`` of any number of texts of any length, by batches of stretches."""
+        parts = [max(1, -(-len(t) // STRETCH)) for t in texts]
+        stretches = [t[len(t) * k // n : len(t) * (k + 1) // n] for t, n in zip(texts, parts) for k in range(n)]
+        scored: list[tuple[np.ndarray, float]] = []
+        for at in range(0, len(stretches), BATCH):
+            scored.extend(zip(*self.scores(stretches[at : at + BATCH])))
+        if len(scored) == len(texts):
+            return scored
+        out, at = [], 0
+        for n in parts:
+            own = scored[at : at + n]
+            at += n
+            out.append(own[0] if n == 1 else (np.mean([s for s, _ in own], 0), sum(k for _, k in own)))
         return out
 
 

@@ -49,3 +49,22 @@ def test_found(spark, samples):
     assert language.paragraphs(contracts, table.limit(0)).where("lang IS NOT NULL").count() == 0
     confidence = [r["confidence"] for r in language.paragraphs(contracts, table).where("lang IS NOT NULL").collect()]
     assert all(0 <= c <= 1 for c in confidence)
+
+
+def test_long_paragraphs_count_as_short_ones_do(samples):
+    by: dict = {}
+    for lang, t in samples:
+        by.setdefault(lang, []).append(t.replace("\n", " "))
+    model = language.Model(samples)
+    restorer = language.encoding.Restorer({})
+
+    def long(lang, letters=50_000):
+        text = " ".join(by[lang])
+        return text * (letters // language._letters(text) + 1)
+
+    for lang in sorted(by):
+        other = "fr" if lang != "fr" else "ru"
+        alone, mixed, within = language.languages_of([long(lang), long(lang) + "\n\n" + by[other][0] + "\n\n" + by[other][1], "\n\n".join([*by[other][:4] * 200, long(lang, 5_000)])], model, restorer)
+        assert [x for x, _ in alone] == [lang, lang]
+        assert [x for x, _ in mixed] == [lang, lang, other, other]
+        assert (within[0][0], within[-1][0]) == (other, lang)
