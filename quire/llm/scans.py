@@ -241,6 +241,7 @@ class Reader:
         self.rarest = max(0.5, TRIPLE_SHARE * made["totals"].get("t", 0) / 6)
         self._candidates: dict[str, tuple[tuple[str, float], ...]] = {}
         self._plain: set[str] = set()
+        self._changes: dict[str, bool] = {}
         self._confusable = re.compile("[" + "".join(map(re.escape, self.confusions)) + "]") if self.confusions else None
 
     def candidates(self, word: str) -> tuple[tuple[str, float], ...]:
@@ -426,22 +427,47 @@ class Reader:
             line = _NUMBER.sub(_digits, line)
         return line, wrong
 
-    def _doubtful(self, line: str) -> bool:
-        """Whether the line holds a confusable character, one that is mostly right not counting in a known triple."""
-        for m in self._confusable.finditer(line):
-            j = m.start()
-            if m.group() not in self.common:
-                return True
-            around = line[max(0, j - 1) : j + 2]
-            if len(around) == 3 and "".join("0" if c.isascii() and (c.isdigit() or c.isupper()) else _WIDE.get(c, c) for c in around) not in self.triples:
+    def _reading(self, c: str, windows: list[tuple[str, int]]) -> str | None:
+        """What a confusable character was, by the triples it stands in and its place in each; None if itself."""
+        triples, rarest = self.triples, self.rarest
+        best, most = None, CHARACTER_GAIN
+        for usual, bits in self.confusions[c]:
+            gain = -bits
+            for x, o in windows:
+                gain += math.log2((triples.get(x[:o] + usual + x[o + 1 :], 0) + rarest) / (triples.get(x, 0) + rarest))
+            if gain > most:
+                best, most = usual, gain
+        return best
+
+    def _doubtful(self, lines: list[str], i: int) -> bool:
+        """Whether the line holds a confusable character; one that is mostly right counts if it reads otherwise between its neighbours, also across line breaks."""
+        found = self._confusable.findall(lines[i])
+        if not found:
+            return False
+        if not self.common.issuperset(found):
+            return True
+        # two characters of what stands around the line
+        before = _classes(lines[i - 1])[-2:] if i and "�" not in lines[i - 1] else ""
+        after = _classes(lines[i + 1])[:3] if i + 1 < len(lines) and "�" not in lines[i + 1] else ""
+        own = _classes(lines[i])
+        around = (before + own + after).replace("00", "0")
+        around = "\n\n" + around + "\n\n"
+        for m in self._confusable.finditer(around):
+            context = around[m.start() - 2 : m.start() + 3]
+            changes = self._changes.get(context)
+            if changes is None:
+                if len(self._changes) > 200_000:
+                    self._changes.clear()
+                changes = self._changes[context] = self._reading(context[2], [(context[o : o + 3], 2 - o) for o in range(3)]) is not None
+            if changes:
                 return True
         return False
 
     def _read_characters(self, lines: list[str], misread: set[int]) -> None:
         """Corrects confused characters of unspaced script in ``lines``, with contexts that reach over line breaks."""
-        triples, confused, rarest = self.triples, self.confusions, self.rarest
+        confused = self.confusions
         # stretches of characters with their places, from lines that hold a confusable one and their neighbours; digits and capitals are one class
-        near = {j for i, line in enumerate(lines) if self._doubtful(line) for j in (i - 1, i, i + 1)}
+        near = {j for i in range(len(lines)) if self._doubtful(lines, i) for j in (i - 1, i, i + 1)}
         chars: list[str] = []
         places: list[tuple[int, int]] = []
         for i in sorted(near & set(range(len(lines)))):
@@ -463,17 +489,10 @@ class Reader:
         n = len(chars)
         changes: dict[int, dict[int, str]] = {}
         for k in range(n):
-            options = confused.get(chars[k])
-            if not options:
+            if chars[k] not in confused:
                 continue
             windows = [("".join(chars[a : a + 3]), k - a) for a in range(max(0, k - 2), min(k, n - 3) + 1)]
-            best, most = None, CHARACTER_GAIN
-            for usual, bits in options:
-                gain = -bits
-                for x, o in windows:
-                    gain += math.log2((triples.get(x[:o] + usual + x[o + 1 :], 0) + rarest) / (triples.get(x, 0) + rarest))
-                if gain > most:
-                    best, most = usual, gain
+            best = self._reading(chars[k], windows)
             if best:
                 i, j = places[k]
                 changes.setdefault(i, {})[j] = best
@@ -509,6 +528,13 @@ class Reader:
 
 #: Signs that the consistent form narrows, as the counts have them.
 _WIDE = {",": "，", ";": "；"}
+_WIDER = str.maketrans(_WIDE | {" ": None})
+_CODES = re.compile("[0-9A-Z]+")
+
+
+def _classes(line: str) -> str:
+    """The line as the counts have it: no blanks, and digits and capitals as one class."""
+    return _CODES.sub("0", line.translate(_WIDER))
 
 
 # Openings of lines that stand by themselves.

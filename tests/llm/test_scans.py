@@ -62,3 +62,16 @@ def test_confused_characters_are_learned_from_settled_contexts(spark):
     texts = [text] * 200 + [text.replace("未", "末")] + [text.replace("检", "俭")]
     found, _ = scans.confusions(scans.count_grams(spark.createDataFrame([(t,) for t in texts], "text STRING")))
     assert found["末"][0][0] == "未"
+
+
+def test_characters_that_are_mostly_right_are_read_at_line_ends_and_in_known_triples():
+    """A misread character is found wherever it stands in the line, and also where the misread triple is itself in the table."""
+    right, wrong = "采样队未出现可测的漂移", "采样队末出现可测的漂移"
+    triples = {t: 5000 for t in map("".join, zip(right, right[1:], right[2:]))}
+    triples |= {t: 5 for t in map("".join, zip(wrong, wrong[1:], wrong[2:])) if "末" in t}  # known: damaged often enough
+    reader = scans.Reader({"w": {}, "p": {}, "h": {}, "t": triples, "totals": {"t": 10**6}, "confusions": {"末": [("未", 3.0)]}, "common": {"末"}})
+    for text in (wrong, "采样队末\n出现可测的漂移", "采样队\n末出现可测的漂移", "采样队\n末\n出现可测的漂移", "采 样 队\n末 出现可测的漂移"):
+        lines, _, misread = reader.read(text)
+        assert "\n".join(lines) == text.replace("末", "未") and misread == {text[: text.index("末")].count("\n")}
+    for text in (right, "年末", "末", "采样队�\n末", "12末\n34"):
+        assert not reader.read(text)[2]
