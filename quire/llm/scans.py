@@ -578,19 +578,36 @@ def _reader(shared) -> Reader:
 HEADING_LABELS = ("paragraph_title", "figure_title", "table_title", "caption", "figure_caption", "table_caption")
 
 
-#: Lines of more characters, or bytes, are no furniture; headers are shorter still.
+#: Longer lines than these characters, or these of so many bytes, are compared with the document's title only; a header of the corpus is no longer than the last.
 LONGEST_FURNITURE, WIDEST_FURNITURE, LONGEST_HEADER = 66, 100, 44
+#: By so many characters a misread line may be longer than the title it repeats.
+SLACK = 10
+#: So many documents with long titles are sent to all tasks; more are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 
-def _short(line: str) -> bool:
-    return 0 < len(line.strip()) <= LONGEST_FURNITURE and len(line.encode("utf-8", "replace")) <= WIDEST_FURNITURE
+def _short(line: str, slack: int = 0) -> bool:
+    n = len(line) + slack
+    return n <= LONGEST_HEADER or n <= LONGEST_FURNITURE and len(line.encode("utf-8", "replace")) + slack <= WIDEST_FURNITURE
+
+
+def _bare(core: str) -> str:
+    """The part of a line that is no page number, without a closing code."""
+    core = core.strip()
+    return _CODE_END.sub("", core) if core[-1:] in _CODE_LAST else core
+
+
+_CODE_LAST = set("0123456789-/OSBlIosbLi")
 
 
 _COLUMNS = re.compile(r"\s{2,}|\t")
+_OTHER_BLANK = re.compile(r"[^\S ]")
 
 
 def _cores(line: str) -> tuple[str | None, bool] | None:
     """The part of a line that is no page number, and whether another part is one; None if several parts are none."""
+    if len(line) > LONGEST_FURNITURE and "  " not in line and not _OTHER_BLANK.search(line):
+        return line.strip(), False
     if is_page_number(line):
         return None, True
     parts = [p for p in _COLUMNS.split(line.strip()) if p]
@@ -605,47 +622,68 @@ def _cores(line: str) -> tuple[str | None, bool] | None:
 _DASHED = re.compile(r"- [0-9OlIS]+ -(?:\s|$)|\| ?[0-9OlIS]+(?:\s{2,}|$)")
 
 
-def edge_lines(tab: str, label: str | None, lines: list[str], page: int) -> Iterator[tuple[int, str | None, bool, bool, str]]:
-    """Lines that may be furniture: number from 1, skeleton of the core, whether a page number is on the line, whether at the page's edge, and a role."""
+def edge_lines(tab: str, label: str | None, lines: list[str], page: int, long: bool = False) -> Iterator[tuple[int, str | None, bool, bool, str]]:
+    """Lines that may be furniture: number from 1, skeleton of the core, whether a page number is on the line, whether at the page's edge, and a role.
+
+    Titles and marked lines are among them at any length, of others the short ones, or if ``long`` only those that are not.
+    """
+
+    def wanted(core: str | None) -> bool:
+        return not long if core is None else _short(core if len(core) <= LONGEST_HEADER else _bare(core)) != long
+
     if tab == "native_text_pages":
         filled = [i for i, x in enumerate(lines) if x.strip()]
         edge = set(filled[:2] + filled[-2:])
         first = filled[0] if filled else -1
         for i in filled:
-            if _short(lines[i]) and (i in edge or len(lines[i]) <= LONGEST_HEADER):
-                c = _cores(lines[i]) if i in edge else (lines[i].strip(), False)
-                if c and (i in edge or len(lines[i]) <= LONGEST_HEADER and not _SENTENCE_END.search(lines[i])):
-                    role = "title" if page == 1 and i == first else "top" if i in filled[:2] else "line"
-                    yield i + 1, _core_shape(c[0]), c[1], i in edge, role
+            if i in edge:
+                c = _cores(lines[i])
+                role = "title" if page == 1 and i == first else "top" if i in filled[:2] else "line"
+                if c and (not long if role == "title" else wanted(c[0])):
+                    yield i + 1, _core_shape(c[0]), c[1], True, role
+            elif not long and len(lines[i]) <= LONGEST_HEADER and not _SENTENCE_END.search(lines[i]):  # counts against headers of the corpus only
+                yield i + 1, _core_shape(lines[i].strip()), False, False, "line"
     elif tab == "parsed_documents":
         titled = False
         for i, x in enumerate(lines):
-            if not _short(x) or (i and lines[i - 1].strip()) or (i + 1 < len(lines) and lines[i + 1].strip()):
+            if not x.strip() or (i and lines[i - 1].strip()) or (i + 1 < len(lines) and lines[i + 1].strip()):
                 continue
             if x.startswith("# ") and not titled:
                 titled = True
-                yield i + 1, _core_shape(x[2:]), False, False, "title"
+                if not long:
+                    yield i + 1, _core_shape(x[2:]), False, False, "title"
             elif not x.startswith(("#", "|", "!", "- ", "* ", "• ")) or _DASHED.match(x):
                 c = _cores(x)
-                if c:
+                if c and wanted(c[0]):
                     yield i + 1, _core_shape(c[0]), c[1], True, "line"
             elif x.startswith("#"):
-                yield i + 1, _core_shape(x), False, False, "heading"
-            elif is_page_number(x):
+                if wanted(x):
+                    yield i + 1, _core_shape(x), False, False, "heading"
+            elif not long and is_page_number(x):
                 yield i + 1, None, True, True, "line"
     else:
         marked = label in ("header", "footer", "number", "page_header", "page_footer", "page_number")
         filled = [i for i, x in enumerate(lines) if x.strip()]
         if len(filled) == 1 or marked:
             for i in filled:
-                if _short(lines[i]):
-                    c = _cores(lines[i])
-                    if c or marked:
-                        c = c or (lines[i], False)
-                        role = "marked" if marked else "title" if label == "doc_title" else "heading" if label in HEADING_LABELS else "line"
+                c = _cores(lines[i])
+                if c or marked:
+                    c = c or (lines[i], False)
+                    role = "marked" if marked else "title" if label == "doc_title" else "heading" if label in HEADING_LABELS else "line"
+                    if not long if role in ("marked", "title") else wanted(c[0]):
                         yield i + 1, _core_shape(c[0]), c[1], role != "heading", role
 
 
+def long_title(lines: list[str], edges: list[tuple]) -> bool:
+    """Whether a title is so long that lines with it may be missing in ``edges``."""
+    for i, _, _, _, role in edges:
+        if role == "title" and len(lines[i - 1]) > LONGEST_HEADER - SLACK:
+            c = _cores(_LEADING.sub("", lines[i - 1]))
+            if c and c[0] and not _short(_bare(c[0]), SLACK):
+                return True
+    return False
+
+
 _LEADING = re.compile(r"^[#\s]*(?:[0-9OlIS]+(?:\.[0-9OlIS]+)*\.?\s+)?")
 
 
@@ -660,8 +698,8 @@ LINES = (
 )
 
 
-def lines_of(records: DataFrame, made: dict) -> DataFrame:
-    """Split and misread lines, and lines that may be furniture (kind ``edge``), of ``tab, document_id, page_number, part_no, label, text``."""
+def lines_of(records: DataFrame, made: dict, long: bool = False) -> DataFrame:
+    """Split and misread lines, lines that may be furniture (kind ``edge``), and long titles (kind ``long``); if ``long`` only long lines that may be furniture; of ``tab, document_id, page_number, part_no, label, text``."""
     shared = records.sparkSession.sparkContext.broadcast(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -672,9 +710,15 @@ def lines_of(records: DataFrame, made: dict) -> DataFrame:
                 if not text:
                     continue
                 lines, split, misread = r.read(text)
+                if long:
+                    out += [(tab, doc, page, part, i, "edge", s, n, e, role) for i, s, n, e, role in edge_lines(tab, label, lines, page, long)]
+                    continue
                 out += [(tab, doc, page, part, i + 1, "hyphen", None, None, None, None) for i in split]
                 out += [(tab, doc, page, part, i + 1, "misread", None, None, None, None) for i in misread]
-                out += [(tab, doc, page, part, i, "edge", s, n, e, role) for i, s, n, e, role in edge_lines(tab, label, lines, page)]
+                edges = list(edge_lines(tab, label, lines, page))
+                out += [(tab, doc, page, part, i, "edge", s, n, e, role) for i, s, n, e, role in edges]
+                if long_title(lines, edges):
+                    out.append((tab, doc, page, part, 0, "long", None, None, None, None))
             columns = list(zip(*out)) if out else [[]] * 10
             types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [x.split()[0] for x in LINES.split(", ")])
@@ -688,8 +732,15 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
 
     ``publishers`` are names that may stand in headers, from a table of fixed size.
     """
-    lines = checkpoint(lines_of(records, tables(records)).distinct())
+    made = tables(records)
+    lines = checkpoint(lines_of(records, made).distinct())
     edges = lines.where("kind = 'edge'")
+    # documents with long titles are looked through again for lines of that length
+    longs = lines.where("kind = 'long'").select("document_id").distinct()
+    number = longs.count()
+    if number:
+        longs = F.broadcast(longs) if number <= MOST_BROADCAST else longs
+        edges = edges.unionByName(checkpoint(lines_of(records.join(longs, "document_id", "left_semi"), made, long=True).distinct()))
     keys = ["tab", "document_id", "page_number", "part_no", "line_no"]
 
     # headers of the corpus: shapes that stand nearly always at edges of pages
@@ -724,7 +775,7 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
     again = shown.where(F.col("edge") | (F.col("tab") != "native_text_pages")).where(~heading).select(*keys)
     plain = marked.where("edge AND role <> 'heading'").where(F.col("shape").isNull() | (F.col("role") == "marked") | known | F.col("is_header").isNotNull()).where("is_title IS NULL OR role = 'marked'").select(*keys)
     furniture = again.unionByName(plain).distinct()
-    rest = lines.where("kind <> 'edge'").select(*keys, "kind").join(furniture, keys, "left_anti")
+    rest = lines.where("kind NOT IN ('edge', 'long')").select(*keys, "kind").join(furniture, keys, "left_anti")
     return furniture.withColumn("kind", F.lit("furniture")).unionByName(rest)
 
 

@@ -75,3 +75,20 @@ def test_characters_that_are_mostly_right_are_read_at_line_ends_and_in_known_tri
         assert "\n".join(lines) == text.replace("末", "未") and misread == {text[: text.index("末")].count("\n")}
     for text in (right, "年末", "末", "采样队�\n末", "12末\n34"):
         assert not reader.read(text)[2]
+
+
+LONG_TITLES = [
+    "Report on the long term control of the settling basins and of the monitoring wells in the eastern district of the river",
+    "Отчёт о долговременном контроле отстойников и наблюдательных скважин восточного района",
+    "关于东部地区沉淀池与监测井在长期控制范围内运行情况以及相关检修台账核对结果的年度综合报告",
+]
+
+
+@pytest.mark.parametrize("title", LONG_TITLES)
+def test_running_titles_of_any_length_are_furniture(spark, title):
+    pages = [("native_text_pages", "t", p, 0, None, f"{title}\n{BODY}\n{BODY}\n{title}        {p}") for p in (1, 2, 3)]
+    pages += [("native_text_pages", "o", 1, 0, None, f"Other\n{BODY}"), ("native_text_pages", "o", 2, 0, None, f"{title}\n{BODY}\n{BODY}")]  # not its own title
+    pages += [("parsed_documents", "t", 0, 0, None, f"# {title}\n\n{BODY}\n\n{title}\n\n{BODY}"), ("run_pages", "t", 2, 1, "header", title)]
+    frame = spark.createDataFrame([(*r, "k", "s") for r in pages], SCHEMA)
+    got = {(r["document_id"], r["tab"][:1], r["page_number"], r["line_no"]) for r in scans.found(frame, []).where("kind = 'furniture'").collect()}
+    assert got == {*(("t", "n", p, i) for p in (1, 2, 3) for i in (1, 6) if (p, i) != (1, 1)), ("t", "p", 0, 6), ("t", "r", 2, 1)}
