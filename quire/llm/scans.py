@@ -8,7 +8,7 @@ over the candidates of its words, or of its characters.
 
 Words split at a line's end are told from words broken at their own hyphen by how often the corpus has the joined
 and the hyphenated form. Page numbers are known by their form and place. Running headers and footers are known by
-repetition: a line that stands nearly always at the edge of pages, or a document's title that comes again.
+repetition: a line that stands nearly always at the edge of pages, of the corpus or of its document, or a document's title that comes again.
 
 The tables hold what makes up a fixed share of the corpus or more, so their size is bounded; they are
 counted over all texts.
@@ -43,6 +43,8 @@ FAR_MORE = {3: 3000.0, 4: 200.0, 5: 40.0}
 SHORT_SHARE = 3e-5
 #: A header stands at the edge of its page in this share of its occurrences, and makes up this share of edge lines.
 EDGE_SHARE, HEADER_SHARE = 0.85, 2e-5
+#: The least number of pages that a header of the corpus, or of one document, stands on, whatever the size of the corpus.
+HEADER_PAGES = 5
 #: A confusable character that is misread in a smaller share of its occurrences is mostly right.
 COMMON_SHARE = 0.1
 #: Bits that a reading of a character must save beyond those of the confusion.
@@ -746,21 +748,25 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
     # headers of the corpus: shapes that stand nearly always at edges of pages
     native = edges.where("tab = 'native_text_pages' AND shape IS NOT NULL AND role <> 'title'")
     total = native.where("edge").count()
-    least = max(5, HEADER_SHARE * total)
+    least = max(HEADER_PAGES, HEADER_SHARE * total)
+    plain = native.where("length(shape) <= 40 AND NOT shape RLIKE '[.。，,;；:：#{}|]'")
+    within = plain.groupBy("document_id", "shape").agg(F.count("*").alias("n"), F.sum(F.col("edge").cast("int")).alias("at_edge"), F.countDistinct("page_number").alias("pages"))
     repeated = (
-        native.groupBy("shape")
-        .agg(F.count("*").alias("n"), F.sum(F.col("edge").cast("int")).alias("at_edge"), F.countDistinct("document_id", "page_number").alias("pages"))
-        .where(f"at_edge >= {EDGE_SHARE} * n AND pages >= {least} AND length(shape) <= 40")
-        .where("NOT shape RLIKE '[.。，,;；:：#{}|]'")
+        within.groupBy("shape").agg(F.sum("n").alias("n"), F.sum("at_edge").alias("at_edge"), F.sum("pages").alias("pages"))
+        .where(f"at_edge >= {EDGE_SHARE} * n AND pages >= {least}")
         .select("shape")
     )
+    own = within.where(f"at_edge >= {EDGE_SHARE} * n AND pages >= {HEADER_PAGES}").select("document_id", "shape")
     headings = edges.where("role = 'heading' AND shape IS NOT NULL").groupBy("shape").agg(F.countDistinct("document_id").alias("d")).where("d > 1").select("shape")
     # at most 1 / HEADER_SHARE shapes of 40 characters: joined by broadcast, as a third of all lines may be page numbers, without shape
     repeated = F.broadcast(repeated.join(headings, "shape", "left_anti"))
     names = sorted({_core_shape(one_form(p)) for p in publishers if p and p.strip()})
     known = F.col("shape").isin(names) if names else F.lit(False)
 
-    titles = edges.where("role = 'title' AND shape IS NOT NULL").select("document_id", "shape").distinct().withColumn("is_title", F.lit(True))
+    # shapes at the edge of several pages of one document; its other records, too, are looked at
+    own = own.join(headings, "shape", "left_anti").withColumn("is_own", F.lit(True))
+    titles = edges.where("role = 'title' AND shape IS NOT NULL").select("document_id", "shape", F.lit(True).alias("is_title"), F.lit(None).cast("boolean").alias("is_own"))
+    titles = titles.unionByName(own.withColumn("is_title", F.lit(None).cast("boolean"))).groupBy("document_id", "shape").agg(F.max("is_title").alias("is_title"), F.max("is_own").alias("is_own"))
     marked = edges.join(titles, ["document_id", "shape"], "left").join(repeated.withColumn("is_header", F.lit(True)), "shape", "left")
 
     # a title on the first page is the heading, unless it is there twice: then the one at the foot, or else the first, is the header
@@ -773,7 +779,7 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
         "WHEN tab = 'run_pages' THEN role = 'title' OR (times = 1 AND role <> 'marked') WHEN times = 1 THEN true WHEN foot THEN role <> 'line' ELSE nth = 2 END"
     )
     again = shown.where(F.col("edge") | (F.col("tab") != "native_text_pages")).where(~heading).select(*keys)
-    plain = marked.where("edge AND role <> 'heading'").where(F.col("shape").isNull() | (F.col("role") == "marked") | known | F.col("is_header").isNotNull()).where("is_title IS NULL OR role = 'marked'").select(*keys)
+    plain = marked.where("edge AND role <> 'heading'").where(F.col("shape").isNull() | (F.col("role") == "marked") | known | F.col("is_header").isNotNull() | F.col("is_own").isNotNull()).where("is_title IS NULL OR role = 'marked'").select(*keys)
     furniture = again.unionByName(plain).distinct()
     rest = lines.where("kind NOT IN ('edge', 'long')").select(*keys, "kind").join(furniture, keys, "left_anti")
     return furniture.withColumn("kind", F.lit("furniture")).unionByName(rest)

@@ -92,3 +92,12 @@ def test_running_titles_of_any_length_are_furniture(spark, title):
     frame = spark.createDataFrame([(*r, "k", "s") for r in pages], SCHEMA)
     got = {(r["document_id"], r["tab"][:1], r["page_number"], r["line_no"]) for r in scans.found(frame, []).where("kind = 'furniture'").collect()}
     assert got == {*(("t", "n", p, i) for p in (1, 2, 3) for i in (1, 6) if (p, i) != (1, 1)), ("t", "p", 0, 6), ("t", "r", 2, 1)}
+
+
+def test_headers_of_one_document_are_found_in_a_large_corpus(spark, monkeypatch):
+    monkeypatch.setattr(scans, "HEADER_SHARE", 0.5)  # as in a corpus where a header must stand on more pages than the document has
+    pages = [("native_text_pages", "own", p, 0, None, f"Title\n{BODY}\n{BODY}\nSection of the wells") for p in range(1, 9)]
+    pages += [("native_text_pages", f"d{d}", 1, 0, None, f"Title {d}\n{BODY}\n{BODY}\nClosing words {'abcdefgh'[d]}") for d in range(8)]
+    frame = spark.createDataFrame([(*r, "k", "s") for r in pages], SCHEMA)
+    got = {(r["document_id"], r["page_number"], r["line_no"]) for r in scans.found(frame, []).where("kind = 'furniture' AND line_no > 1").collect()}
+    assert got == {("own", p, 6) for p in range(1, 9)}
