@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def tree_order(edges: DataFrame, roots: DataFrame, deepest: int = 100) -> DataFrame:
+def tree_order(edges: DataFrame, roots: DataFrame, deepest: int | None = None) -> DataFrame:
     """``root, node, reading_order``: depth-first order of each root's tree.
 
     ``edges`` are ``parent, ord, child``, ``roots`` are ``root, node``. A node met again later is skipped; the order is
-    dense and starts at 0; the root itself has no place. A branch deeper than ``deepest`` levels, as in a cycle, ends there.
+    dense and starts at 0; the root itself has no place. A branch ends where it would come to a node on its own path, as in a cycle,
+    and otherwise goes to any depth; if ``deepest`` is given, it ends at so many levels.
     """
     spark = edges.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
+    bound = "" if deepest is None else f"AND w.depth < {int(deepest) - 1}"
     walked = spark.sql(
         f"""
-        WITH RECURSIVE walk(root, node, path, depth) AS (
-          SELECT root, node, CAST(array() AS ARRAY<BIGINT>), 0 FROM {{roots}}
+        WITH RECURSIVE walk(root, node, path, met, depth) AS (
+          SELECT root, node, CAST(array() AS ARRAY<BIGINT>), array(node), 0 FROM {{roots}}
           UNION ALL
-          SELECT w.root, e.child, concat(w.path, array(CAST(e.ord AS BIGINT))), w.depth + 1
-          FROM walk w JOIN {{edges}} e ON w.node = e.parent WHERE w.depth < {int(deepest) - 1}
+          SELECT w.root, e.child, concat(w.path, array(CAST(e.ord AS BIGINT))), concat(w.met, array(e.child)), w.depth + 1
+          FROM walk w JOIN {{edges}} e ON w.node = e.parent WHERE NOT array_contains(w.met, e.child) {bound}
         )
         SELECT root, node, path FROM walk WHERE depth > 0
         """,

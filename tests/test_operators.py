@@ -48,6 +48,13 @@ def test_tree_order_skips_repeats_and_ends_cycles(spark):
     assert list(got) == ["g", "t2", "t1"]
 
 
+def test_tree_order_reaches_any_depth(spark):
+    edges = spark.createDataFrame([(str(i), 0, str(i + 1)) for i in range(120)] + [("120", 0, "0"), ("120", 1, "last")], "parent STRING, ord BIGINT, child STRING")
+    roots = spark.createDataFrame([("d", "0")], "root STRING, node STRING")
+    got = [r["node"] for r in order.tree_order(edges, roots).orderBy("reading_order").collect()]
+    assert got == [*map(str, range(1, 121)), "last"]
+
+
 def test_block_order_with_missing_order_keeps_places(spark):
     b = spark.createDataFrame([("r", 1, 1, 5), ("r", 1, 2, 3), ("r", 2, 1, 9), ("r", 2, 2, None), ("r", 2, 3, 1)], "run_id STRING, page_number INT, block_no INT, block_order BIGINT")
     got = [(r["page_number"], r["block_no"]) for r in order.block_order(b).orderBy("reading_order").collect()]
