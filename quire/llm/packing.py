@@ -4,8 +4,9 @@ Variable-capacity best fit over the histogram of sizes. Sizes are whole and at m
 capacity, so the histogram has at most that many entries whatever the number of items, and equal items
 and equal bins are placed as one. Sizes are taken in falling order; each goes to the open bin it fills
 best, and where none has room a bin of the capacity that costs least is opened. Which capacity that is
-depends on all items, so every opening rule over the permitted capacities is carried through and the cheapest plan
-is kept; at the end each bin is downsized to the smallest capacity that holds its contents. Items are then
+depends on all items, so several opening rules are carried through and the cheapest plan is kept: for each permitted capacity, that
+one wherever it holds the item, else the smallest that does; and for each size the capacity that costs least for an item of it. These are
+not all rules there could be. At the end each bin is downsized to the smallest capacity that holds its contents. Items are then
 matched with the plan's slots by their rank among the items of their size, found by a two-step count in which
 no group of equal sizes is held by one task.
 
@@ -81,11 +82,12 @@ def best_fit(histogram: dict[int, int], opening: dict[int, int]) -> list[Bins]:
 
 
 def plan(histogram: dict[int, int], capacities: list[int]) -> tuple[list[Bins], list[int]]:
-    """The cheapest plan over all opening rules, and each group's capacity after downsizing."""
+    """The cheapest plan over the opening rules, and each group's capacity after downsizing."""
     capacities = sorted(set(capacities))
     best: tuple[int, list[Bins], list[int]] | None = None
-    for preferred in capacities:
-        opening = {s: preferred if s <= preferred else capacities[bisect.bisect_left(capacities, s)] for s in histogram}
+    rules = [{s: preferred if s <= preferred else capacities[bisect.bisect_left(capacities, s)] for s in histogram} for preferred in capacities]
+    rules.append({s: min((c for c in capacities if c >= s), key=lambda c: (c / (c // s), c)) for s in histogram})  # by the cost of an item
+    for opening in rules:
         bins = [b for b in best_fit(histogram, opening) if b.contents]
         fitted = [capacities[bisect.bisect_left(capacities, b.used)] for b in bins]
         cost = sum(c * b.count for c, b in zip(fitted, bins))

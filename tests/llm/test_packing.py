@@ -64,3 +64,8 @@ def test_one_size_holds_a_third(spark):
     sizes = [(i, 7) for i in range(2000)] + [(5000 + i, 1 + i % 50) for i in range(4000)]
     rows = [tuple(r) for r in packing.fill(spark.createDataFrame(sizes, "doc_id BIGINT, tokens BIGINT"), [64, 256]).collect()]
     check(rows, sizes, [64, 256])
+
+
+def test_bins_are_opened_by_the_cost_of_an_item():
+    bins, fitted = packing.plan({6: 1, 5: 2, 3: 2}, [6, 10])  # one preferred capacity gives 24 or 26
+    assert sum(c * b.count for c, b in zip(fitted, bins)) == 22
