@@ -3,10 +3,11 @@
 A noisy channel: the corpus gives the frequencies of its words with letters beyond ASCII, of
 neighbouring characters of scripts written without spaces, and of other signs between their neighbours'
 classes. A line costs the sum of its units' code lengths. Where a line holds rare units, also in the
-consistent form of look-alike characters, it is turned back into bytes under each
-known decoding; lost bytes (U+FFFD) become wildcards. The byte lattice is then read in each known
-encoding by exact Viterbi search over all characters the corpus knows, and the cheapest reading of all is taken. If
-it is cheaper by enough bits and holds more known words, the line is damaged and the reading is its restored text; the
+consistent form of look-alike characters, or bytes like those of UTF-8, its stretches are turned back into bytes under each
+known decoding; lost bytes (U+FFFD) become wildcards. Bytes that decode are read so; the byte lattice of others is read in each known
+encoding by exact Viterbi search over all characters the corpus knows. A second Viterbi search, over the stretches of the line, parts it into right
+and damaged spans under one decoder and encoding, by the word frequencies of what stands there and of what is read. If the cheapest reading
+saves enough bits and holds more known words, its spans are damaged and are replaced; nothing outside them is touched. The
 search is repeated on the result for text that was decoded wrongly twice. A line with a lost byte is damaged even
 if nothing can be read from it.
 
@@ -14,7 +15,8 @@ A lost letter or sign, in any encoding or in a line that is right otherwise, is
 among them, and signs that fit the stretch between white space are compared, and U+FFFD stays where none fits or two are about as likely.
 
 The unit table holds units with a share of at least ``MIN_SHARE`` of all, thus at most ``1 / MIN_SHARE`` of them whatever the size
-of the corpus, and is counted over all texts.
+of the corpus, and is counted over all texts. Stretches that are valid UTF-8 under some decoder are not counted, and words that are a commoner
+one in the wrong encoding are left out, so that the damage of a large source does not pass for what texts are written with.
 
 Defined results: a null text stays null and is not damaged; an empty or blank one is not damaged; a record that is delivered
 twice counts once in ``found``; lines without a cheaper reading stay as they are.
@@ -25,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,18 +53,31 @@ UNPAIRED = 8.0
 BAD_BYTE = 20.0
 #: Bits by which the reading of a lost letter or sign must be cheaper than any other, and of one that stands between blanks.
 MARGIN, MARGIN_ALONE = 1.0, 8.0
+#: Bits of passing from right to damaged text or back inside a line.
+SWITCH = 3.0
+#: Bits by which another pair of an unspaced script must be cheaper for a pair to be taken as its misreading.
+PAIR_GAIN = 6.0
+#: Bits that a search may save at a bad and at a lost byte against plain decoding; and by which a reading of one stretch may cost more than in another encoding, as a line has one.
+ROOM, ROOM_LOST, SLACK = 8.0, 50.0, 20.0
 
 # Character ranges of alphabets beyond ASCII, and of scripts written without spaces.
 ALPHABETS = "À-ÖØ-öø-ʯ̀-ͯͰ-߿Ḁ-῿"
 UNSPACED = "⺀-⿟々-〇〡-〩぀-ヿㄅ-ㄯ㐀-鿿가-힯豈-﫿ｦ-ﾟ"
 # Decoders by which text may have been misread, and encodings it may have had.
 MISREAD_AS = ("cp1252", "latin-1", "cp1251", "mac_roman", "cp437", "cp850", "koi8-r", "cp866", "cp932", "gbk", "big5", "euc_jp", "euc_kr", "cp1250", "iso8859-15", "iso8859-5", "iso8859-2", "mac_cyrillic")
-WRITTEN_AS = ("utf-8", "cp1252", "cp1251", "gbk", "cp932", "euc_jp", "big5", "koi8-r", "mac_roman", "cp437", "cp850", "cp866")
+WRITTEN_AS = (
+    "utf-8", "cp1252", "cp1251", "gbk", "cp932", "euc_jp", "big5", "koi8-r", "mac_roman", "cp437", "cp850", "cp866", "cp1250", "iso8859-15", "iso8859-5", "iso8859-2", "mac_cyrillic", "euc_kr",
+)
+# Signs that may stand beside a damaged word in another encoding's text.
+_NEUTRAL = set("’‘“”„«»‹›–—…•·、。，；：（）「」")
+_ASCII = set(map(chr, range(128)))
 # Signs that stand inside words.
 INSIDE_WORDS = "’‘\xad‐‑–²³"
 _WIDEST = {"utf-8": 4, "gbk": 2, "cp932": 2, "euc_jp": 3, "big5": 2, "euc_kr": 2}
 
 _PARTS = re.compile(f"[{UNSPACED}]+|[A-Za-z{ALPHABETS}]+|[^\x00-\x7f]")
+#: No language writes words of accented Latin letters alone.
+_NO_WORD = re.compile("[À-ÖØ-öø-ɏ]{4,}")
 _LETTER = re.compile(f"[A-Za-z{ALPHABETS}]")
 _IDEOGRAM = re.compile(f"[{UNSPACED}]")
 LOST = "�"
@@ -70,9 +85,38 @@ LOST = "�"
 _OPEN = "\U000f0000"
 _LOST_STRETCH = re.compile(f"\\S*[{LOST}{_OPEN}-\U000ffffd]\\S*")
 _LOST_RUN = re.compile(f"[A-Za-z{ALPHABETS}{LOST}{_OPEN}-\U000ffffd]+")
+#: Blanks between stretches; those set between the characters of an unspaced script part nothing.
+_BLANKS = re.compile(f"((?<![{UNSPACED}，。；：、（）℃0-9%.])[ \t]+|[ \t]+(?![{UNSPACED}，。；：、（）℃0-9%.]))")
+_BEYOND = re.compile("[^\x00-\x7f]+")
+_UTF8 = re.compile(
+    rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|\xed[\x80-\x9f][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|\xf4[\x80-\x8f][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}"
+)
+_UTF8_OR_BYTE = re.compile(_UTF8.pattern + rb"|[\x00-\xff]")
+#: What texts of the known scripts are made of.
+_USUAL = re.compile(f"[\x00-\x7f¡-¿À-ž{UNSPACED}Ѐ-џ\u2010-\u2044\u2103\u2116\u3000-\u3020\uff01-\uff5e]*")
 _ASCII_WORD = re.compile(f"(?<![{ALPHABETS}A-Za-z])[A-Za-z]+(?![{ALPHABETS}A-Za-z])")
 
 
+def _utf8_like() -> set[str]:
+    """Pairs of characters, and characters of two bytes, whose bytes under some decoder begin a sequence of UTF-8."""
+    out: set[str] = set()
+    for decoder in MISREAD_AS:
+        if decoder in _WIDEST:
+            for b in range(0xC2, 0xF5):
+                for x in range(0x80, 0xC0):
+                    out.update(bytes([b, x]).decode(decoder, "ignore")[:1])
+        else:
+            lead, more = (
+                [bytes([x]).decode(decoder, "ignore") or chr(x) for x in range(a, z)] for a, z in ((0xC2, 0xF5), (0x80, 0xC0))
+            )
+            out.update(a + z for a in lead for z in more)
+    return out
+
+
+_LIKE_UTF8 = _utf8_like()
+
+
 def _side(c: str) -> str:
     if not c:
         return "e"
@@ -104,6 +148,28 @@ def units(token: str) -> list[str]:
     return out
 
 
+def counted(token: str) -> list[str]:
+    """The units of a stretch without white space and its words in ASCII; none if its bytes under some decoder are valid UTF-8 of usual characters, as damage is no evidence of what texts are written with."""
+    found = _ASCII_WORD.findall(token)
+    if token.isascii():
+        return found
+    return [] if _misread_utf8(token) else found + units(token)
+
+
+def _misread_utf8(token: str) -> bool:
+    m = _BEYOND.search(token)
+    if m.group()[:2] not in _LIKE_UTF8 and m.group()[0] not in _LIKE_UTF8:
+        return False
+    for decoder in MISREAD_AS:
+        try:
+            text = token.encode(decoder).decode()
+        except UnicodeError:
+            continue
+        if _USUAL.fullmatch(text):
+            return True
+    return False
+
+
 def count_units(texts: DataFrame, column: str = "text") -> DataFrame:
     """``unit, n``: how often each unit, and each word in ASCII, occurs in all texts."""
 
@@ -123,11 +189,8 @@ def count_units(texts: DataFrame, column: str = "text") -> DataFrame:
             for token, n in tokens.items():
                 if token.isalpha() and token.isascii():
                     total[token] += n
-                    continue
-                for u in _ASCII_WORD.findall(token):
-                    total[u] += n
-                if not token.isascii():
-                    for u in units(token):
+                else:
+                    for u in counted(token):
                         total[u] += n
             if len(total) > 300_000:
                 yield emit()
@@ -151,7 +214,7 @@ def _natural(unit: str, share: float) -> bool:
         return share >= (MIN_SHARE if _IDEOGRAM.match(c) else MIN_SIGN_SHARE)
     if unit.isascii():
         return share >= MIN_SHARE
-    if any(ord(c) in FOLDS for c in unit):
+    if any(ord(c) in FOLDS for c in unit) or _NO_WORD.fullmatch(unit):
         return False
     return share >= (MIN_SHARE if len(unit) > 1 else MIN_SIGN_SHARE)
 
@@ -161,6 +224,31 @@ def costs_of(counts: dict[str, int], total: int) -> dict[str, float]:
     return {u: -math.log2(n / total) for u, n in counts.items() if _natural(u, n / total)}
 
 
+def without_misreadings(costs: dict[str, float]) -> dict[str, float]:
+    """The table without words and pairs that are a commoner one, read in the wrong single step between two encodings.
+
+    So damage that fills a share of the corpus does not pass for what texts are written with. A word of an alphabet counts from four
+    letters on; a pair of an unspaced script, which may be so by chance, if the other is ``PAIR_GAIN`` bits cheaper.
+    """
+    doubted = [u for u in costs if not u.isascii() and not is_sign(u) and len(u) >= (2 if _IDEOGRAM.match(u) else 4)]
+    dropped: set[str] = set()
+    for decoder in MISREAD_AS:
+        data = []
+        for u in doubted:
+            try:
+                data.append((u, u.encode(decoder)))
+            except UnicodeEncodeError:
+                pass
+        for encoding in WRITTEN_AS:
+            if encoding == decoder:
+                continue
+            for u, b in data:
+                other = costs.get(b.decode(encoding, "replace"))
+                if other is not None and other + (PAIR_GAIN if _IDEOGRAM.match(u) else 0.0) < costs[u]:
+                    dropped.add(u)
+    return {u: bits for u, bits in costs.items() if u not in dropped}
+
+
 def unit_costs(counts: DataFrame) -> dict[str, float]:
     """Bits of each unit with a share of ``MIN_SHARE`` or more, and likewise of each word in ASCII: at most ``1 / MIN_SHARE`` of either."""
     counts = checkpoint(counts.withColumn("plain", F.expr("octet_length(unit) = length(unit)")))  # read twice
@@ -169,7 +257,11 @@ def unit_costs(counts: DataFrame) -> dict[str, float]:
     for plain, total in totals.items():
         rows = counts.where((F.col("plain") == plain) & (F.col("n") >= max(2, MIN_SHARE * total))).collect()
         out.update(costs_of({r["unit"]: r["n"] for r in rows}, total))
-    return out
+    return without_misreadings(out)
+
+
+def _two_best(bits: dict[str, float]) -> dict[str, float]:
+    return dict(sorted(bits.items(), key=lambda x: (x[1], x[0]))[:2]) if len(bits) > 2 else bits
 
 
 class Restorer:
@@ -207,8 +299,13 @@ class Restorer:
         self._open: dict[str, str] = {}
         self._sets: list[set[str]] = []
         self._filled: dict[tuple, str] = {}
+        self._options: dict[str, dict] = {}
+        self._singles: dict[str, dict] = {}
+        self._giving: dict[str, int] = {}
         self._tokens: dict[str, tuple[float, int, int, int, float]] = {}
-        self.signs = {u for u in costs if is_sign(u)}
+        signs = {u for u in costs if is_sign(u)}
+        self._common = {u for u in signs if costs[u] <= COMMON_SIGN and (u[0] != "a" or u[1] in "²³")}
+        self._wordlike = {u for u in costs if len(u) > 1 and u not in signs}
         self._alphabet: dict[str, set[str]] = {}
 
     def measure(self, text: str) -> tuple[float, int, int, int, float]:
@@ -226,25 +323,17 @@ class Restorer:
         return bits, known, unknown, common, rarest
 
     def _measure_token(self, token: str) -> tuple[float, int, int, int, float]:
-        get = self.costs.get
-        bits, known, unknown, common, rarest = 0.0, 0, 0, 0, 0.0
-        for u in units(token):
-            own = get(u)
-            if own is None:
-                own = UNKNOWN + UNKNOWN_MORE * (len(u) - 1)
-                unknown += 1
-            elif u in self.signs:
-                common += own <= COMMON_SIGN and (u[0] != "a" or u[1] in "²³")
-            else:
-                known += len(u) > 1
-            bits += own
-            if own > rarest:
-                rarest = own
+        found = units(token)
+        bits = [*map(self.costs.get, found)]
+        unknown = bits.count(None)
+        if unknown:
+            bits = [UNKNOWN + UNKNOWN_MORE * (len(u) - 1) if x is None else x for u, x in zip(found, bits)]
+        out = sum(bits), sum(map(self._wordlike.__contains__, found)), unknown, sum(map(self._common.__contains__, found)), max(bits, default=0.0)
         if len(token) < 30:
             if len(self._tokens) > 200_000:
                 self._tokens.clear()
-            self._tokens[token] = bits, known, unknown, common, rarest
-        return bits, known, unknown, common, rarest
+            self._tokens[token] = out
+        return out
 
     def suspicious(self, line: str) -> bool:
         """Whether the line holds a unit that the table lacks."""
@@ -270,6 +359,52 @@ class Restorer:
                         out.append(ord(c))
         return out
 
+    def _decoders(self, c: str) -> int:
+        """The decoders that can have given a character beyond ASCII, as bits."""
+        known = self._giving.get(c)
+        if known is None:
+            known = self._giving[c] = -1 if c == LOST else sum(1 << i for i, d in enumerate(MISREAD_AS) if self._bytes(c, d) is not None)
+        return known
+
+    def _spans(self, token: str, rich: bool, known: int, unknown: int) -> dict[tuple, list[str]]:
+        """The token as maximal stretches that can have come from a decoder, as bytes (with None for lost ones), and the text between them, with the decoders; by whether they are of several bytes, too.
+
+        Parts of a token are sought in scripts without blanks only; every unknown unit must lie in one, as what stands between them is right. Such a token of known pairs for the most part is not damaged throughout.
+        """
+        beyond = set(token) - _ASCII
+        whole = part = -1
+        for c in beyond:
+            whole &= self._decoders(c)
+        if rich and (unknown or LOST in token):
+            for u in units(token.replace(LOST, " ")):
+                if u not in self.costs:
+                    bits = 0
+                    for c in u:
+                        if c >= "\x80":
+                            bits |= self._decoders(c)
+                    part &= bits
+        else:
+            part = 0
+        if rich and known > 3 * unknown and LOST not in token:
+            whole = 0
+        groups: dict[tuple, list[str]] = {}
+        for i, decoder in enumerate(MISREAD_AS):
+            if whole >> i & 1:
+                spans: list = [tuple(self._bytes(token, decoder))]
+            elif part >> i & 1:
+                spans = []
+                for c in token:
+                    own = (ord(c),) if c < "\x80" else tuple(self._bytes(c, decoder)) if self._decoders(c) >> i & 1 else None
+                    kind = str if own is None else tuple
+                    if spans and type(spans[-1]) is kind:
+                        spans[-1] += c if own is None else own
+                    else:
+                        spans.append(c if own is None else own)
+            else:
+                continue
+            groups.setdefault((tuple(spans), decoder in _WIDEST), []).append(decoder)
+        return groups
+
     def _matching(self, pattern: tuple, encoding: str) -> list[str]:
         """All known characters whose bytes fit a pattern with wildcards; a lost byte is none of ASCII."""
         masks = self._masks.get(encoding)
@@ -308,10 +443,11 @@ class Restorer:
                 return c
         return ""
 
-    def read(self, data: list[int | None], encoding: str) -> tuple[str, float]:
+    def read(self, data: Sequence[int | None], encoding: str, kept: str | None = None) -> tuple[str, float]:
         """The cheapest reading of a byte lattice, and the bits of what it could not explain.
 
-        A character of which no byte is left is read only by a known pair with a neighbour that has bytes left.
+        A character of which no byte is left is read only by a known pair with a neighbour that has bytes left. ``kept`` are the
+        characters as they stand, if each came from one byte: a byte that nothing explains keeps its own; otherwise it is lost.
         """
         if None not in data:
             try:
@@ -373,14 +509,17 @@ class Restorer:
                         for c in few:
                             if c in many:
                                 reach(end, c, bits + min(pairs[c], unspaced[c]), last)
-            reach(at + 1, LOST, base + BAD_BYTE, cheapest)
+            stay = LOST if kept is None or data[at] is None else "\0" + kept[at]
+            reach(at + 1, stay, base + BAD_BYTE, cheapest)
         last = min(states[n], key=lambda c: states[n][c][0])
         out, at = [], n
         while at > 0:
             out.append(last)
             _, at, last = states[at][last]
-        text = _LOST_STRETCH.sub(lambda m: self._fill_stretch(m.group()), "".join(reversed(out)))
-        return text, BAD_BYTE * text.count(LOST)
+        bad = sum(c[:1] == "\0" and len(c) > 1 for c in out)
+        text = "".join(c[-1] if c[:1] == "\0" else c for c in reversed(out))
+        text = _LOST_STRETCH.sub(lambda m: self._fill_stretch(m.group()), text)
+        return text, BAD_BYTE * (bad + text.count(LOST))
 
     def fill(self, text: str) -> str:
         """The text with the lost letters and signs that a known word, or a sign's neighbours, settle; others are U+FFFD."""
@@ -416,28 +555,33 @@ class Restorer:
         return set() if c == LOST else self._sets[ord(c) - ord(_OPEN)] if c >= _OPEN else None
 
     def _fillings(self, piece: str, left: str, right: str) -> dict[str, float]:
-        """Readings of a stretch of letters and lost characters between two classes of neighbours, with their bits: known words, parted by known signs."""
+        """The two cheapest readings of a stretch of letters and lost characters between two classes of neighbours, with their bits: known words, parted by known signs.
+
+        Bits add up, so that the two best of the whole are made of the two best of its parts.
+        """
         sets = [self._fitting(c) for c in piece]
         n = len(piece)
         ends: list[dict[str, float]] = [{} for _ in range(n + 1)]  # readings of what is left from each place
         ends[n][""] = 0.0
         for i in range(n - 1, -1, -1):
             out = ends[i]
-            for word, bits in self._words_like(piece[i:], sets[i:], n == 1 and left != "c" != right).items():
-                out[word] = bits
+            out.update(self._words_like(piece[i:], sets[i:], n == 1 and left != "c" != right))
             for p in range(i, n):
                 if sets[p] is None:
                     continue
                 sides = left if p == 0 else "a", right if p == n - 1 else "a"
                 if not sets[p] and "c" in sides:
                     continue  # it may be a character of the unspaced script
-                before = {"": 0.0} if p == i else self._words_like(piece[i:p], sets[i:p], False)
-                for c, bits in self._beside.get(sides, ()):
-                    if (c in sets[p] if sets[p] else not _IDEOGRAM.match(c)) and not c.isascii():
-                        for x, own in before.items():
-                            for y, rest in ends[p + 1].items():
-                                if own + bits + rest < out.get(x + c + y, 1e9):
-                                    out[x + c + y] = own + bits + rest
+                if not ends[p + 1]:
+                    continue
+                before = {"": 0.0} if p == i else _two_best(self._words_like(piece[i:p], sets[i:p], False))
+                signs = {c: bits for c, bits in self._beside.get(sides, ()) if (c in sets[p] if sets[p] else not _IDEOGRAM.match(c)) and not c.isascii()}
+                for c, bits in _two_best(signs).items():
+                    for x, own in before.items():
+                        for y, rest in ends[p + 1].items():
+                            if own + bits + rest < out.get(x + c + y, 1e9):
+                                out[x + c + y] = own + bits + rest
+            ends[i] = _two_best(out)
         return ends[0]
 
     def _words_like(self, piece: str, sets: list[set[str] | None], alone: bool) -> dict[str, float]:
@@ -465,62 +609,252 @@ class Restorer:
                         out[form] = self.costs[w]
         return out
 
-    def restore_once(self, line: str, again: bool = True) -> tuple[str, float]:
-        """The cheapest reading of the line in any encoding, and how many bits it saves.
-
-        Bytes that are valid UTF-8 throughout are evidence enough of a reading that saves ``GAIN_UTF8`` bits. Any other must
-        save ``GAIN`` bits and either hold more known words and pairs than the line and no more unknown units, or more
-        common signs, fewer unknown units and no fewer known words. The reading of a line with lost bytes must
-        hold a known word or pair.
-        """
-        lost = LOST in line
-        bits, known, unknown, signs, _ = self.measure(line.replace(LOST, ""))
-        present = bits + BAD_BYTE * line.count(LOST)
-        best, least, twice = line, present, set()
-        done: set[tuple] = set()
+    def _read_plainly(self, data: tuple, encoding: str, decoder: str) -> tuple:
+        """A stretch of bytes read in an encoding without a search, the bits of what is unexplained, and whether it is valid UTF-8 throughout; less if it cannot be
+        read so: empty if a search would not help either, of one part else."""
+        lost = None in data
+        if encoding not in _WIDEST:
+            text = bytes([0 if x is None else x for x in data] if lost else data).decode(encoding, "replace")
+            if lost:
+                if LOST in text:
+                    return ()  # of bytes that are there
+                text = "".join([LOST if x is None else c for x, c in zip(data, text)])
+            if not self.known.issuperset(text.replace(LOST, "") if lost else text):
+                return ()
+            if lost:
+                text = self.fill(text)
+            return text, BAD_BYTE * text.count(LOST), False
+        if lost:
+            return (None,)
+        raw = bytes(data)
+        try:
+            text = raw.decode(encoding)
+        except UnicodeDecodeError:
+            if encoding == "utf-8" and decoder not in _WIDEST and _UTF8.search(raw):  # valid sequences among right letters of the decoder
+                text = "".join([x.decode() if len(x) > 1 else self._alone(x, decoder) for x in _UTF8_OR_BYTE.findall(raw)])
+                if self.known.issuperset(text):
+                    return text, 0.0, False
+            return (None,)
+        if encoding == "utf-8":
+            return text, 0.0, True
+        return (text, 0.0, False) if self.known.issuperset(text) else ()
+
+    def _least(self, data: tuple, encoding: str) -> float:
+        """About the least bits that a reading of the lattice costs: those of its plain decoding, in which a lost byte is a sign or goes with the next byte, less ``ROOM`` for each bad byte and ``ROOM_LOST`` for each lost one."""
+        least, lost = math.inf, sum(x is None for x in data)
+        for width in (1, 2) if lost else (1,):
+            plain, skip = [], 0
+            for x in data:
+                skip = width if x is None else max(0, skip - 1)
+                plain.append(63 if skip else x)
+            text = bytes(plain).decode(encoding, "replace")
+            if lost or any(c >= "\x80" and c in self.characters for c in text):
+                bad = text.count(LOST)
+                least = min(least, self.measure(text.replace(LOST, ""))[0] + (BAD_BYTE - (0.0 if encoding == "utf-8" else ROOM)) * bad - ROOM_LOST * lost)
+        return least
+
+    def _lattice(self, data: tuple, encoding: str, decoder: str) -> tuple[str, float]:
+        kept = None
+        if decoder not in _WIDEST:
+            kept = "".join("?" if x is None else self._alone(bytes([x]), decoder) for x in data)
+        return self.read(data, encoding, kept)
+
+    @staticmethod
+    def _alone(byte: bytes, decoder: str) -> str:
+        try:
+            return byte.decode(decoder)
+        except UnicodeDecodeError:
+            return chr(byte[0])
+
+    def _valid_utf8(self, line: str) -> dict[tuple[str, str], str]:
+        """By decoder, the readings of a line whose bytes are valid UTF-8 throughout."""
+        out = {}
         for decoder in MISREAD_AS:
             data = self._bytes(line, decoder)
-            if data is None:
-                continue
-            for encoding in WRITTEN_AS:
-                if encoding == decoder:
+            if data is not None:
+                try:
+                    text = bytes(data).decode()
+                except UnicodeDecodeError:
                     continue
-                spoiled, valid = 0.0, False
-                if lost:
-                    key = (encoding, *data)
-                    if key in done:
-                        continue
-                    done.add(key)
-                if encoding not in _WIDEST:
-                    text = bytes([0 if x is None else x for x in data]).decode(encoding, "replace")
-                    if lost:
-                        if LOST in text:
-                            continue  # of bytes that are there
-                        text = "".join(LOST if x is None else c for x, c in zip(data, text))
-                    if not self.known.issuperset(text.replace(LOST, "") if lost else text):
-                        continue
-                    if lost:
-                        text = self.fill(text)
-                        spoiled = BAD_BYTE * text.count(LOST)
+                out[decoder, "utf-8"] = text
+        return out
+
+    def options(self, token: str) -> dict[tuple[str, str], tuple]:
+        """Of a stretch without blanks: by decoder and encoding its reading, with bits, known words, unknown units, common signs, and whether it is valid UTF-8.
+
+        Only maximal stretches that the decoder can have given are read; what stands between them stays as it is.
+        """
+        found = self._options.get(token)
+        if found is not None:
+            return found
+        found = {}
+        bits, known, unknown, _, _ = self.measure(token.replace(LOST, ""))
+        present = bits + BAD_BYTE * token.count(LOST)
+        rich = _IDEOGRAM.search(token) is not None
+        narrow = not rich and LOST not in token
+        groups, options = self._spans(token, rich, known, unknown), {}
+        best, searched = self._add_single(token, found) if narrow else math.inf, []
+        for (spans, wide), decoders in groups.items():
+            for encoding in _WIDEST if narrow and not wide else WRITTEN_AS:
+                if decoders == [encoding]:
+                    continue
+                read = [(x, 0.0, None) if type(x) is str else self._read_plainly(x, encoding, decoders[0]) for x in spans]
+                if () in read:
+                    continue
+                if (None,) not in read:
+                    best = min(best, self._note(found, options, token, read, decoders, encoding))
                 else:
-                    text = bytes([63 if x is None else x for x in data]).decode(encoding, "replace")
-                    odd = sum(c not in self.known for c in text)
-                    if not lost and LOST not in text:
-                        valid = encoding == "utf-8"
-                    elif odd * 3 > sum(c >= "\x80" for c in text):
+                    least = sum(self._least(x, encoding) for x, r in zip(spans, read) if r == (None,))
+                    if least + GAIN <= present:
+                        searched.append((least, len(searched), spans, read, decoders, encoding))
+        for least, _, spans, read, decoders, encoding in sorted(searched):  # the likeliest first
+            if least > best + SLACK:
+                break
+            read = [(*self._lattice(x, encoding, decoders[0]), False) if r == (None,) else r for x, r in zip(spans, read)]
+            best = min(best, self._note(found, options, token, read, decoders, encoding))
+        if rich and unknown >= 6 and LOST not in token:
+            self._add_stretches(token, found)
+        if len(token) < 40:
+            if len(self._options) > 50_000:
+                self._options.clear()
+            self._options[token] = found
+        return found
+
+    def _note(self, found: dict, options: dict, token: str, read: list, decoders: list[str], encoding: str) -> float:
+        """Adds a reading of the token; its bits."""
+        text = "".join([x[0] for x in read])
+        if text == token:
+            return math.inf
+        key = text, sum([x[1] for x in read]), all([x[2] for x in read])
+        option = options.get(key)
+        if option is None:
+            option = options[key] = self._option(*key)
+        for decoder in decoders:
+            if decoder != encoding:
+                found[decoder, encoding] = option
+        return option[1]
+
+    def _option(self, text: str, spoiled: float, valid: bool) -> tuple:
+        bits, known, unknown, common, _ = self.measure(text.replace(LOST, ""))
+        return text, bits + spoiled, known, unknown, common, valid
+
+    def _add_single(self, token: str, found: dict) -> float:
+        """Adds readings between encodings of one byte a character; the bits of the best."""
+        beyond = set(token) - _ASCII
+        maps = sorted((self._single(c) for c in beyond), key=len)
+        best, options = math.inf, {}
+        for pair in maps[0]:
+            if pair != "c" and all(pair in m for m in maps):
+                text = token.translate({ord(m["c"]): m[pair] for m in maps})
+                if text == token:
+                    continue
+                option = options.get(text)
+                if option is None:
+                    option = options[text] = self._option(text, 0.0, False)
+                    best = min(best, option[1])
+                found[pair] = option
+        return best
+
+    def _single(self, c: str) -> dict:
+        """What a character is by decoder and encoding, where both have one byte for a character; signs of punctuation that a decoder lacks stay."""
+        known = self._singles.get(c)
+        if known is None:
+            known = self._singles[c] = {"c": c}
+            for decoder in MISREAD_AS:
+                if decoder in _WIDEST:
+                    continue
+                data = self._bytes(c, decoder)
+                for encoding in WRITTEN_AS:
+                    if encoding in _WIDEST or encoding == decoder:
                         continue
+                    if data is None:
+                        if c in _NEUTRAL:
+                            known[decoder, encoding] = c
                     else:
-                        text, spoiled = self.read(data, encoding)
-                if valid and again:
-                    twice.add(text)
-                got, more, less, common, _ = self.measure(text.replace(LOST, ""))
-                got += spoiled
-                if got >= least:
-                    continue
-                # a line with lost bytes has more characters, and so more chance pairs, than its reading
-                better = (more > known or lost and more > 0) and less <= unknown or common > signs and less < unknown and more >= known
-                if got + GAIN_UTF8 <= present if valid else got + GAIN <= present and better:
-                    best, least = text, got
+                        other = bytes(data).decode(encoding, "replace")
+                        if other in self.known:
+                            known[decoder, encoding] = other
+        return known
+
+    def _add_stretches(self, token: str, found: dict) -> None:
+        """Adds readings of the stretch of unknown pairs inside a token that is right elsewhere, where its characters took several bytes each."""
+        odd = [i for i, (c, d) in enumerate(zip(token, token[1:])) if _IDEOGRAM.match(c) and _IDEOGRAM.match(d) and c + d not in self.costs]
+        if not odd or 2 * len(odd) < odd[-1] - odd[0] + 1:
+            return
+        for decoder in _WIDEST:
+            if decoder == "utf-8":
+                continue
+            for a in range(max(0, odd[0] - 1), min(odd[0] + 3, len(token))):
+                for z in {*range(max(a + 2, odd[-1] - 1), min(odd[-1] + 3, len(token)) + 1), len(token)}:
+                    try:
+                        data = token[a:z].encode(decoder)
+                    except UnicodeEncodeError:
+                        continue
+                    for encoding in WRITTEN_AS:
+                        if encoding == decoder:
+                            continue
+                        try:
+                            text = data.decode(encoding)
+                        except UnicodeDecodeError:
+                            continue
+                        if self.known.issuperset(text):
+                            option = self._option(token[:a] + text + token[z:], 0.0, False)
+                            old = found.get((decoder, encoding))
+                            if old is None or option[1] < old[1]:
+                                found[decoder, encoding] = option
+
+    def restore_once(self, line: str, again: bool = True, utf8_only: bool = False) -> tuple[str, float]:
+        """The cheapest reading of the line, and how many bits it saves.
+
+        For each decoder and encoding the line is parted into right and damaged spans by Viterbi search over its stretches without
+        blanks; a span begins and ends at ``SWITCH`` bits. Bytes that are valid UTF-8 throughout are evidence enough of a reading that
+        saves ``GAIN_UTF8`` bits. Any other must save ``GAIN`` bits and either hold more known words and pairs than the line and no
+        more unknown units, or more common signs (where the whole line is damaged, or sequences of UTF-8 are read), fewer unknown units and no fewer known words. The reading of a line with lost
+        bytes must hold a known word or pair. Characters outside damaged spans stay as they are.
+        """
+        parts = _BLANKS.split(line)
+        places = [i for i in range(0, len(parts), 2) if not parts[i].isascii()]
+        own = []
+        for i in places:
+            t = parts[i]
+            lost = t.count(LOST)
+            bits, known, unknown, common, rarest = self.measure(t.replace(LOST, "") if lost else t)
+            own.append((t, bits + BAD_BYTE * lost, known, unknown, common, rarest))
+        present = sum(x[1] for x in own)
+        known, unknown, signs = (sum(x[k] for x in own) for k in (2, 3, 4))
+        if again and unknown >= 3 and LOST not in line:
+            whole = self._whole(line, present, known, unknown)
+            if whole is not None:
+                return whole
+        hopes: set[tuple[str, str]] = set()
+        for (t, bits, _, odd, _, rarest) in () if utf8_only else own:
+            if odd or rarest >= RARE or LOST in t:
+                hopes.update(pair for pair, x in self.options(t).items() if x[1] < bits)
+        lost = LOST in line
+        best, least, twice = line, present, set()
+        done = set()
+        if utf8_only:
+            hopes = set(self._valid_utf8(line))
+        for pair in sorted(hopes):
+            chosen, whole, valid = self._spans_of([(x, self.options(x[0]).get(pair)) for x in own])
+            if chosen is None:
+                continue
+            key = tuple(x[0] for x in chosen)
+            if key in done:
+                continue
+            done.add(key)
+            got = sum(x[1] for x in chosen)
+            more, less, common = (sum(x[k] for x in chosen) for k in (2, 3, 4))
+            text = None
+            if valid and again and pair[1] == "utf-8":
+                text = self._with(parts, places, chosen)
+                twice.add(text)
+            if got >= least:
+                continue
+            # a line with lost bytes has more characters, and so more chance pairs, than its reading
+            better = (more > known or lost and more > 0) and less <= unknown or less < unknown and more >= known and (whole and common > signs and (not less or pair[0] not in _WIDEST) or pair[1] == "utf-8")
+            if got + GAIN_UTF8 <= present if valid else got + GAIN <= present and better:
+                best, least = text or self._with(parts, places, chosen), got
         for once in twice:
             text, _ = self.restore_once(once, again=False)
             got, more, less, _, _ = self.measure(text)
@@ -528,35 +862,71 @@ class Restorer:
                 best, least = text, got
         return best, present - least
 
-    def valid_utf8(self, line: str) -> str | None:
-        """The cheapest reading of a line whose bytes under some decoder are valid UTF-8 throughout, if it saves ``GAIN_UTF8`` bits."""
-        present, best = self.measure(line)[0], None
+    def _whole(self, line: str, present: float, known: int, unknown: int) -> tuple[str, float] | None:
+        """The cheapest reading of a line that is damaged throughout, if it leaves no unknown unit, and the bits it saves; there is no better one then."""
+        best, least, done = None, present - GAIN, set()
         for decoder in MISREAD_AS:
             data = self._bytes(line, decoder)
-            if data is not None:
+            if data is None or (raw := bytes(data)) in done:
+                continue
+            done.add(raw)
+            for encoding in WRITTEN_AS:
                 try:
-                    text = bytes(data).decode()
+                    text = raw.decode(encoding)
                 except UnicodeDecodeError:
                     continue
-                bits = self.measure(text)[0]
-                if bits + GAIN_UTF8 <= present:
-                    best, present = text, bits + GAIN_UTF8
-        return best
+                if encoding != decoder and self.known.issuperset(text):
+                    got, more, less, _, _ = self.measure(text)
+                    if less == 0 and more > known and got < least:
+                        best, least = text, got
+        return None if best is None else (best, present - least)
+
+    @staticmethod
+    def _with(parts: list[str], places: list[int], chosen: list[tuple]) -> str:
+        out = list(parts)
+        for i, x in zip(places, chosen):
+            out[i] = x[0]
+        return "".join(out)
+
+    @staticmethod
+    def _spans_of(choices: list[tuple[tuple, tuple | None]]) -> tuple[list[tuple] | None, bool, bool]:
+        """The cheapest parting into right and damaged spans, nothing if none is damaged; whether all is damaged; and valid UTF-8, which is preferred."""
+        if all(y is not None and y[5] for _, y in choices):
+            return [y for _, y in choices], True, True
+        right, damaged, back = 0.0, 0.0, []
+        for x, y in choices:
+            to_right = (right, False) if right <= damaged + SWITCH else (damaged + SWITCH, True)
+            to_damaged = (damaged, True) if damaged <= right + SWITCH else (right + SWITCH, False)
+            right, damaged = to_right[0] + x[1], to_damaged[0] + y[1] if y is not None else math.inf
+            back.append((to_right[1], to_damaged[1]))
+        mode = damaged < right
+        chosen, count = [], 0
+        for (x, y), (from_right, from_damaged) in zip(reversed(choices), reversed(back)):
+            chosen.append(y if mode else x)
+            count += mode
+            mode = from_damaged if mode else from_right
+        return (chosen[::-1], count == len(choices), False) if count else (None, False, False)
+
+    def _like_utf8(self, line: str) -> bool:
+        """Whether the first character beyond ASCII and the next one can be the bytes of UTF-8 under some decoder."""
+        m = _BEYOND.search(line)
+        return m is not None and (m.group()[:2] in _LIKE_UTF8 or m.group()[0] in _LIKE_UTF8)
 
     def restore_line(self, line: str) -> tuple[str, bool]:
         """The restored line, and whether it was damaged."""
         if line.isascii():
             return line, False
+        utf8_only = False
         if LOST not in line:
             _, _, unknown, _, rarest = self.measure(line)
-            if rarest < RARE:
-                return line, False
-            if not unknown or not self.suspicious(one_form(line)):
-                text = self.valid_utf8(line)
-                return (line, False) if text is None else (text, True)
+            utf8_only = rarest < RARE or not unknown or not self.suspicious(one_form(line))
+            if utf8_only:  # what it holds is known, so that only bytes of UTF-8 are evidence
+                present = self.measure(line)[0]
+                if not self._like_utf8(line) or not any(self.measure(t)[0] + GAIN_UTF8 <= present for t in self._valid_utf8(line).values()):
+                    return line, False
         damaged = LOST in line
         for _ in range(3):
-            text, gain = self.restore_once(line)
+            text, gain = self.restore_once(line, utf8_only=utf8_only)
             if text is line or LOST in line and gain < GAIN:
                 break
             line, damaged = text, True
@@ -568,7 +938,7 @@ class Restorer:
         """Whether any line is damaged."""
         if not text or text.isascii():
             return False
-        return LOST in text or any(self.restore_line(x)[1] for x in text.split("\n"))
+        return any(self.restore_line(x)[1] for x in text.split("\n"))
 
     def restore(self, text: str | None) -> tuple[str | None, int]:
         """The text with its damaged lines restored, and their number."""

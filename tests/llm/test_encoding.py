@@ -93,3 +93,51 @@ def test_a_rarer_character_is_read_by_its_neighbours():
     assert r.read(data, "utf-8") == (text, 0.0)
     damaged = "".join("�" if x is None else bytes([x]).decode("latin-1") for x in data)
     assert r.restore(damaged) == (text, 1)
+
+
+HAN = "检修台账仍处于长期控制范围内，审核小组提交了修订后的数据"
+
+
+@pytest.fixture(scope="module")
+def words():
+    return _restorer_of([*CLEAN * 50, f"{HAN}。", "Le débit relevé reste.", "Насос подачи пока хранит показания согласно подписанному протоколу."] * 50)
+
+
+@pytest.mark.parametrize(("right", "damaged", "whole"), [
+    ("Das Feldlabor überschritt den ", "Grenzwert für Wäsche".encode().decode("cp1252"), "Grenzwert für Wäsche"),
+    (f"{HAN} ", "Die Prüfung für Wäsche".encode().decode("cp1252"), "Die Prüfung für Wäsche"),
+    ("Насос подачи пока ", "хранит показания".encode("cp1251").decode("latin-1"), "хранит показания"),
+    (HAN[:12], HAN[12:].encode().decode("latin-1"), HAN[12:]),
+    ("L’équipe a nécessité ", "vérification du dépôt".encode("cp1252").decode("cp437"), "vérification du dépôt"),
+])
+def test_spans_are_restored_and_the_rest_is_kept(words, right, damaged, whole):
+    assert words.restore(right + damaged) == (right + whole, 1)
+
+
+@pytest.mark.parametrize(("encoding_", "decoder"), [("iso8859-5", "latin-1"), ("mac_cyrillic", "cp1251"), ("koi8-r", "cp866")])
+def test_more_encodings(words, encoding_, decoder):
+    assert words.restore(CLEAN[4].encode(encoding_).decode(decoder)) == (CLEAN[4], 1)
+
+
+def test_no_right_letter_changes_beside_damage(words):
+    """What stands outside the damaged span is kept, whatever the damage."""
+    for right in ("Wäsche größer als 5 °C", "période de calefacción", HAN[:14]):
+        for bad in ("f�r", "PrÃ�fung", "PrÃ¼fung", "ïîêàçàíèÿ"):
+            assert words.restore(f"{right} {bad}")[0].startswith(f"{right} ")
+
+
+def test_damage_that_fills_the_corpus_is_no_evidence():
+    """Words of a damaged source that make up a third of all rows are not what texts are written with."""
+    damaged = [CLEAN[4].encode("cp1251").decode("latin-1"), CLEAN[1].encode().decode("latin-1")]
+    counts: dict = {}
+    for t in [*CLEAN * 20, *damaged * 30]:
+        for token in t.split():
+            for u in encoding.counted(token):
+                counts[u] = counts.get(u, 0) + 1
+    r = encoding.Restorer(encoding.without_misreadings(encoding.costs_of(counts, sum(counts.values()))))
+    assert r.restore(damaged[0]) == (CLEAN[4], 1) and r.restore(damaged[1]) == (CLEAN[1], 1)
+
+
+def test_many_lost_letters_take_bounded_work(words):
+    text = "�".join("abcdefgh" * 40)
+    assert words.restore(text)[1] == 1
