@@ -36,6 +36,26 @@ def test_nested_links(spark):
     assert nested.elements(documents).count() == 4 and nested.artifact_links(documents).where("NOT resolved").count() == 2
 
 
+@pytest.mark.parametrize(("field", "value", "got"), [
+    ("block_bbox", '{"x0": 1, "y0": "2", "x1": 3.5, "y1": 4}', [1.0, 2.0, 3.5, 4.0]), ("block_bbox", '["1", 2, 3, "x"]', [1.0, 2.0, 3.0, None]), ("block_bbox", '"none"', None), ("block_bbox", "7", None),
+    ("block_order", '"1"', 1), ("block_order", "1.0", 1), ("block_order", "1.5", None), ("block_order", "{}", None), ("block_id", "1.5", "1.5"), ("block_id", '{"a":1}', '{"a":1}'), ("block_label", "[1]", "[1]"), ("block_content", "3", "3"),
+])
+def test_no_block_is_lost_for_a_field_of_another_type(spark, field, value, got):
+    page = '{"width": "595.5", "height": [1], "page_index": "2.0", "ocr_lines": {}, "parsing_res_list": ["x", 3, {"block_id": "a", "%s": %s}, [1], {"block_id": "b"}]}' % (field, value)
+    pages = spark.createDataFrame([("r", "d", 1, page, None, None)], PAGE)
+    rows = nested.blocks(pages).orderBy("block_no").collect()
+    assert [r["block_no"] for r in rows] == [3, 5] and rows[0][field] == got and rows[1]["block_id"] == "b"
+    read = nested.read_pages(pages).collect()[0]["page"]
+    assert (read["width"], read["height"], read["page_index"], read["ocr_lines"]) == (595.5, None, 2, None)
+
+
+def test_links_of_a_document_with_many_artifacts(spark):
+    names = [f"a{i}" for i in range(300)]
+    row = ("d", [(f"e{i}", "k", 0, None, [names[i], f"x{i}"], None) for i in range(300)], [(n, "i", "p", "m", "s") for n in names], None, None, None)
+    rows = nested.artifact_links(spark.createDataFrame([row], DOCUMENT)).collect()
+    assert len(rows) == 600 and all(r["resolved"] == r["artifact_id"].startswith("a") for r in rows)
+
+
 def test_nested_empty(spark):
     documents, pages = nested_rows(spark)
     assert nested.parent_child_links(documents.limit(0), pages.limit(0)).count() == 0
