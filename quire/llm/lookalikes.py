@@ -2,7 +2,7 @@
 
 Widths, ligatures, radicals, compatibility ideographs, kinds of blank and of hyphen, and invisible marks are folded
 by a character table, accents are composed. Letters that look alike across scripts are resolved by token: every
-letter stands for the set of scripts in which a letter of that look exists, the sets are intersected over the token, and the token
+letter (Latin, Cyrillic, Greek, Armenian, Cherokee, Lisu, Coptic) stands for the set of scripts in which a letter of that look exists, the sets are intersected over the token, and the token
 is spelled in the script that is left. A token that several scripts could spell (a whole-script
 confusable) takes the script of its neighbours, which are resolved the same way, so texts that look alike get
 the same spelling. A token that no script can spell keeps its own letters where only one script has them and
@@ -24,11 +24,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.checkpoint import checkpoint
 from quire.partitioning import spread
 
-# Letters of other scripts and the Latin letters they look like.
+# Letters of other scripts and the Latin letters they look like, by script.
 CYRILLIC = ("АВЕЅІЈКМНОРСТУХҮԌԚԜаԁеһіјӏорԛѕѵԝхусү", "ABESIJKMHOPCTYXYGQWadehijlopqsvwxycy")
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϳ", "ABEZHIKMNOPTYXovcj")
+ARMENIAN = ("ՍՕհոսցօքզ", "UOhnugofq")
+CHEROKEE = ("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏃᏎᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏴᏻ", "DRTiAJEWMHYGZ4bRWSVSLCPKBG")
+LISU = ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU")
+COPTIC = ("ⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥ", "HIKMNOPCTYXopc")
+# Other forms of letters of one script, with the usual one.
+LETTER_FORMS = {"ɑ": "a", "ɡ": "g"}
+# The blocks of those scripts; what lies elsewhere among letters with marks is Latin.
+BLOCKS = {"Cyrillic": "Ѐ-ԯ", "Greek": "Ͱ-Ͽἀ-῿", "Armenian": "԰-֏", "Cherokee": "Ꭰ-᏿ꭰ-ꮿ", "Lisu": "ꓐ-꓿", "Coptic": "Ⲁ-⳿"}
 # Marks that are not seen, and hyphens that look like the plain one.
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩︀︁︂︃︄︅︆︇︈︉︊︋︌︍︎️﻿"
 HYPHENS = "‐‑"
@@ -46,27 +55,36 @@ def _fold_table() -> dict[int, str]:
             table[o] = unicodedata.normalize("NFKC", c)
         elif kind == "<compat>" and 0xB5 <= o <= 0x1F5 and not points.startswith("0020"):
             table[o] = unicodedata.normalize("NFKC", c)
+        elif kind == "<font>" or 0x2160 <= o <= 0x217F and kind == "<compat>":  # letters for formulas, and Roman numerals
+            table[o] = unicodedata.normalize("NFKC", c)
     table[0xB5], table[0x3BC] = "µ", "µ"
+    table.update({ord(c): usual for c, usual in LETTER_FORMS.items()})
     table.update({ord(c): "" for c in INVISIBLE})
     table.update({ord(c): "-" for c in HYPHENS})
     return table
 
 
 FOLDS = _fold_table()
-_FOREIGN = {script: dict(zip(map(ord, a), b)) for script, (a, b) in {"Cyrillic": CYRILLIC, "Greek": GREEK}.items()}
+_FOREIGN = {script: dict(zip(map(ord, a), b)) for script, (a, b) in {
+    "Cyrillic": CYRILLIC, "Greek": GREEK, "Armenian": ARMENIAN, "Cherokee": CHEROKEE, "Lisu": LISU, "Coptic": COPTIC,
+}.items()}
 _TO_LATIN = {k: v for m in _FOREIGN.values() for k, v in m.items()}
 #: From the Latin look to each script's letter; of two letters with one look the first.
 _FROM_LATIN = {script: {ord(b): chr(a) for a, b in reversed(m.items())} for script, m in _FOREIGN.items()}
 _LOOKS = {b: frozenset(["Latin", *(s for s, m in _FROM_LATIN.items() if ord(b) in m)]) for b in set(_TO_LATIN.values())}
-_OTHER = re.compile("[Ͱ-ϿЀ-ԯἀ-῿]")
-_TOKEN = re.compile("[A-Za-zÀ-ÖØ-öø-ʯͰ-ϿЀ-ԯ̀-ͯḀ-῿]+")
+_OF_SCRIPT = {script: re.compile(f"[{block}]") for script, block in BLOCKS.items()}
+_OTHER = re.compile("[" + "".join(BLOCKS.values()) + "]")
+_TOKEN = re.compile("[A-Za-zÀ-ÖØ-öø-ʯ̀-ͯḀ-ỿ" + "".join(BLOCKS.values()) + "]+")
 _SURE_CYRILLIC = re.compile("[бвгджзийклмнптфцчшщъыьэюяБГДЖЗИЙЛПФЦЧШЩЪЫЬЭЮЯ]")
-_LATIN_OR_GREEK = re.compile("[A-Za-zÀ-ÖØ-öø-ʯͰ-Ͽ̀-ͯḀ-῿]")
+_NOT_CYRILLIC = re.compile("[A-Za-zÀ-ÖØ-öø-ʯ̀-ͯḀ-ỿ" + "".join(b for s, b in BLOCKS.items() if s != "Cyrillic") + "]")
 _ALIKE = re.compile("[" + "".join(map(chr, _TO_LATIN)) + "]")
 
 
 def _script(c: str) -> str:
-    return "Cyrillic" if "Ѐ" <= c <= "ԯ" else "Greek" if "Ͱ" <= c <= "Ͽ" or "ἀ" <= c <= "῿" else "Latin"
+    for script, block in _OF_SCRIPT.items():
+        if block.match(c):
+            return script
+    return "Latin"
 
 
 def _resolve(look: str) -> frozenset[str] | None:
@@ -90,7 +108,7 @@ def unify_scripts(line: str) -> str:
         # Latin letters alone may still stand for another script's, as in a token of a line of that script
         if not _OTHER.search(line):
             return line
-    if _SURE_CYRILLIC.search(line) and not _LATIN_OR_GREEK.search(line):
+    if _SURE_CYRILLIC.search(line) and not _NOT_CYRILLIC.search(line):
         return line  # every token is of this script, or takes it from its neighbours
     tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(line)]
     looks = [unicodedata.normalize("NFD", line[a:z]).translate(_TO_LATIN) for a, z in tokens]
@@ -167,18 +185,33 @@ def digests(records: DataFrame) -> DataFrame:
     return spread(rows).mapInArrow(run, "tab STRING, document_id STRING, page_number INT, stored BINARY, form BINARY").where("form IS NOT NULL")
 
 
+def alike(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of records that read the same, and their members.
+
+    Classes are ``tab, form, stored, records``: a row for each spelling (digest ``stored``) of each form that is stored in several ways, with the number
+    of its distinct records. Members are ``tab, document_id, page_number, form, stored``, each record of a class once. Both grow with the
+    records at most, however many copies a spelling has.
+    """
+    rows = checkpoint(digests(records))  # read by both
+    spellings = rows.distinct().groupBy("tab", "form", "stored").agg(F.count("*").alias("records"))
+    varied = rows.groupBy("tab", "form").agg(F.min("stored").alias("least"), F.max("stored").alias("most")).where("least < most").select("tab", "form")
+    return spellings.join(varied, ["tab", "form"], "left_semi"), rows.join(varied, ["tab", "form"], "left_semi").distinct()
+
+
 def alike_pairs(records: DataFrame) -> DataFrame:
     """Pairs of records of different documents that are stored differently and read the same.
 
-    Only forms stored in several ways are joined, so groups of exact copies, however large, form no pairs.
+    Pairs are made of the distinct spellings of a form, which are few, and each is then given its records on either side: copies of one spelling
+    never meet each other, and no more rows are made than there are pairs, but for those inside one document.
     """
-    rows = digests(records)
-    varied = rows.groupBy("tab", "form").agg(F.min("stored").alias("least"), F.max("stored").alias("most")).where("least < most").select("tab", "form")
-    side = rows.join(varied, ["tab", "form"], "left_semi").distinct()
-    a, b = (side.select("tab", "form", *(F.col(c).alias(f"{c}_{x}") for c in ("document_id", "page_number", "stored"))) for x in "ab")
-    return (
-        a.join(b, ["tab", "form"])
-        .where("document_id_a < document_id_b AND stored_a <> stored_b")
-        .select("tab", "document_id_a", "page_number_a", "document_id_b", "page_number_b")
-        .distinct()
-    )
+    classes, members = alike(records)
+    a, b = (classes.select("tab", "form", F.col("stored").alias(x)) for x in ("s", "t"))
+    spellings = a.join(b, ["tab", "form"]).where("s < t").select("tab", "s", "t")
+    one, other = (members.select("tab", F.col("stored").alias(x), F.col("document_id").alias(f"document_{x}"), F.col("page_number").alias(f"page_{x}")) for x in ("s", "t"))
+    pairs = spellings.join(one, ["tab", "s"]).join(other, ["tab", "t"]).where("document_s <> document_t")
+    first = F.col("document_s") < F.col("document_t")
+    pick = lambda c, x, y: F.when(first, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}"))
+    return pairs.select(
+        "tab", pick("document", "s", "t").alias("document_id_a"), pick("page", "s", "t").alias("page_number_a"),
+        pick("document", "t", "s").alias("document_id_b"), pick("page", "t", "s").alias("page_number_b"),
+    ).distinct()

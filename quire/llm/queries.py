@@ -54,6 +54,12 @@ def p3_found(spark, sf_dir):
     return lookalikes.alike_pairs(records(spark, sf_dir))
 
 
+def p3_classes(spark, sf_dir):
+    """Each record that reads like one stored differently, with its form and spelling."""
+    _, members = lookalikes.alike(records(spark, sf_dir))
+    return members.select("tab", "document_id", "page_number", F.hex("form").alias("form"), F.hex("stored").alias("spelling"))
+
+
 def p3_forms(spark, sf_dir):
     return lookalikes.normalized(records(spark, sf_dir)).select("tab", "document_id", "page_number", "form")
 
@@ -102,7 +108,7 @@ def p8_shares(spark, sf_dir):
     return spans.shares(documents, spans.shared_spans(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repaired, p3_found, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repaired, p3_found, p3_classes, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
 
 SQL = {
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",

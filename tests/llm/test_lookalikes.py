@@ -1,6 +1,7 @@
 import unicodedata
 
-from quire.llm.lookalikes import alike_pairs, one_form
+from quire.llm import lookalikes
+from quire.llm.lookalikes import alike, alike_pairs, one_form
 
 LATIN = "The Pope copies six Åse’s café notes: ½ file, m², № 5, H2O"
 
@@ -37,3 +38,23 @@ def test_pairs(spark):
     got = {tuple(r) for r in alike_pairs(df).collect()}
     assert got == {("t", "a", 1, "b", 2), ("t", "a", 9, "b", 2)} | {("t", f"x{i}", 1, "y", 1) for i in range(40)}
     assert alike_pairs(df.limit(0)).count() == 0
+
+
+def test_letters_of_every_script_are_resolved():
+    for script in ("CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE", "LISU", "COPTIC"):
+        letters, latin = getattr(lookalikes, script)
+        assert len(letters) == len(latin)
+        kept = [(c, x) for c, x in zip(letters, latin) if one_form(f"word{c}s next") != one_form(f"word{x}s next")]
+        assert not kept, (script, kept)
+    for strange, plain in (("𝐀𝐁𝐂", "ABC"), ("ℋello", "Hello"), ("Ꭺpple", "Apple"), ("օrange", "orange"), ("ⅼine", "line"), ("ɑlpha", "alpha"), ("ꓮpple pie", "Apple pie")):
+        assert one_form(strange) == plain
+    assert one_form("Բարև Ձեզ") == "Բարև Ձեզ"  # a token of one script stays
+    assert one_form("m² x₂ № 5 ½") == "m² x₂ № 5 ½"
+
+
+def test_copies_of_one_spelling_never_meet(spark):
+    rows = [("t", f"d{i:05d}", 1, "same text") for i in range(20_000)] + [("t", "odd", 1, "same\xa0text"), ("t", "odd", 2, "same  text")]
+    df = spark.createDataFrame(rows, "tab STRING, document_id STRING, page_number INT, text STRING")
+    assert alike_pairs(df).count() == 20_000
+    classes, members = alike(df)
+    assert sorted(r["records"] for r in classes.collect()) == [1, 20_000] and members.count() == 20_001
