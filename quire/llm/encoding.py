@@ -81,6 +81,7 @@ _NO_WORD = re.compile("[À-ÖØ-öø-ɏ]{4,}")
 _LETTER = re.compile(f"[A-Za-z{ALPHABETS}]")
 _IDEOGRAM = re.compile(f"[{UNSPACED}]")
 LOST = "�"
+_BEYOND_LOST = re.compile(f"[^\x00-\x7f{LOST}]")
 #: Characters that stand for a set of letters and signs while a line is read.
 _OPEN = "\U000f0000"
 _LOST_STRETCH = re.compile(f"\\S*[{LOST}{_OPEN}-\U000ffffd]\\S*")
@@ -161,6 +162,12 @@ def _misread_utf8(token: str) -> bool:
     if m.group()[:2] not in _LIKE_UTF8 and m.group()[0] not in _LIKE_UTF8:
         return False
     for decoder in MISREAD_AS:
+        if decoder in _WIDEST:  # of several bytes each: some may be lost
+            text = token.encode(decoder, "ignore").decode("utf-8", "replace")
+            good = len(_BEYOND_LOST.findall(text))
+            if good >= 2 and 3 * text.count(LOST) <= good:
+                return True
+            continue
         try:
             text = token.encode(decoder).decode()
         except UnicodeError:
@@ -385,13 +392,14 @@ class Restorer:
                     part &= bits
         else:
             part = 0
-        if rich and known > 3 * unknown and LOST not in token:
+        mostly = rich and known > 3 * unknown and LOST not in token
+        if mostly:
             whole = 0
         groups: dict[tuple, list[str]] = {}
         for i, decoder in enumerate(MISREAD_AS):
             if whole >> i & 1:
                 spans: list = [tuple(self._bytes(token, decoder))]
-            elif part >> i & 1:
+            elif part >> i & 1 and not (mostly and decoder in _WIDEST):
                 spans = []
                 for c in token:
                     own = (ord(c),) if c < "\x80" else tuple(self._bytes(c, decoder)) if self._decoders(c) >> i & 1 else None
@@ -400,6 +408,8 @@ class Restorer:
                         spans[-1] += c if own is None else own
                     else:
                         spans.append(c if own is None else own)
+                if LOST not in token and max(sum(y >= 0x80 for y in x) for x in spans if type(x) is tuple) < 2:
+                    continue  # a single sign beside right text is no evidence
             else:
                 continue
             groups.setdefault((tuple(spans), decoder in _WIDEST), []).append(decoder)
