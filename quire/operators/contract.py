@@ -48,13 +48,15 @@ def item_text(kind: Column, text: Column, content: Column, code: Column, items:
 
 
 def with_captions(items: DataFrame) -> DataFrame:
-    """Items (``kind, captions`` and others) followed by a row for each filled caption of an image, chart or table."""
+    """Items (``kind, captions, footnotes`` and others) followed by a row for each filled caption, then each filled footnote, of an image, chart or table."""
     entry = lambda kind, text: F.struct(kind.alias("label"), text.alias("caption"))
     bearing = F.col("kind").isin("image", "chart", "table")
     title = F.when(F.col("kind") == "table", "table_title").otherwise("figure_title")
-    captions = F.when(bearing, F.transform(F.filter("captions", lambda c: F.length(F.trim(c)) > 0), lambda c: entry(title, c)))
-    rows = F.concat(F.array(entry(mapped(F.col("kind"), ITEM_LABELS), F.lit(None).cast("string"))), F.coalesce(captions, F.array()))
-    rest = [c for c in items.columns if c not in ("kind", "captions")]
+    filled = lambda column, label: F.coalesce(
+        F.when(bearing, F.transform(F.filter(column, lambda c: F.length(F.trim(c)) > 0), lambda c: entry(label, c))), F.array())
+    own = entry(mapped(F.col("kind"), ITEM_LABELS), F.lit(None).cast("string"))
+    rows = F.concat(F.array(own), filled("captions", title), filled("footnotes", F.lit("caption")))
+    rest = [c for c in items.columns if c not in ("kind", "captions", "footnotes")]
     return items.select(*rest, F.posexplode(rows).alias("row_no", "row")).select(*rest, "row_no", "row.label", "row.caption")
 
 
@@ -96,9 +98,11 @@ def evidence_status(unreadable: Column, errors: Column) -> Column:
 
 
 def zipped_lines(texts: Column, scores: Column, boxes: Column) -> Column:
-    """Three arrays as one of structs ``text, score, bbox``, as long as the shortest."""
+    """Three arrays as one of structs ``text, score, bbox``, as long as the shortest, so empty if one is empty; null if one is null."""
     n = F.least(F.size(texts), F.size(scores), F.size(boxes))
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.get(texts, i).alias("text"), F.get(scores, i).alias("score"), F.get(boxes, i).alias("bbox")))
+    entry = lambda i: F.struct(F.get(texts, i).alias("text"), F.get(scores, i).alias("score"), F.get(boxes, i).alias("bbox"))
+    whole = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), entry)
+    return F.when(texts.isNotNull() & scores.isNotNull() & boxes.isNotNull(), F.slice(whole, 1, F.greatest(n, F.lit(0))))
 
 
 def normalized_blocks(blocks: DataFrame) -> DataFrame:

@@ -39,8 +39,33 @@ def page_coverage(spark, sf_dir):
     return quality.page_coverage(table(spark, sf_dir, "parsed_documents"))
 
 
+def run_evidence(spark, sf_dir):
+    """Of each document's runs and fallback pages: whether they read the contract's source, could read it, and how many pages they saw.
+
+    A source that needs a password or whose text layer cannot be read is unreadable.
+    """
+    contracts = table(spark, sf_dir, "parsed_documents")
+    own = contracts.select("document_id", F.col("source.content_sha256").alias("own"), F.transform("errors", lambda e: e["code"]).alias("codes")).distinct()
+    runs = table(spark, sf_dir, "runs").select("document_id", F.col("source.content_sha256").alias("read"), F.transform("errors", lambda e: e["code"]).alias("run_codes")).distinct()
+    has = lambda code: F.max(F.coalesce(F.array_contains("codes", code), F.lit(False)) | F.coalesce(F.array_contains("run_codes", code), F.lit(False)))
+    of_runs = own.join(runs, "document_id").groupBy("document_id").agg(
+        F.min(F.col("own") == F.col("read")).alias("source_matches"), has("PDF_ENCRYPTED").alias("encrypted"), has("PDF_TEXT_LAYER_UNREADABLE").alias("no_text_layer"),
+    )
+    counts = nested.read_pages(table(spark, sf_dir, "run_pages")).groupBy("document_id").agg(F.max("page.page_count").cast("int").alias("source_page_count"))
+    return of_runs.join(counts, "document_id", "left").selectExpr("document_id", "source_matches", "NOT (encrypted OR no_text_layer) AS readable", "encrypted", "source_page_count")
+
+
+def gate_measures(spark, sf_dir):
+    """The gate's measures of contracts with all that is known of their sources and tables."""
+    measured = contract_measures(table(spark, sf_dir, "parsed_documents"))
+    known = ["source_matches", "readable", "encrypted", "source_page_count", "scan_pages", "low_resolution_pages", "unclassified_pages", "empty_tables", "sparse_tables"]
+    pages = source_pages(spark, sf_dir).select("document_id", *[F.size(c).alias(c) for c in ("scan_pages", "low_resolution_pages", "unclassified_pages")])
+    evidence = run_evidence(spark, sf_dir).join(pages, "document_id", "full").join(table_measures(spark, sf_dir).drop("tables"), "document_id", "full")
+    return measured.drop(*known).join(evidence, "document_id", "left")
+
+
 def quality_gate(spark, sf_dir):
-    return quality.gate(contract_measures(table(spark, sf_dir, "parsed_documents")))
+    return quality.gate(gate_measures(spark, sf_dir))
 
 
 def _scores(spark, sf_dir):
@@ -89,12 +114,13 @@ def table_measures(spark, sf_dir):
 
 
 def source_pages(spark, sf_dir):
-    """Pages of the fallback runs as source pages of one image each; pages with native text have characters."""
+    """Contract pages in points, with the pixels the fallback run saw, each as one image, and the characters of the native text."""
     native = table(spark, sf_dir, "native_text_pages").groupBy("document_id", "page_number").agg(F.max(F.length(F.trim("text"))).alias("text_characters"))
-    pages = table(spark, sf_dir, "run_pages").select("document_id", "page_number", "width", "height").distinct().join(native, ["document_id", "page_number"], "left")
-    shaped = pages.select(
-        "document_id", "page_number", (F.col("width") / 2).alias("width"), (F.col("height") / 2).alias("height"), F.coalesce("text_characters", F.lit(0)).alias("text_characters"),
-        F.lit(1).alias("images"), F.col("width").alias("px_width"), F.col("height").alias("px_height"),
+    pixels = table(spark, sf_dir, "run_pages").select("document_id", "page_number", F.col("width").alias("px_width"), F.col("height").alias("px_height")).distinct()
+    pages = table(spark, sf_dir, "parsed_documents").select("document_id", F.explode("pages").alias("p")).select("document_id", "p.page_number", "p.width", "p.height").distinct()
+    shaped = pages.join(pixels, ["document_id", "page_number"], "left").join(native, ["document_id", "page_number"], "left").select(
+        "document_id", "page_number", "width", "height", F.coalesce("text_characters", F.lit(0)).alias("text_characters"),
+        F.when(F.col("px_width").isNull(), 0).otherwise(1).alias("images"), "px_width", "px_height",
     )
     return quality.source_summary(quality.source_pages(shaped))
 
@@ -143,7 +169,7 @@ def run_durations(spark, sf_dir):
     return r.select("run_id", T.elapsed_ms(F.col("result.started_at"), F.col("result.completed_at")).alias("elapsed_ms"), T.utc_text(F.try_to_timestamp(F.col("result.started_at"))).alias("started"))
 
 
-QUERIES = {f.__name__: f for f in (
+QUERIES = {f.__name__: f for f in (run_evidence, 
     text_measures, page_coverage, quality_gate, ocr_confidence, route_decision, fallback_work, report_consistency, failure_stages, table_measures, source_pages, contract_violations, run_violations,
     native_text_violations, export_counts, page_payload_checks, identity_checks, routing_payload, run_durations)}
 
@@ -169,18 +195,49 @@ def _covered(test: str) -> str:
 _COVERAGE = f"""
 SELECT document_id, {_PAGES} AS page_numbers, {_covered(_FILLED + " OR coalesce(len(e.artifact_ids), 0) > 0")} AS covered_pages, {_covered(_FILLED)} AS text_pages FROM parsed_documents
 """
+_TABLES = """
+WITH e AS (SELECT DISTINCT document_id, n AS element_id, t AS text FROM (SELECT document_id, unnest(string_split(text.content, chr(10) || chr(10))) AS t, unnest(range(0, len(string_split(text.content, chr(10) || chr(10))))) AS n FROM parsed_documents) s WHERE t LIKE '|%'),
+c AS (SELECT document_id, element_id, unnest(string_split(row, '|')) AS cell FROM (SELECT document_id, element_id, unnest(string_split(text, chr(10))) AS row, unnest(range(0, len(string_split(text, chr(10))))) AS row_no FROM e) r WHERE row_no <> 1),
+a AS (SELECT document_id, element_id, count(cell) AS cells, count(*) FILTER (WHERE trim(cell) <> '') AS filled FROM c GROUP BY ALL)
+SELECT document_id, count(DISTINCT element_id) AS tables, count(*) FILTER (WHERE filled = 0) AS empty_tables, count(*) FILTER (WHERE filled > 0 AND filled / cells < 0.5) AS sparse_tables FROM a GROUP BY document_id
+"""
+_SOURCE_PAGES = """
+WITH n AS (SELECT document_id, page_number, max(length(trim(text, ' '))) AS c FROM native_text_pages GROUP BY ALL),
+x AS (SELECT DISTINCT document_id, page_number, width AS px, height AS py FROM run_pages),
+o AS (SELECT DISTINCT document_id, p.page_number AS page_number, p.width AS width, p.height AS height FROM (SELECT document_id, unnest(pages) AS p FROM parsed_documents) s),
+p AS (SELECT document_id, page_number, width, height, px, py, coalesce(c, 0) AS c FROM o LEFT JOIN x USING (document_id, page_number) LEFT JOIN n USING (document_id, page_number)),
+q AS (SELECT *, coalesce(c = 0 AND px IS NOT NULL AND abs(px / py - width / height) / (width / height) <= 0.05, false) AS scan_like FROM p),
+d AS (SELECT *, CASE WHEN scan_like THEN least(px / (width / 72), py / (height / 72)) END AS dpi FROM q)
+SELECT document_id, count(*) AS page_count, list_sort(coalesce(list(page_number) FILTER (WHERE scan_like), [])) AS scan_pages, list_sort(coalesce(list(page_number) FILTER (WHERE dpi < 150), [])) AS low_resolution_pages,
+  list_sort(coalesce(list(page_number) FILTER (WHERE c = 0 AND NOT scan_like), [])) AS unclassified_pages, min(dpi) AS least_dpi FROM d GROUP BY document_id
+"""
+_RUN_EVIDENCE = """
+WITH o AS (SELECT DISTINCT document_id, source.content_sha256 AS own, list_transform(errors, lambda e: e.code) AS a FROM parsed_documents),
+r AS (SELECT DISTINCT document_id, source.content_sha256 AS read, list_transform(errors, lambda e: e.code) AS b FROM runs),
+g AS (SELECT document_id, bool_and(own = read) AS source_matches, bool_or(coalesce(list_contains(a, 'PDF_ENCRYPTED'), false) OR coalesce(list_contains(b, 'PDF_ENCRYPTED'), false)) AS encrypted,
+  bool_or(coalesce(list_contains(a, 'PDF_TEXT_LAYER_UNREADABLE'), false) OR coalesce(list_contains(b, 'PDF_TEXT_LAYER_UNREADABLE'), false)) AS unread FROM o JOIN r USING (document_id) GROUP BY document_id),
+c AS (SELECT document_id, CAST(max(CAST(page_json->>'$.page_count' AS BIGINT)) AS INTEGER) AS source_page_count FROM run_pages WHERE json_valid(page_json) GROUP BY document_id)
+SELECT document_id, source_matches, NOT (encrypted OR unread) AS readable, encrypted, source_page_count FROM g LEFT JOIN c USING (document_id)
+"""
 _GATE = f"""
 SELECT document_id, list_filter([
+   CASE WHEN NOT source_matches THEN 'source_hash_mismatch' END, CASE WHEN NOT readable AND encrypted THEN 'source_pdf_encrypted' END, CASE WHEN NOT readable AND NOT encrypted THEN 'source_pdf_unreadable' END,
+   CASE WHEN scans > 0 AND NOT used AND status <> 'failed' THEN 'ocr_required_but_disabled' END,
+   CASE WHEN readable AND status = 'partial' AND source_page_count <> pages THEN 'partial_source_contract_page_count_mismatch' END,
+   CASE WHEN readable AND status NOT IN ('partial', 'failed') AND source_page_count <> pages THEN 'source_contract_page_count_mismatch' END,
    CASE WHEN low > 0 THEN 'ocr_low_confidence_pages' END, CASE WHEN mean < 0.85 THEN 'ocr_mean_confidence_below_policy' END,
    CASE WHEN pages > 0 AND uncovered = pages THEN 'no_pages_with_parsed_content' END, CASE WHEN status = 'failed' THEN 'parse_failed' END, CASE WHEN uncovered > 0 AND uncovered < pages THEN 'parsed_page_coverage_incomplete' END,
    CASE WHEN status = 'partial' THEN 'partial_parse' END, CASE WHEN lost_share > 0.005 THEN 'replacement_character_ratio_above_policy' END], lambda x: x IS NOT NULL) AS b,
-  list_filter([CASE WHEN cjk_space_share > 0.01 THEN 'cjk_internal_space_ratio_above_policy' END, CASE WHEN list_contains(flags, 'ocr_confidence_unavailable') THEN 'ocr_confidence_unavailable' END,
+  list_filter([CASE WHEN low_scans > 0 THEN 'scan_resolution_below_policy' END, CASE WHEN unclassified > 0 THEN 'source_pages_without_classifiable_content' END,
+   CASE WHEN empty_tables > 0 THEN 'empty_table_artifact' END, CASE WHEN sparse_tables > 0 THEN 'sparse_table_artifact' END, CASE WHEN cjk_space_share > 0.01 THEN 'cjk_internal_space_ratio_above_policy' END, CASE WHEN list_contains(flags, 'ocr_confidence_unavailable') THEN 'ocr_confidence_unavailable' END,
    CASE WHEN status <> 'failed' AND characters_per_page < 20 THEN 'text_density_below_policy' END], lambda x: x IS NOT NULL) AS w
 FROM (SELECT p.document_id, p.status, coalesce(p.quality.flags, []) AS flags, p.quality.ocr.mean_confidence AS mean, coalesce(len(p.quality.ocr.low_confidence_pages), 0) AS low,
         len({_PAGES}) AS pages, len(list_filter({_PAGES}, lambda n: NOT list_contains({_covered(_FILLED + " OR coalesce(len(e.artifact_ids), 0) > 0")}, n))) AS uncovered,
-        m.characters_per_page, m.lost_share, m.cjk_space_share
+        m.characters_per_page, m.lost_share, m.cjk_space_share, p.quality.ocr.used AS used, v.source_matches, v.readable, v.encrypted, v.source_page_count,
+        len(g.scan_pages) AS scans, len(g.low_resolution_pages) AS low_scans, len(g.unclassified_pages) AS unclassified, t.empty_tables, t.sparse_tables
       FROM (SELECT *, row_number() OVER () AS r FROM parsed_documents) p
-      JOIN (SELECT *, row_number() OVER () AS r FROM ({_SHARES}) q) m ON p.r = m.r) s
+      JOIN (SELECT *, row_number() OVER () AS r FROM ({_SHARES}) q) m ON p.r = m.r
+      LEFT JOIN ({_RUN_EVIDENCE}) v ON p.document_id = v.document_id LEFT JOIN ({_SOURCE_PAGES}) g ON p.document_id = g.document_id LEFT JOIN ({_TABLES}) t ON p.document_id = t.document_id) s
 """
 _DECIDED = f"""
 SELECT document_id, list_sort(b) AS blocking_codes, list_sort(w) AS warning_codes, list_sort(list_concat(b, w)) AS reason_codes,
@@ -207,6 +264,7 @@ SQL = {
     "text_measures": _SHARES,
     "page_coverage": f"SELECT *, list_filter(page_numbers, lambda n: NOT list_contains(covered_pages, n)) AS uncovered_pages FROM ({_COVERAGE}) c",
     "quality_gate": _DECIDED,
+    "run_evidence": _RUN_EVIDENCE,
     "ocr_confidence": f"""
 WITH l AS (SELECT run_id, page_number, CAST(json_extract(page_json, '$.ocr_lines[' || i || '].score') AS DOUBLE) AS score
   FROM (SELECT run_id, page_number, page_json, unnest(range(0, CAST(coalesce(json_array_length(page_json, '$.ocr_lines'), 0) AS BIGINT))) AS i FROM {_UNIQUE_PAGES} u) s),
@@ -230,20 +288,8 @@ SELECT document_id, CASE WHEN NOT completed THEN 'PARSER_RUN_FAILED' WHEN NOT as
     OR (route_action = 'publish' AND len(b) > 0) OR (route_action = 'fallback' AND len(b) = 0) THEN 'INVALID_QUALITY_REPORT' END AS failure_code FROM t
 """,
     "failure_stages": "SELECT run_id, list_sort(list_distinct(list_filter(list_transform(coalesce(errors, []), lambda e: e.stage), lambda s: length(s) > 0))) AS failure_stages FROM runs",
-    "table_measures": """
-WITH e AS (SELECT DISTINCT document_id, n AS element_id, t AS text FROM (SELECT document_id, unnest(string_split(text.content, chr(10) || chr(10))) AS t, unnest(range(0, len(string_split(text.content, chr(10) || chr(10))))) AS n FROM parsed_documents) s WHERE t LIKE '|%'),
-c AS (SELECT document_id, element_id, unnest(string_split(row, '|')) AS cell FROM (SELECT document_id, element_id, unnest(string_split(text, chr(10))) AS row, unnest(range(0, len(string_split(text, chr(10))))) AS row_no FROM e) r WHERE row_no <> 1),
-a AS (SELECT document_id, element_id, count(cell) AS cells, count(*) FILTER (WHERE trim(cell) <> '') AS filled FROM c GROUP BY ALL)
-SELECT document_id, count(DISTINCT element_id) AS tables, count(*) FILTER (WHERE filled = 0) AS empty_tables, count(*) FILTER (WHERE filled > 0 AND filled / cells < 0.5) AS sparse_tables FROM a GROUP BY document_id
-""",
-    "source_pages": """
-WITH n AS (SELECT document_id, page_number, max(length(trim(text, ' '))) AS c FROM native_text_pages GROUP BY ALL),
-p AS (SELECT document_id, page_number, width, height, coalesce(c, 0) AS c FROM (SELECT DISTINCT document_id, page_number, width, height FROM run_pages) r LEFT JOIN n USING (document_id, page_number)),
-q AS (SELECT *, coalesce(c = 0 AND abs(width / height - (width / 2) / (height / 2)) / ((width / 2) / (height / 2)) <= 0.05, false) AS scan_like FROM p),
-d AS (SELECT *, CASE WHEN scan_like THEN least(width / ((width / 2) / 72), height / ((height / 2) / 72)) END AS dpi FROM q)
-SELECT document_id, count(*) AS page_count, list_sort(coalesce(list(page_number) FILTER (WHERE scan_like), [])) AS scan_pages, list_sort(coalesce(list(page_number) FILTER (WHERE dpi < 150), [])) AS low_resolution_pages,
-  list_sort(coalesce(list(page_number) FILTER (WHERE c = 0 AND NOT scan_like), [])) AS unclassified_pages, min(dpi) AS least_dpi FROM d GROUP BY document_id
-""",
+    "table_measures": _TABLES,
+    "source_pages": _SOURCE_PAGES,
     "contract_violations": "SELECT document_id, " + _rules([
         ("contract_version", "contract_version = '1.0'"), ("document_id", f"regexp_matches(document_id, {_ID})"), ("source_ref", f"regexp_matches(source.source_ref, {_ID})"), ("source_sha256", f"regexp_matches(source.content_sha256, {_SHA})"),
         ("media_type", "length(trim(source.media_type)) > 0"), ("parser", "length(trim(parser_run.parser_name)) > 0 AND length(trim(parser_run.parser_version)) > 0"),

@@ -148,20 +148,20 @@ def content_items(spark, sf_dir):
     e = table(spark, sf_dir, "parsed_documents").dropDuplicates(["document_id"]).select("document_id", F.posexplode("elements").alias("n", "e"))
     kind = F.when(F.col("e.kind") == "picture", "image").when(F.col("e.kind").isin("paragraph", "heading"), "text").otherwise(F.col("e.kind"))
     level = F.when(F.col("e.kind") == "heading", F.when(F.col("n") == 0, 1).otherwise(2))
-    items = e.select("document_id", "n", kind.alias("kind"), level.alias("level"), F.col("e.text").alias("text"), F.col("e.artifact_ids").alias("captions"))
+    items = e.select("document_id", "n", kind.alias("kind"), level.alias("level"), F.col("e.text").alias("text"), F.col("e.artifact_ids").alias("captions"), F.transform(F.col("e.provenance"), lambda x: x["parser_element_ref"]).alias("footnotes"))
     labelled = items.select(
         "document_id", "n", contract.item_label(F.col("kind"), F.col("level")).alias("item_label"),
         contract.item_text(F.col("kind"), F.when(F.col("kind") == "table", F.lit("")).otherwise(F.col("text")), F.lit(""), F.lit(None).cast("string"), F.lit(None).cast("array<string>"), F.col("text")).alias("item_text"),
-        contract.formula_text(F.lit("formula"), F.when(F.col("n") % 2 == 0, F.lit(" ")).otherwise(F.col("text")), F.col("text")).alias("formula_text"), "kind", "captions")
+        contract.formula_text(F.lit("formula"), F.when(F.col("n") % 2 == 0, F.lit(" ")).otherwise(F.col("text")), F.col("text")).alias("formula_text"), "kind", "captions", "footnotes")
     return contract.with_captions(labelled)
 
 
 def zipped_lines(spark, sf_dir):
     """OCR lines taken apart into three arrays of unequal length and zipped again."""
     p = table(spark, sf_dir, "run_pages").dropDuplicates(["run_id", "page_number"]).select(
-        "run_id", "page_number", F.from_json("page_json", "ocr_lines ARRAY<STRUCT<text: STRING, score: DOUBLE, bbox: ARRAY<DOUBLE>>>")["ocr_lines"].alias("l")).where("size(l) > 1")
+        "run_id", "page_number", F.from_json("page_json", "ocr_lines ARRAY<STRUCT<text: STRING, score: DOUBLE, bbox: ARRAY<DOUBLE>>>")["ocr_lines"].alias("l")).where("size(l) > 0")
     z = p.select("run_id", "page_number", contract.zipped_lines(F.col("l.text"), F.expr("slice(l.score, 1, size(l) - 1)"), F.col("l.bbox")).alias("z"))
-    return z.select("run_id", "page_number", F.size("z").alias("lines"), F.element_at("z", -1)["text"].alias("last_text"), F.element_at("z", -1)["score"].alias("last_score"))
+    return z.select("run_id", "page_number", F.size("z").alias("lines"), F.try_element_at("z", F.lit(-1))["text"].alias("last_text"), F.try_element_at("z", F.lit(-1))["score"].alias("last_score"))
 
 
 def _views(spark, sf_dir):
@@ -178,7 +178,7 @@ def text_multiset_coverage(spark, sf_dir):
 
 
 def text_route(spark, sf_dir):
-    return evidence.text_route(text_multiset_coverage(spark, sf_dir), rounded=False)
+    return evidence.text_route(text_multiset_coverage(spark, sf_dir))
 
 
 def text_lines(spark, sf_dir):
@@ -344,19 +344,24 @@ FROM runs LEFT JOIN (SELECT DISTINCT document_id, text.language AS language FROM
 """,
     "content_items": """
 WITH e AS (SELECT document_id, unnest(range(0, len(elements))) AS n, unnest(elements) AS e FROM (SELECT DISTINCT ON (document_id) * FROM parsed_documents) d),
-k AS (SELECT document_id, CAST(n AS INTEGER) AS n, e.text AS t, e.artifact_ids AS c, CASE e.kind WHEN 'picture' THEN 'image' WHEN 'paragraph' THEN 'text' WHEN 'heading' THEN 'text' ELSE e.kind END AS kind, e.kind = 'heading' AS h FROM e),
+k AS (SELECT document_id, CAST(n AS INTEGER) AS n, e.text AS t, e.artifact_ids AS c, list_transform(e.provenance, lambda x: x.parser_element_ref) AS f, CASE e.kind WHEN 'picture' THEN 'image' WHEN 'paragraph' THEN 'text' WHEN 'heading' THEN 'text' ELSE e.kind END AS kind, e.kind = 'heading' AS h FROM e),
 l AS (SELECT *, CASE kind WHEN 'text' THEN CASE WHEN h AND n = 0 THEN 'doc_title' WHEN h THEN 'paragraph_title' ELSE 'text' END WHEN 'list_item' THEN 'list_item' WHEN 'table' THEN 'table' WHEN 'image' THEN 'image' WHEN 'formula' THEN 'formula'
     WHEN 'header' THEN 'header' WHEN 'footer' THEN 'footer' WHEN 'page_number' THEN 'number' ELSE 'other' END AS item_label,
   coalesce(CASE WHEN kind <> 'table' THEN nullif(t, '') END, CASE WHEN kind = 'table' THEN t END, '') AS item_text, CASE WHEN n % 2 = 0 AND trim(coalesce(t, '')) <> '' THEN t WHEN n % 2 = 0 THEN ' ' ELSE t END AS formula_text,
   CASE kind WHEN 'text' THEN 'other' WHEN 'page_number' THEN 'number' WHEN 'caption' THEN 'other' ELSE kind END AS own FROM k),
-r AS (SELECT *, list_concat([{'label': own, 'caption': CAST(NULL AS VARCHAR)}], CASE WHEN kind IN ('image', 'table') THEN list_transform(list_filter(coalesce(c, []), lambda x: trim(x) <> ''), lambda x: {'label': CASE WHEN kind = 'table' THEN 'table_title' ELSE 'figure_title' END, 'caption': x}) ELSE [] END) AS rows FROM l)
+r AS (SELECT *, list_concat([{'label': own, 'caption': CAST(NULL AS VARCHAR)}], CASE WHEN kind IN ('image', 'table') THEN list_transform(list_filter(coalesce(c, []), lambda x: trim(x) <> ''), lambda x: {'label': CASE WHEN kind = 'table' THEN 'table_title' ELSE 'figure_title' END, 'caption': x}) ELSE [] END, CASE WHEN kind IN ('image', 'table') THEN list_transform(list_filter(coalesce(f, []), lambda x: trim(x) <> ''), lambda x: {'label': 'caption', 'caption': x}) ELSE [] END) AS rows FROM l)
 SELECT document_id, n, item_label, item_text, formula_text, CAST(i AS INTEGER) AS row_no, row.label AS label, row.caption AS caption FROM (SELECT *, unnest(rows) AS row, unnest(range(0, len(rows))) AS i FROM r) s
+""",
+    "zipped_lines": """
+WITH l AS (SELECT DISTINCT ON (run_id, page_number) run_id, page_number, page_json, CAST(json_array_length(page_json, '$.ocr_lines') AS BIGINT) AS n FROM run_pages WHERE json_valid(page_json))
+SELECT run_id, page_number, CAST(n - 1 AS INTEGER) AS lines, CASE WHEN n > 1 THEN page_json->>('$.ocr_lines[' || (n - 2) || '].text') END AS last_text,
+  CASE WHEN n > 1 THEN CAST(page_json->>('$.ocr_lines[' || (n - 2) || '].score') AS DOUBLE) END AS last_score FROM l WHERE n > 0
 """,
     "text_multiset_coverage": f"SELECT * FROM {_COVERAGE} c",
     "text_route": f"""
-SELECT document_id, CASE WHEN native_characters = 0 THEN 'visual_primary' WHEN parsed_characters = 0 THEN 'native_primary' WHEN parsed_coverage >= 0.98 AND native_coverage >= 0.98 THEN 'native_primary' ELSE 'unresolved' END AS decision,
-  CASE WHEN native_characters = 0 THEN 'native_text_layer_empty' WHEN parsed_characters = 0 THEN 'native_text_only_nonempty_view' WHEN parsed_coverage >= 0.98 AND native_coverage >= 0.98 THEN 'cross_view_character_agreement_at_least_0_98'
-    ELSE 'native_and_parsed_views_materially_disagree' END AS reason, NOT (native_characters = 0 OR parsed_characters = 0 OR (parsed_coverage >= 0.98 AND native_coverage >= 0.98)) AS requires_reconciliation FROM {_COVERAGE} c
+SELECT document_id, CASE WHEN native_characters = 0 THEN 'visual_primary' WHEN parsed_characters = 0 THEN 'native_primary' WHEN round(parsed_coverage, 6) >= 0.98 AND round(native_coverage, 6) >= 0.98 THEN 'native_primary' ELSE 'unresolved' END AS decision,
+  CASE WHEN native_characters = 0 THEN 'native_text_layer_empty' WHEN parsed_characters = 0 THEN 'native_text_only_nonempty_view' WHEN round(parsed_coverage, 6) >= 0.98 AND round(native_coverage, 6) >= 0.98 THEN 'cross_view_character_agreement_at_least_0_98'
+    ELSE 'native_and_parsed_views_materially_disagree' END AS reason, NOT (native_characters = 0 OR parsed_characters = 0 OR (round(parsed_coverage, 6) >= 0.98 AND round(native_coverage, 6) >= 0.98)) AS requires_reconciliation FROM {_COVERAGE} c
 """,
     "outcome_errors": """
 WITH c AS (SELECT DISTINCT document_id, status, text.content AS t, quality.ocr.used AS u, list_transform(coalesce(errors, []), lambda e: e.code) AS e, coalesce(len(artifacts), 0) > 0 AS x FROM parsed_documents)

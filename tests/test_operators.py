@@ -225,3 +225,42 @@ def test_binding_problems(spark):
     rows = [("r", 1, "images", "a", "x.PNG"), ("r", 1, "images", "b", "y.gif"), ("r", 1, "tables", "c", "t.csv"), ("r", 2, "tables", "c", "t.csv"), ("r", 3, "images", "d", "1.png"), ("r", 3, "images", "d", "2.png")]
     got = [r["problem"] for r in links.binding_problems(spark.createDataFrame(rows, "run_id STRING, page_number INT, collection STRING, block_id STRING, artifact_path STRING")).orderBy("page_number", "block_id").collect()]
     assert got == [None, "suffix", "destination_conflict", "destination_conflict", "duplicate_binding", "duplicate_binding"]
+
+
+GATE = (
+    "document_id STRING, status STRING, flags ARRAY<STRING>, ocr_used BOOLEAN, ocr_mean DOUBLE, low_confidence_pages INT, page_count INT, uncovered INT, characters_per_page DOUBLE, lost_share DOUBLE, "
+    "cjk_space_share DOUBLE, empty_tables INT, sparse_tables INT, source_matches BOOLEAN, readable BOOLEAN, encrypted BOOLEAN, source_page_count INT, scan_pages INT, low_resolution_pages INT, unclassified_pages INT"
+)
+SOUND = dict(status="succeeded", flags=[], ocr_used=True, ocr_mean=0.9, low_confidence_pages=0, page_count=2, uncovered=0, characters_per_page=100.0, lost_share=0.0, cjk_space_share=0.0, empty_tables=0, sparse_tables=0,
+             source_matches=True, readable=True, encrypted=False, source_page_count=2, scan_pages=0, low_resolution_pages=0, unclassified_pages=0)
+
+
+def test_every_code_of_the_gate(spark):
+    odd = {
+        "source_hash_mismatch": dict(source_matches=False), "source_pdf_encrypted": dict(readable=False, encrypted=True), "source_pdf_unreadable": dict(readable=False), "parse_failed": dict(status="failed"),
+        "partial_parse": dict(status="partial"), "ocr_low_confidence_pages": dict(low_confidence_pages=1), "ocr_mean_confidence_below_policy": dict(ocr_mean=0.84), "ocr_required_but_disabled": dict(scan_pages=1, ocr_used=False),
+        "partial_source_contract_page_count_mismatch": dict(status="partial", source_page_count=3), "source_contract_page_count_mismatch": dict(source_page_count=3), "no_pages_with_parsed_content": dict(uncovered=2),
+        "parsed_page_coverage_incomplete": dict(uncovered=1), "replacement_character_ratio_above_policy": dict(lost_share=0.006), "ocr_confidence_unavailable": dict(flags=["ocr_confidence_unavailable"]),
+        "scan_resolution_below_policy": dict(low_resolution_pages=1), "source_pages_without_classifiable_content": dict(unclassified_pages=1), "text_density_below_policy": dict(characters_per_page=19.0),
+        "cjk_internal_space_ratio_above_policy": dict(cjk_space_share=0.02), "empty_table_artifact": dict(empty_tables=1), "sparse_table_artifact": dict(sparse_tables=1),
+    }
+    names = [x.split()[0] for x in GATE.split(", ")]
+    rows = [tuple({"document_id": code, **SOUND, **change}[n] for n in names) for code, change in odd.items()] + [tuple({"document_id": "sound", **SOUND}[n] for n in names)]
+    rows.append(tuple({"document_id": "unknown", "status": "succeeded"}.get(n) for n in names))
+    got = {r["document_id"]: r for r in quality.gate(spark.createDataFrame(rows, GATE)).collect()}
+    assert len(odd) == 20 and got["sound"]["decision"] == got["unknown"]["decision"] == "accept"
+    for code in odd:
+        extra = ["partial_parse"] if code.startswith("partial_source") else []
+        assert got[code]["reason_codes"] == sorted([code, *extra]), code
+
+
+def test_zipped_lines_of_any_length(spark):
+    df = spark.createDataFrame([(["a", "b"], [0.5], [[1.0], [2.0]]), ([], [0.5], [[1.0]]), (None, [0.5], [[1.0]])], "t ARRAY<STRING>, s ARRAY<DOUBLE>, b ARRAY<ARRAY<DOUBLE>>")
+    got = [r[0] for r in df.select(contract.zipped_lines(F.col("t"), F.col("s"), F.col("b"))).collect()]
+    assert [None if x is None else [tuple(y) for y in x] for x in got] == [[("a", 0.5, [1.0])], [], None]
+
+
+def test_footnotes_follow_captions(spark):
+    items = spark.createDataFrame([("d", "table", ["T1", " "], ["n1", None, "n2"]), ("d", "text", ["x"], ["y"]), ("d", "image", None, None)], "document_id STRING, kind STRING, captions ARRAY<STRING>, footnotes ARRAY<STRING>")
+    got = [(r["row_no"], r["label"], r["caption"]) for r in contract.with_captions(items).collect()]
+    assert got == [(0, "table", None), (1, "table_title", "T1"), (2, "caption", "n1"), (3, "caption", "n2"), (0, "other", None), (0, "image", None)]
