@@ -71,7 +71,8 @@ _WITH_SIGN = re.compile(f"[{_LETTERS}][0-9!|]|[0-9!|][{_LETTERS}]")
 _DIGITS = re.compile("(?=.*[0-9])[0-9OSBlIZ]+")
 _MARKS = set(SPLIT_MARKS)
 #: Characters whose consistent form matters for reading words; wide signs of punctuation do not.
-_FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ")) + "\u0300-\u036f\u3099\u309a\uf900-\ufaff]")
+_FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if o < 0x10000 and not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ")) + "\u0300-\u036f\u3099\u309a\uf900-\ufaff]")
+_ASTRAL = re.compile("[\U0001d400-\U0001d7ff]")  # apart, as a class within the first plane is searched faster
 _OTHER = re.compile("[Ͱ-ԯ]")
 _MIXED = re.compile("[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z]")
 _SPLIT_END = re.compile(f"[{SPLIT_MARKS}][ \\t\\r]*(?:\\n|$)")
@@ -79,7 +80,7 @@ _SPLIT_END = re.compile(f"[{SPLIT_MARKS}][ \\t\\r]*(?:\\n|$)")
 
 def _folded(text: str) -> str:
     """The text in its consistent form, as far as that matters for reading words."""
-    if text.isascii() or not (_FOLDED.search(text) or _OTHER.search(text) and _MIXED.search(text)):
+    if text.isascii() or not (_FOLDED.search(text) or _ASTRAL.search(text) or _OTHER.search(text) and _MIXED.search(text)):
         return text
     return one_form(text)
 
