@@ -1,9 +1,9 @@
 """Repairing the text of scanned pages.
 
-A noisy channel: a word as printed is misread by confusing shapes. The channel's prior for alphabets is a
-table of common confusions; for scripts without spaces the confused pairs and their frequencies are learned from the corpus,
-where a context that is nearly always filled by one character now and then holds another. The source is the corpus's
-n-grams: words and neighbouring words of alphabets, three characters in a row elsewhere. Each line is decoded by Viterbi search
+A noisy channel: a word as printed is misread by confusing shapes. The channel is learned from the corpus: for alphabets by expectation and
+maximisation over pairs of rare and frequent words that differ in one gap of one or two letters; for scripts without spaces from
+contexts that are nearly always filled by one character and now and then hold another. Any other confusion of one or two letters, or of one character in a known context, has
+a probability as well. The source is the corpus's n-grams: words and neighbouring words of alphabets, three characters in a row elsewhere. Each line is decoded by Viterbi search
 over the candidates of its words, or of its characters.
 
 Words split at a line's end are told from words broken at their own hyphen by how often the corpus has the joined
@@ -19,8 +19,11 @@ records delivered twice count once; equal titles of different documents do not m
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,16 +52,11 @@ HEADER_PAGES = 5
 COMMON_SHARE = 0.1
 #: Bits that a reading of a character must save beyond those of the confusion.
 CHARACTER_GAIN = 4.0
-#: Bits of one confusion, and of a word the corpus does not have.
-CONFUSED, UNSEEN = 8.0, 26.0
-
-# Shapes read wrongly, with what was printed.
-MISREAD = (
-    ("c", "e"), ("e", "c"), ("l", "i"), ("i", "l"), ("o", "a"), ("0", "o"), ("ri", "n"), ("f", "t"), ("t", "f"), ("5", "s"), ("cl", "d"), ("ii", "u"), ("rn", "m"),
-    ("m", "rn"), ("1", "l"), ("1", "i"), ("!", "i"), ("|", "l"), ("9", "g"), ("q", "g"), ("li", "h"), ("h", "li"), ("6", "b"), ("ü", "ti"), ("vv", "w"), ("nn", "m"), ("d", "cl"),
-    ("n", "ri"), ("u", "ii"), ("w", "vv"), ("0", "о"), ("с", "е"), ("п", "н"), ("г", "т"), ("п", "л"), ("и", "п"), ("з", "в"), ("н", "м"), ("и", "й"), ("ьі", "ы"),
-    ("ьi", "ы"), ("6", "б"), ("3", "з"), ("о", "а"), ("н", "и"), ("и", "н"), ("л", "п"), ("ц", "и"), ("ш", "щ"), ("е", "с"),
-)
+#: Bits of a misread word, besides those of its confusion among all; of a confusion of letters, or of characters, that the corpus does not show; and of a word the corpus does not have.
+CONFUSED, UNLISTED, UNLISTED_CHARACTER, UNSEEN = 3.0, 11.0, 9.0, 26.0
+#: A word with this share of all may be read for a word with a confusion that the corpus does not show.
+FREQUENT_SHARE = 5e-6
+
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ʯͰ-ϿЀ-ԯ̀-ͯ"
 _CJK = "々-〇〡-〩぀-ヿ㐀-鿿豈-﫿"
 _WORD = re.compile(f"[{_LETTERS}0-9!|]*[{_LETTERS}][{_LETTERS}0-9!|]*")
@@ -74,6 +72,7 @@ _MARKS = set(SPLIT_MARKS)
 _FOLDED = re.compile("[" + "".join(re.escape(chr(o)) for o in sorted(FOLDS) if o < 0x10000 and not (0xFF01 <= o <= 0xFF0F or 0xFF1A <= o <= 0xFF20 or chr(o) in "µ")) + "\u0300-\u036f\u3099\u309a\uf900-\ufaff]")
 _ASTRAL = re.compile("[\U0001d400-\U0001d7ff]")  # apart, as a class within the first plane is searched faster
 _OTHER = re.compile("[Ͱ-ԯ]")
+_SECOND = re.compile("[Ѐ-ӿ]+")
 _MIXED = re.compile("[A-Za-z][Ͱ-ԯ]|[Ͱ-ԯ][A-Za-z]")
 _SPLIT_END = re.compile(f"[{SPLIT_MARKS}][ \\t\\r]*(?:\\n|$)")
 
@@ -90,13 +89,13 @@ _SPLIT = re.compile(f"([{_LETTERS}]+)[{SPLIT_MARKS}]\\s*$")
 _HEAD = re.compile(f"\\s*([{_LETTERS}]+)")
 _NUMBER = re.compile(r"(?<![\w.,/-])(?=[^\s]*[0-9])(?=[^\s%]*[OSBlIZ])[0-9OSBlIZ]+(?:[.,][0-9OSBlIZ]+)?(?=%|[.,;:)。，；]*(?:\s|$)|[぀-鿿])")
 # Forms of page numbers.
-_N = r"[0-9OlIS]{1,4}"
+_N = r"[0-9OlIS]+"
 _PAGE = re.compile(
     rf"(?:[-–—·|~\[(]*\s*{_N}\s*[-–—·|~\])]*|{_N}\s*/\s*{_N}(?:\s*ページ)?|{_N}\s*ページ|第\s*{_N}\s*[页頁](?:\s*[,，/]?\s*共\s*{_N}\s*[页頁])?"
-    rf"|\w{{3,6}}\.?\s+{_N}(?:\s*(?:of|von|sur|de|di|из|/|ot|ol)\s*{_N})?|[-–—·|]?\s*[ivxlcdm]{{1,8}}\s*[-–—·|]?)",
+    rf"|\w{{3,6}}\.?\s+{_N}(?:\s*(?:of|von|sur|de|di|из|/|ot|ol)\s*{_N}(?:\s+\w+)?)?|(?:ページ|[页頁])\s*{_N}|[-–—·|]?\s*[ivxlcdm]{{1,8}}\s*[-–—·|]?)",
     re.IGNORECASE,
 )
-_PAGE_WORDS = re.compile(r"(?:page|seite|página|pagina|стр|страница|pag|p|s)\.?\s", re.IGNORECASE)
+_PAGE_WORDS = re.compile(r"(?:page|seite|blatt|feuille|hoja|foglio|folha|лист|sheet|página|pagina|стр|страница|pag|p|s)\.?\s", re.IGNORECASE)
 _CODE_END = re.compile(r"\s*[·|–—-]\s*[A-Z]{2}\s?[-0-9/OSBlI]+\s*$", re.IGNORECASE)
 _ROMAN = re.compile(r"m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})", re.IGNORECASE)
 _SENTENCE_END = re.compile(r"[.。!?;；:：,，、)）]\s*$")
@@ -107,12 +106,16 @@ def _close(text: str) -> str:
     return _HAN_BLANK.sub("", text) if _HAN.search(text) else text
 
 
+#: A longer line is looked at as a page number only if it has few parts; their length does not matter.
+LONGEST_PAGE_NUMBER = 60
+
+
 def is_page_number(text: str) -> bool:
     """Whether the text, in its consistent form, has the form of a page number."""
-    if len(text) > 60:
-        return False
+    if len(text) > LONGEST_PAGE_NUMBER and len(text.split()) > 8 and not _HAN.search(text):
+        return False  # no form has so many parts
     t = _close(text.strip())
-    if not t or len(t) > 30 or not _PAGE.fullmatch(t):
+    if not t or not _PAGE.fullmatch(t):
         return False
     words = re.sub(r"[\W\d_]+", " ", t).split()
     if not words or _HAN.search(t):
@@ -191,14 +194,15 @@ def count_grams(records: DataFrame) -> DataFrame:
     return spread(records.select("text").where("text IS NOT NULL")).mapInArrow(run, "kind STRING, gram STRING, n BIGINT").groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
 
-def confusions(grams: DataFrame) -> tuple[dict[str, list[tuple[str, float]]], set[str]]:
-    """What each character of an unspaced script may have been, with bits; learned from contexts that one character fills. Also those that are mostly right."""
+def confusions(grams: DataFrame, triples: int) -> tuple[dict[str, list[tuple[str, float]]], set[str], dict[str, str]]:
+    """What each character of an unspaced script may have been, with bits; learned from contexts that one character fills. Also those that are mostly right,
+    and the contexts themselves that make up ``TRIPLE_SHARE`` of all ``triples``, with what fills them."""
     # the context of a character: what stands on both sides, before it, or after it
     t = grams.where("kind = 't'").selectExpr(
         """inline(array(named_struct('around', substr(gram, 1, 1) || '_' || substr(gram, 3, 1), 'c', substr(gram, 2, 1), 'n', n),
         named_struct('around', substr(gram, 1, 2) || '_', 'c', substr(gram, 3, 1), 'n', n), named_struct('around', '_' || substr(gram, 2, 2), 'c', substr(gram, 1, 1), 'n', n)))"""
     )
-    settled = (
+    settled = checkpoint(
         t.groupBy("around")
         .agg(F.max_by("c", "n").alias("usual"), F.max("n").alias("most"), F.sum("n").alias("total"))
         .where(f"most >= {SETTLED} * total AND most >= {RARER}")
@@ -215,7 +219,51 @@ def confusions(grams: DataFrame) -> tuple[dict[str, list[tuple[str, float]]], se
         out.setdefault(r["c"], []).append((r["usual"], -math.log2(r["n"] / total)))
         if r["n"] < COMMON_SHARE * r["all_of"]:
             common.add(r["c"])
-    return out, common
+    frequent = settled.where((F.col("most") >= TRIPLE_SHARE * triples) & F.expr("substr(around, 2, 1) = '_'") & F.col("usual").rlike(f"[{_CJK}]"))
+    return out, common, {r["around"][0] + r["around"][2]: r["usual"] for r in frequent.collect() if len(r["around"]) == 3}
+
+
+def channel(grams: DataFrame, least: float) -> dict[str, list[tuple[str, float]]]:
+    """What a stretch of one or two letters may have been, with bits, learned by expectation and maximisation from words of alphabets.
+
+    A word with a gap is a context. Where one filling is ``RARER`` times as frequent as another, the other is a misreading of it or a word of its own. Each
+    rare word is shared out among its explanations, first evenly and then by how often their confusion explains anything, until
+    the confusions that explain much stand out; a confusion is kept if it makes up ``CONFUSION_SHARE`` of all. Words of fewer than ``least``
+    occurrences are left out, so the work is bounded like the table of words.
+    """
+    words = grams.where((F.col("kind") == "w") & (F.col("n") >= least) & F.col("gram").rlike(f"^[{_LETTERS}0-9!|]{{4,24}}$")).select("gram", "n")
+    gaps = words.selectExpr(
+        """inline(flatten(transform(array(1, 2), k -> transform(sequence(1, length(gram) - k + 1), i -> named_struct(
+        'around', substr(gram, 1, i - 1) || '_' || substr(gram, i + k), 'filling', substr(gram, i, k), 'word', gram, 'n', n)))))"""
+    )
+    usual = gaps.groupBy("around").agg(F.max(F.struct("n", "filling", "word")).alias("usual"), F.count("*").alias("fillings")).where("fillings > 1").select(
+        "around", F.col("usual.n").alias("most"), F.col("usual.filling").alias("right"), F.col("usual.word").alias("printed"))
+    # one letter for another leaves gaps of two with a common letter as well: the shortest gap tells the confusion
+    explained = gaps.join(usual, "around").where(f"n * {RARER} <= most AND filling <> right").groupBy("word", "printed", "n", "most").agg(
+        F.min(F.struct(F.expr("length(filling) + length(right)").alias("size"), "filling", "right")).alias("c")
+    ).select("word", "n", "most", F.col("c.filling").alias("filling"), F.col("c.right").alias("right"))
+    explained = checkpoint(explained)
+    weights: dict[tuple[str, str], float] = {}
+    for _ in range(3):
+        if weights:
+            rows = [(x, y, w) for (x, y), w in weights.items()]  # at most 1 / CONFUSION_SHARE
+            known = F.broadcast(explained.sparkSession.createDataFrame(rows, "filling STRING, right STRING, weight DOUBLE"))
+            weighted = explained.join(known, ["filling", "right"])
+        else:
+            weighted = explained.withColumn("weight", F.lit(1.0))
+        mine = weighted.withColumn("part", F.col("weight") * F.col("most"))
+        totals = mine.groupBy("word").agg(F.sum("part").alias("all_parts"))
+        counts = mine.join(totals, "word").groupBy("filling", "right").agg(F.sum(F.expr("n * part / all_parts")).alias("c"), F.countDistinct("word").alias("words"))
+        counts = counts.where("words > 2").select("filling", "right", "c")
+        total = counts.agg(F.sum("c")).collect()[0][0] or 0.0
+        weights = {(r["filling"], r["right"]): r["c"] / total for r in counts.where(F.col("c") >= CONFUSION_SHARE * total).collect()}
+    out: dict[str, list[tuple[str, float]]] = {}
+    for (wrong, right), share in sorted(weights.items()):
+        marked = [c for c in wrong + right if len(unicodedata.normalize("NFD", c)) > 1 and not _SECOND.match(c)]
+        if marked and not wrong.isascii() and (not right.isascii() or set(unicodedata.normalize("NFD", wrong)) & set(right)):
+            continue  # another accent, or none, is no confusion of shapes
+        out.setdefault(wrong, []).append((right, CONFUSED - math.log2(share)))
+    return out
 
 
 def tables(records: DataFrame) -> dict:
@@ -223,8 +271,9 @@ def tables(records: DataFrame) -> dict:
     grams = checkpoint(count_grams(records))
     totals = {r["kind"]: r["n"] for r in grams.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     share = {"w": WORD_SHARE, "p": PAIR_SHARE, "h": COMPOUND_SHARE, "t": TRIPLE_SHARE}
-    found, common = confusions(grams)
-    out: dict = {"totals": totals, "confusions": found, "common": common}
+    found, common, usual = confusions(grams, totals.get("t") or 0)
+    out: dict = {"totals": totals, "confusions": found, "common": common, "usual": usual}
+    out["channel"] = channel(grams, max(2, WORD_SHARE * (totals.get("w") or 0)))
     for kind in share:
         least = max(2, share[kind] * (totals.get("w" if kind == "h" else kind) or 0))
         out[kind] = {r["gram"]: r["n"] for r in grams.where((F.col("kind") == kind) & (F.col("n") >= least)).collect()}
@@ -240,7 +289,14 @@ class Reader:
     def __init__(self, made: dict):
         self.words, self.pairs, self.compounds, self.triples = made["w"], made["p"], made["h"], made["t"]
         self.total = max(1, made["totals"].get("w", 1))
-        self.confusions, self.common = made["confusions"], made["common"]
+        self.confusions, self.common, self.usual = made["confusions"], made["common"], made.get("usual", {})
+        self.channel = [(wrong, right, bits) for wrong, rights in made.get("channel", {}).items() for right, bits in rights]
+        self._gaps: dict[str, list[str]] = {}
+        for w, n in self.words.items():
+            if n >= FREQUENT_SHARE * self.total and len(w) > 3 and w.isalpha():
+                for k in (1, 2):
+                    for i in range(len(w) - k + 1):
+                        self._gaps.setdefault(f"{w[:i]}_{w[i + k:]}", []).append(w)
         self.rarest = max(0.5, TRIPLE_SHARE * made["totals"].get("t", 0) / 6)
         self._candidates: dict[str, tuple[tuple[str, float], ...]] = {}
         self._plain: set[str] = set()
@@ -266,15 +322,23 @@ class Reader:
         least = self._least(word, own)
         if least is not None:
             once = self._once(word)
-            for w in once:
-                if self.words.get(w, 0) > least:
-                    found[w] = CONFUSED
+            for w, bits in once.items():
+                if self.words.get(w, 0) > least and bits < found.get(w, 99.0):
+                    found[w] = bits
             if not found and not own and len(word) > 4:
-                for x in once:
-                    for w in self._once(x):
-                        if w != word and self.words.get(w, 0):
-                            found[w] = 2 * CONFUSED
-        return ((word, 0.0), *sorted(found.items(), key=lambda x: (x[1], -self.words[x[0]]))[:6])
+                for x, first in once.items():
+                    for w, bits in self._once(x).items():
+                        if w != word and self.words.get(w, 0) and first + bits < found.get(w, 99.0):
+                            found[w] = first + bits
+            if not own and len(word) > 3:
+                for k in (1, 2):
+                    for i in range(len(word) - k + 1):
+                        filling = word[i : i + k]
+                        if filling.isascii() or _SECOND.fullmatch(filling):
+                            for w in self._gaps.get(f"{word[:i]}_{word[i + k:]}", ()):
+                                if w not in found and (filling.isascii() and not filling.isalpha() or filling.isascii() == w[i : len(w) - len(word) + i + k].isascii()):
+                                    found[w] = UNLISTED
+        return ((word, 0.0), *sorted(found.items(), key=lambda x: (x[1], -self.words[x[0]])))
 
     def _least(self, word: str, own: int) -> float | None:
         """How often another word must occur to be a reading of this one; None if none can be."""
@@ -286,13 +350,15 @@ class Reader:
             return own * FAR_MORE[min(len(word), 5)]
         return 0 if len(word) > 3 else SHORT_SHARE * self.total
 
-    @staticmethod
-    def _once(word: str) -> set[str]:
-        out = set()
-        for wrong, right in MISREAD:
+    def _once(self, word: str) -> dict[str, float]:
+        """The word with one confusion undone, with the bits of the confusion."""
+        out: dict[str, float] = {}
+        for wrong, right, bits in self.channel:
             at = word.find(wrong)
             while at >= 0:
-                out.add(word[:at] + right + word[at + len(wrong) :])
+                x = word[:at] + right + word[at + len(wrong) :]
+                if bits < out.get(x, 99.0):
+                    out[x] = bits
                 at = word.find(wrong, at + 1)
         return out
 
@@ -302,11 +368,9 @@ class Reader:
 
     def decode(self, words: list[str]) -> list[str]:
         """The likeliest readings of a line's lower-case words."""
-        beams: list[tuple[float, tuple[str, ...]]] = [(0.0, ())]
         options = [self.candidates(w) for w in words]
         if all(len(o) == 1 for o in options):
             return words
-        best: dict[str, tuple[float, int]] = {"": (0.0, -1)}
         steps: list[dict[str, tuple[float, str]]] = []
         before: dict[str, float] = {"": 0.0}
         for o in options:
@@ -320,7 +384,6 @@ class Reader:
                         now[w] = (cost, last)
             steps.append(now)
             before = {w: c for w, (c, _) in now.items()}
-        del beams, best
         last = min(before, key=before.get)
         out = []
         for now in reversed(steps):
@@ -384,7 +447,7 @@ class Reader:
                     misread.add(i)
                     lines[i] = fixed
             carried = ending
-        if self._confusable and self._confusable.search(text):
+        if _HAN.search(text):
             self._read_characters(lines, misread)
         return lines, split, misread
 
@@ -443,17 +506,21 @@ class Reader:
         return best
 
     def _doubtful(self, lines: list[str], i: int) -> bool:
-        """Whether the line holds a confusable character; one that is mostly right counts if it reads otherwise between its neighbours, also across line breaks."""
-        found = self._confusable.findall(lines[i])
-        if not found:
+        """Whether the line holds a confusable character; one that is mostly right counts if it reads otherwise between its neighbours, also across line breaks; so does any other in an unknown place of a known context."""
+        if not _HAN.search(lines[i]):
             return False
-        if not self.common.issuperset(found):
+        found = self._confusable.findall(lines[i]) if self._confusable else []
+        if found and not self.common.issuperset(found):
             return True
         # two characters of what stands around the line
         before = _classes(lines[i - 1])[-2:] if i and "�" not in lines[i - 1] else ""
         after = _classes(lines[i + 1])[:3] if i + 1 < len(lines) and "�" not in lines[i + 1] else ""
         own = _classes(lines[i])
         around = (before + own + after).replace("00", "0")
+        if self._strange(around):
+            return True
+        if not found:
+            return False
         around = "\n\n" + around + "\n\n"
         for m in self._confusable.finditer(around):
             context = around[m.start() - 2 : m.start() + 3]
@@ -466,10 +533,27 @@ class Reader:
                 return True
         return False
 
+    def _strange(self, chars: str) -> list[int]:
+        """Places of characters that no known triple holds, among neighbours whose triples are known, where the context is filled by another."""
+        known = bytes(map(self.triples.__contains__, map("".join, zip(chars, chars[1:], chars[2:]))))
+        out = []
+        at = known.find(b"\0\0\0")
+        while at >= 0:
+            end = at + 3
+            while end < len(known) and not known[end]:
+                end += 1
+            if end == at + 3:
+                k = at + 2
+                usual = self.usual.get(chars[k - 1] + chars[k + 1])
+                if usual and usual != chars[k] and _HAN.match(chars[k]):
+                    out.append(k)
+            at = known.find(b"\0\0\0", end)
+        return out
+
     def _read_characters(self, lines: list[str], misread: set[int]) -> None:
-        """Corrects confused characters of unspaced script in ``lines``, with contexts that reach over line breaks."""
+        """Corrects confused characters of unspaced script in ``lines`` by Viterbi search over the readings of each, with contexts that reach over line breaks."""
         confused = self.confusions
-        # stretches of characters with their places, from lines that hold a confusable one and their neighbours; digits and capitals are one class
+        # stretches of characters with their places, from lines that hold a doubtful one and their neighbours; digits and capitals are one class
         near = {j for i in range(len(lines)) if self._doubtful(lines, i) for j in (i - 1, i, i + 1)}
         chars: list[str] = []
         places: list[tuple[int, int]] = []
@@ -489,21 +573,49 @@ class Reader:
                         continue
                 chars.append(_WIDE.get(c, c))
                 places.append((i, j))
-        n = len(chars)
+        if not chars:
+            return
+        options: dict[int, list[tuple[str, float]]] = {k: [(u, bits + CHARACTER_GAIN) for u, bits in confused[c]] for k, c in enumerate(chars) if c in confused}
+        for k in self._strange("".join(chars)):
+            usual = self.usual[chars[k - 1] + chars[k + 1]]
+            if all(u != usual for u, _ in options.get(k, ())):
+                options.setdefault(k, []).append((usual, UNLISTED_CHARACTER + CHARACTER_GAIN))
         changes: dict[int, dict[int, str]] = {}
-        for k in range(n):
-            if chars[k] not in confused:
-                continue
-            windows = [("".join(chars[a : a + 3]), k - a) for a in range(max(0, k - 2), min(k, n - 3) + 1)]
-            best = self._reading(chars[k], windows)
-            if best:
-                i, j = places[k]
-                changes.setdefault(i, {})[j] = best
-                chars[k] = best
+        for k, new in self._likeliest(chars, options).items():
+            i, j = places[k]
+            changes.setdefault(i, {})[j] = new
         for i, by in changes.items():
             lines[i] = "".join(by.get(j, c) for j, c in enumerate(lines[i]))
             misread.add(i)
 
+    def _likeliest(self, chars: list[str], options: dict[int, list[tuple[str, float]]]) -> dict[int, str]:
+        """The characters that change in the likeliest reading under the triples' frequencies; ``options`` are the other readings of places, with bits."""
+        out: dict[int, str] = {}
+        places = sorted(options)
+        while places:
+            # places so near that a triple holds two are read together
+            last = 1
+            while last < len(places) and places[last] - places[last - 1] < 3:
+                last += 1
+            group, places = places[:last], places[last:]
+            begin, end = max(0, group[0] - 2), min(len(chars), group[-1] + 3)
+            states: dict[tuple[str, ...], tuple[float, dict[int, str]]] = {(): (0.0, {})}
+            for k in range(begin, end):
+                now: dict[tuple[str, ...], tuple[float, dict[int, str]]] = {}
+                for c, bits in ((chars[k], 0.0), *options.get(k, ())):
+                    for before, (cost, changed) in states.items():
+                        own = cost + bits
+                        if len(before) == 2:
+                            triple = before[0] + before[1] + c
+                            if "\n" not in triple:
+                                own -= math.log2(self.triples.get(triple, 0) + self.rarest)
+                        state = (*before, c)[-2:]
+                        if state not in now or own < now[state][0]:
+                            now[state] = own, changed if c == chars[k] else {**changed, k: c}
+                states = now
+            out.update(min(states.values(), key=lambda x: x[0])[1])
+        return out
+
     def repair(self, text: str, furniture: set[int]) -> str:
         """The text without furniture lines (numbers from 1), corrected, with split words whole and lines joined into paragraphs."""
         lines, split, _ = self.read(text)
@@ -552,11 +664,14 @@ def _digits(m: re.Match) -> str:
 _BESIDE = set("’‘“”„«»‹›–—…•·°²³±µ‐‑。，、；：（）「」『』《》¿¡º")
 
 
+_ODD_INSIDE = ("²", "³", "°", "±", "µ", "º", "¡", "¿")
+
+
 def _plain(line: str, m: re.Match) -> bool:
     """Whether a word stands beside ordinary signs only; others are damage of another kind."""
     a, z = line[m.start() - 1 : m.start()], line[m.end() : m.end() + 1]
     return all(not c or c.isascii() or c in _BESIDE or c.isspace() or bool(_HAN.match(c)) for c in (a, z)) and not (
-        a in ("²", "³", "°", "±", "µ", "º", "¡", "¿") and line[m.start() - 2 : m.start() - 1].isalpha())
+        a in _ODD_INSIDE and line[m.start() - 2 : m.start() - 1].isalpha() or z in _ODD_INSIDE and line[m.end() + 1 : m.end() + 2].isalpha())
 
 
 def _is_code(line: str, m: re.Match) -> bool:
@@ -581,26 +696,8 @@ def _reader(shared) -> Reader:
 HEADING_LABELS = ("paragraph_title", "figure_title", "table_title", "caption", "figure_caption", "table_caption")
 
 
-#: Longer lines than these characters, or these of so many bytes, are compared with the document's title only; a header of the corpus is no longer than the last.
-LONGEST_FURNITURE, WIDEST_FURNITURE, LONGEST_HEADER = 66, 100, 44
-#: By so many characters a misread line may be longer than the title it repeats.
-SLACK = 10
-#: So many documents with long titles are sent to all tasks; more are joined by a shuffle.
-MOST_BROADCAST = 100_000
-
-
-def _short(line: str, slack: int = 0) -> bool:
-    n = len(line) + slack
-    return n <= LONGEST_HEADER or n <= LONGEST_FURNITURE and len(line.encode("utf-8", "replace")) + slack <= WIDEST_FURNITURE
-
-
-def _bare(core: str) -> str:
-    """The part of a line that is no page number, without a closing code."""
-    core = core.strip()
-    return _CODE_END.sub("", core) if core[-1:] in _CODE_LAST else core
-
-
-_CODE_LAST = set("0123456789-/OSBlIosbLi")
+#: A line off the edges is compared with headers of the corpus up to this length; a longer one counts where it stands at an edge.
+LONGEST_INNER = 44
 
 
 _COLUMNS = re.compile(r"\s{2,}|\t")
@@ -609,7 +706,7 @@ _OTHER_BLANK = re.compile(r"[^\S ]")
 
 def _cores(line: str) -> tuple[str | None, bool] | None:
     """The part of a line that is no page number, and whether another part is one; None if several parts are none."""
-    if len(line) > LONGEST_FURNITURE and "  " not in line and not _OTHER_BLANK.search(line):
+    if len(line) > LONGEST_PAGE_NUMBER and "  " not in line and not _OTHER_BLANK.search(line):
         return line.strip(), False
     if is_page_number(line):
         return None, True
@@ -625,26 +722,22 @@ def _cores(line: str) -> tuple[str | None, bool] | None:
 _DASHED = re.compile(r"- [0-9OlIS]+ -(?:\s|$)|\| ?[0-9OlIS]+(?:\s{2,}|$)")
 
 
-def edge_lines(tab: str, label: str | None, lines: list[str], page: int, long: bool = False) -> Iterator[tuple[int, str | None, bool, bool, str]]:
+def edge_lines(tab: str, label: str | None, lines: list[str], page: int) -> Iterator[tuple[int, str | None, bool, bool, str]]:
     """Lines that may be furniture: number from 1, skeleton of the core, whether a page number is on the line, whether at the page's edge, and a role.
 
-    Titles and marked lines are among them at any length, of others the short ones, or if ``long`` only those that are not.
+    Lines at an edge are among them at any length.
     """
-
-    def wanted(core: str | None) -> bool:
-        return not long if core is None else _short(core if len(core) <= LONGEST_HEADER else _bare(core)) != long
-
     if tab == "native_text_pages":
         filled = [i for i, x in enumerate(lines) if x.strip()]
-        edge = set(filled[:2] + filled[-2:])
+        top = set(filled[:EDGE_LINES])
+        edge = top.union(filled[-EDGE_LINES:])
         first = filled[0] if filled else -1
         for i in filled:
             if i in edge:
                 c = _cores(lines[i])
-                role = "title" if page == 1 and i == first else "top" if i in filled[:2] else "line"
-                if c and (not long if role == "title" else wanted(c[0])):
-                    yield i + 1, _core_shape(c[0]), c[1], True, role
-            elif not long and len(lines[i]) <= LONGEST_HEADER and not _SENTENCE_END.search(lines[i]):  # counts against headers of the corpus only
+                if c:
+                    yield i + 1, _core_shape(c[0]), c[1], True, "title" if page == 1 and i == first else "top" if i in top else "line"
+            elif len(lines[i]) <= LONGEST_INNER and not _SENTENCE_END.search(lines[i]):  # counts against headers of the corpus only
                 yield i + 1, _core_shape(lines[i].strip()), False, False, "line"
     elif tab == "parsed_documents":
         titled = False
@@ -653,16 +746,14 @@ def edge_lines(tab: str, label: str | None, lines: list[str], page: int, long: b
                 continue
             if x.startswith("# ") and not titled:
                 titled = True
-                if not long:
-                    yield i + 1, _core_shape(x[2:]), False, False, "title"
+                yield i + 1, _core_shape(x[2:]), False, False, "title"
             elif not x.startswith(("#", "|", "!", "- ", "* ", "• ")) or _DASHED.match(x):
                 c = _cores(x)
-                if c and wanted(c[0]):
+                if c:
                     yield i + 1, _core_shape(c[0]), c[1], True, "line"
             elif x.startswith("#"):
-                if wanted(x):
-                    yield i + 1, _core_shape(x), False, False, "heading"
-            elif not long and is_page_number(x):
+                yield i + 1, _core_shape(x), False, False, "heading"
+            elif is_page_number(x):
                 yield i + 1, None, True, True, "line"
     else:
         marked = label in ("header", "footer", "number", "page_header", "page_footer", "page_number")
@@ -673,20 +764,11 @@ def edge_lines(tab: str, label: str | None, lines: list[str], page: int, long: b
                 if c or marked:
                     c = c or (lines[i], False)
                     role = "marked" if marked else "title" if label == "doc_title" else "heading" if label in HEADING_LABELS else "line"
-                    if not long if role in ("marked", "title") else wanted(c[0]):
-                        yield i + 1, _core_shape(c[0]), c[1], role != "heading", role
-
-
-def long_title(lines: list[str], edges: list[tuple]) -> bool:
-    """Whether a title is so long that lines with it may be missing in ``edges``."""
-    for i, _, _, _, role in edges:
-        if role == "title" and len(lines[i - 1]) > LONGEST_HEADER - SLACK:
-            c = _cores(_LEADING.sub("", lines[i - 1]))
-            if c and c[0] and not _short(_bare(c[0]), SLACK):
-                return True
-    return False
+                    yield i + 1, _core_shape(c[0]), c[1], role != "heading", role
 
 
+#: Lines at the head and at the foot of a page that are its edges.
+EDGE_LINES = 2
 _LEADING = re.compile(r"^[#\s]*(?:[0-9OlIS]+(?:\.[0-9OlIS]+)*\.?\s+)?")
 
 
@@ -695,14 +777,25 @@ def _core_shape(core: str | None) -> str | None:
     return None if core is None else skeleton(re.sub(r"[0-9]+(?:[.,][0-9]+)*", "#", _CODE_END.sub("", _LEADING.sub("", core))))
 
 
+#: Marks that a header of the corpus or of a document does not have.
+_SENTENCE_MARKS = re.compile("[.。，,;；:：#{}|]")
+
 LINES = (
     "tab STRING, document_id STRING, page_number INT, part_no INT, line_no INT, kind STRING, "
-    "shape STRING, numbered BOOLEAN, edge BOOLEAN, role STRING"
+    "shape STRING, bare BOOLEAN, numbered BOOLEAN, edge BOOLEAN, role STRING"
 )
 
 
-def lines_of(records: DataFrame, made: dict, long: bool = False) -> DataFrame:
-    """Split and misread lines, lines that may be furniture (kind ``edge``), and long titles (kind ``long``); if ``long`` only long lines that may be furniture; of ``tab, document_id, page_number, part_no, label, text``."""
+def _hashed(shape: str) -> str:
+    """96 bits for a shape of any length, as 16 signs."""
+    return base64.b64encode(hashlib.blake2b(shape.encode("utf-8", "surrogatepass"), digest_size=12).digest()).decode()
+
+
+def lines_of(records: DataFrame, made: dict) -> DataFrame:
+    """Split and misread lines, and lines that may be furniture (kind ``edge``), of ``tab, document_id, page_number, part_no, label, text``.
+
+    ``bare`` tells that a shape has none of the marks and numbers that sentences have.
+    """
     shared = records.sparkSession.sparkContext.broadcast(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -713,45 +806,33 @@ def lines_of(records: DataFrame, made: dict, long: bool = False) -> DataFrame:
                 if not text:
                     continue
                 lines, split, misread = r.read(text)
-                if long:
-                    out += [(tab, doc, page, part, i, "edge", s, n, e, role) for i, s, n, e, role in edge_lines(tab, label, lines, page, long)]
-                    continue
-                out += [(tab, doc, page, part, i + 1, "hyphen", None, None, None, None) for i in split]
-                out += [(tab, doc, page, part, i + 1, "misread", None, None, None, None) for i in misread]
-                edges = list(edge_lines(tab, label, lines, page))
-                out += [(tab, doc, page, part, i, "edge", s, n, e, role) for i, s, n, e, role in edges]
-                if long_title(lines, edges):
-                    out.append((tab, doc, page, part, 0, "long", None, None, None, None))
-            columns = list(zip(*out)) if out else [[]] * 10
-            types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.string())
+                out += [(tab, doc, page, part, i + 1, "hyphen", None, None, None, None, None) for i in split]
+                out += [(tab, doc, page, part, i + 1, "misread", None, None, None, None, None) for i in misread]
+                for i, s, n, e, role in edge_lines(tab, label, lines, page):
+                    bare = s is not None and not _SENTENCE_MARKS.search(s)
+                    out.append((tab, doc, page, part, i, "edge", None if s is None else _hashed(s), bare, n, e, role))
+            columns = list(zip(*out)) if out else [[]] * 11
+            types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [x.split()[0] for x in LINES.split(", ")])
 
     rows = spread(records.select("tab", "document_id", "page_number", "part_no", "label", "text").where("text IS NOT NULL AND document_id IS NOT NULL"))
     return rows.mapInArrow(run, LINES)
 
 
-def found(records: DataFrame, publishers: list[str]) -> DataFrame:
+def found(records: DataFrame, publishers: list[str], made: dict | None = None) -> DataFrame:
     """``tab, document_id, page_number, part_no, line_no, kind`` of furniture, split and misread lines.
 
-    ``publishers`` are names that may stand in headers, from a table of fixed size.
+    ``publishers`` are names that may stand in headers, from a table of fixed size; ``made`` are the ``tables`` of the records, if they are at hand.
     """
-    made = tables(records)
-    lines = checkpoint(lines_of(records, made).distinct())
+    lines = checkpoint(lines_of(records, made or tables(records)).distinct())
     edges = lines.where("kind = 'edge'")
-    # documents with long titles are looked through again for lines of that length
-    longs = lines.where("kind = 'long'").select("document_id").distinct()
-    number = longs.count()
-    if number:
-        longs = F.broadcast(longs) if number <= MOST_BROADCAST else longs
-        edges = edges.unionByName(checkpoint(lines_of(records.join(longs, "document_id", "left_semi"), made, long=True).distinct()))
     keys = ["tab", "document_id", "page_number", "part_no", "line_no"]
 
     # headers of the corpus: shapes that stand nearly always at edges of pages
     native = edges.where("tab = 'native_text_pages' AND shape IS NOT NULL AND role <> 'title'")
     total = native.where("edge").count()
     least = max(HEADER_PAGES, HEADER_SHARE * total)
-    plain = native.where("length(shape) <= 40 AND NOT shape RLIKE '[.。，,;；:：#{}|]'")
-    within = plain.groupBy("document_id", "shape").agg(F.count("*").alias("n"), F.sum(F.col("edge").cast("int")).alias("at_edge"), F.countDistinct("page_number").alias("pages"))
+    within = native.where("bare").groupBy("document_id", "shape").agg(F.count("*").alias("n"), F.sum(F.col("edge").cast("int")).alias("at_edge"), F.countDistinct("page_number").alias("pages"))
     repeated = (
         within.groupBy("shape").agg(F.sum("n").alias("n"), F.sum("at_edge").alias("at_edge"), F.sum("pages").alias("pages"))
         .where(f"at_edge >= {EDGE_SHARE} * n AND pages >= {least}")
@@ -759,16 +840,16 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
     )
     own = within.where(f"at_edge >= {EDGE_SHARE} * n AND pages >= {HEADER_PAGES}").select("document_id", "shape")
     headings = edges.where("role = 'heading' AND shape IS NOT NULL").groupBy("shape").agg(F.countDistinct("document_id").alias("d")).where("d > 1").select("shape")
-    # at most 1 / HEADER_SHARE shapes of 40 characters: joined by broadcast, as a third of all lines may be page numbers, without shape
+    # at most 1 / HEADER_SHARE shapes of 16 signs: joined by broadcast, as a third of all lines may be page numbers, without shape
     repeated = F.broadcast(repeated.join(headings, "shape", "left_anti"))
-    names = sorted({_core_shape(one_form(p)) for p in publishers if p and p.strip()})
+    names = sorted({_hashed(_core_shape(one_form(p))) for p in publishers if p and p.strip()})
     known = F.col("shape").isin(names) if names else F.lit(False)
 
     # shapes at the edge of several pages of one document; its other records, too, are looked at
     own = own.join(headings, "shape", "left_anti").withColumn("is_own", F.lit(True))
     titles = edges.where("role = 'title' AND shape IS NOT NULL").select("document_id", "shape", F.lit(True).alias("is_title"), F.lit(None).cast("boolean").alias("is_own"))
     titles = titles.unionByName(own.withColumn("is_title", F.lit(None).cast("boolean"))).groupBy("document_id", "shape").agg(F.max("is_title").alias("is_title"), F.max("is_own").alias("is_own"))
-    marked = edges.join(titles, ["document_id", "shape"], "left").join(repeated.withColumn("is_header", F.lit(True)), "shape", "left")
+    marked = edges.where("edge OR tab <> 'native_text_pages' OR role = 'title'").join(titles, ["document_id", "shape"], "left").join(repeated.withColumn("is_header", F.lit(True)), "shape", "left")
 
     # a title on the first page is the heading, unless it is there twice: then the one at the foot, or else the first, is the header
     page = Window.partitionBy("tab", "document_id", "page_number", "part_no")
@@ -782,7 +863,7 @@ def found(records: DataFrame, publishers: list[str]) -> DataFrame:
     again = shown.where(F.col("edge") | (F.col("tab") != "native_text_pages")).where(~heading).select(*keys)
     plain = marked.where("edge AND role <> 'heading'").where(F.col("shape").isNull() | (F.col("role") == "marked") | known | F.col("is_header").isNotNull() | F.col("is_own").isNotNull()).where("is_title IS NULL OR role = 'marked'").select(*keys)
     furniture = again.unionByName(plain).distinct()
-    rest = lines.where("kind NOT IN ('edge', 'long')").select(*keys, "kind").join(furniture, keys, "left_anti")
+    rest = lines.where("kind <> 'edge'").select(*keys, "kind").join(furniture, keys, "left_anti")
     return furniture.withColumn("kind", F.lit("furniture")).unionByName(rest)
 
 
@@ -790,7 +871,7 @@ def repaired(records: DataFrame, publishers: list[str]) -> DataFrame:
     """``tab, document_id, page_number, part_no, text``: each text repaired into continuous paragraphs, without furniture."""
     made = tables(records)
     keys = ["tab", "document_id", "page_number", "part_no"]
-    dropped = found(records, publishers).where("kind = 'furniture'").groupBy(*keys).agg(F.collect_list("line_no").alias("dropped"))
+    dropped = found(records, publishers, made).where("kind = 'furniture'").groupBy(*keys).agg(F.collect_list("line_no").alias("dropped"))
     shared = records.sparkSession.sparkContext.broadcast(made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -799,5 +880,6 @@ def repaired(records: DataFrame, publishers: list[str]) -> DataFrame:
             texts = [None if t is None else r.repair(t, set(d or ())) for t, d in zip(b.column(4).to_pylist(), b.column(5).to_pylist())]
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(texts, pa.string())], [*keys, "text"])
 
-    rows = records.select(*keys, "text").distinct().join(dropped, keys, "left").select(*keys, "text", "dropped")
+    # texts are shuffled once: what is delivered twice is dropped in the partitions of the join
+    rows = records.select(*keys, "text").join(dropped, keys, "left").dropDuplicates([*keys, "text"]).select(*keys, "text", "dropped")
     return rows.mapInArrow(run, "tab STRING, document_id STRING, page_number INT, part_no INT, text STRING")

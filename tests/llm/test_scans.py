@@ -17,7 +17,7 @@ def rows():
 
 def special():
     return [
-        ("native_text_pages", "s", 1, 0, None, "Own Title\nThe turbine hall required a second inspec-\ntion before the annual handover, with the well-\nknown depot lists thc readings and 1S.5 mm.\n检修台账仍处于长期控制范围内\nPage 1 of 2"),
+        ("native_text_pages", "s", 1, 0, None, "Own Title\nThe turbine hall required a second inspec-\ntion before the annual handover, with the well-\nknown depot lists the rcadings and 1S.5 mm.\n检修台账仍处于长期控制范围内\nPage 1 of 2"),
         ("native_text_pages", "s", 2, 0, None, "Own Title\nThe monitoring wcll met every requirement\nVorbraush Works · TW-4438    2"),
         ("parsed_documents", "s", 0, 0, None, "# Own Title\n\nThe annual handover\n\nVORBRAUSH WORKS\n\n2\n\nOwn Title\n\n## 1 Method"),
         ("run_pages", "s", 1, 1, "doc_title", "Own Title"), ("run_pages", "s", 2, 1, "header", "Own Title"), ("run_pages", "s", 2, 2, "number", "— 2 —"), ("run_pages", "s", 2, 3, "text", "The annual hand¬\nover"),
@@ -51,7 +51,7 @@ def test_empty(frame):
 
 
 def test_page_numbers():
-    for t in ("3", "— 12 —", "- 4 -", "· 7 ·", "| 9", "2 / 14", "3 / 9 ページ", "第 5 页 共 13 页", "Page 1 of 4", "Seite 2 von 8", "Página 3 de 9", "Pagina 3 di 9", "Стр. 2 из 7", "xiv", "lxxviii", "第5页共13页"):
+    for t in ("Page 12345", "Blatt 3", "ページ 3", "Seite 3 von 10 Seiten", "第 12345 页", "3", "— 12 —", "- 4 -", "· 7 ·", "| 9", "2 / 14", "3 / 9 ページ", "第 5 页 共 13 页", "Page 1 of 4", "Seite 2 von 8", "Página 3 de 9", "Pagina 3 di 9", "Стр. 2 из 7", "xiv", "lxxviii", "第5页共13页"):
         assert scans.is_page_number(t), t
     for t in ("", "Results 3", "12.5 mm", "Summary", "Table 3", "vivid", "2 Background", "12,5"):
         assert not scans.is_page_number(t), t
@@ -60,7 +60,7 @@ def test_page_numbers():
 def test_confused_characters_are_learned_from_settled_contexts(spark):
     text = CHINESE + "进水泵组未满足合同的要求。"
     texts = [text] * 200 + [text.replace("未", "末")] + [text.replace("检", "俭")]
-    found, _ = scans.confusions(scans.count_grams(spark.createDataFrame([(t,) for t in texts], "text STRING")))
+    found, _, _ = scans.confusions(scans.count_grams(spark.createDataFrame([(t,) for t in texts], "text STRING")), 0)
     assert found["末"][0][0] == "未"
 
 
@@ -101,3 +101,36 @@ def test_headers_of_one_document_are_found_in_a_large_corpus(spark, monkeypatch)
     frame = spark.createDataFrame([(*r, "k", "s") for r in pages], SCHEMA)
     got = {(r["document_id"], r["page_number"], r["line_no"]) for r in scans.found(frame, []).where("kind = 'furniture' AND line_no > 1").collect()}
     assert got == {("own", p, 6) for p in range(1, 9)}
+
+
+def test_the_channel_is_learned_from_rare_and_frequent_words(spark):
+    words = ["inspection", "turbine", "requirement", "monitoring", "containment", "reading", "annual", "depot", "second", "handover"]
+    texts = [" ".join(words)] * 200 + [w.replace("e", "c", 1) for w in words for _ in range(2)] + [w.replace("n", "ri", 1) for w in words for _ in range(2)]
+    grams = scans.count_grams(spark.createDataFrame([(t,) for t in texts], "text STRING"))
+    learned = scans.channel(grams, 2)
+    assert "e" in [r for r, _ in learned["c"]] and "n" in [r for r, _ in learned["ri"]]
+
+
+def test_confusions_the_corpus_does_not_show_are_read_by_frequency_and_neighbours():
+    made = {"w": {"the": 9000, "pump": 3000, "station": 5000, "was": 8000, "closed": 2000, "необычных": 900}, "p": {"the station": 2500, "station was": 2000, "pump station": 900}, "h": {}, "t": {},
+            "totals": {"w": 10**5}, "confusions": {}, "common": set(), "channel": {}}
+    reader = scans.Reader(made)
+    for wrong, right in (("the stahion was closed", "the station was closed"), ("the statlon was", "the station was"), ("нео6ычных", "необычных"), ("the stati0n was", "the station was")):
+        lines, _, misread = reader.read(wrong)
+        assert lines == [right] and misread == {0}, wrong
+    for right in ("the station was closed by Drabelenne", "the stÃ¤tion", "the pumps"):  # a name, damage of another kind, another form of the word
+        assert not reader.read(right)[2]
+
+
+def test_neighbouring_characters_are_read_together():
+    right, wrong = "采样队未出现可测的漂移", "采样队末岀现可测的漂移"
+    triples = {t: 5000 for t in map("".join, zip(right, right[1:], right[2:]))}
+    reader = scans.Reader({"w": {}, "p": {}, "h": {}, "t": triples, "totals": {"t": 10**6}, "confusions": {"末": [("未", 3.0)], "岀": [("出", 3.0)]}, "common": set()})
+    assert reader.read(wrong)[0] == [right]
+
+
+def test_a_character_in_an_unknown_place_of_a_known_context_is_read():
+    right, wrong = "采样队土出现可测的漂移", "采样队士出现可测的漂移"
+    triples = {t: 5000 for t in map("".join, zip(right, right[1:], right[2:]))}
+    reader = scans.Reader({"w": {}, "p": {}, "h": {}, "t": triples, "totals": {"t": 10**6}, "confusions": {}, "common": set(), "usual": {"队出": "土"}})
+    assert reader.read(wrong)[0] == [right] and reader.read(right)[2] == set()
