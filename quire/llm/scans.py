@@ -127,16 +127,18 @@ def is_page_number(text: str) -> bool:
     return bool(_PAGE_WORDS.match(t + " ")) and any(c.isdigit() or c in "OlIS" for c in t)
 
 
-_SKELETON = ((re.compile("rn|nn"), "m"), (re.compile("cl"), "d"), (re.compile("li"), "h"), (re.compile("ii"), "u"), (re.compile("vv"), "w"), (re.compile("ri"), "n"), (re.compile("ti"), "ü"))
+# Shapes of two letters with the one they are like.
+_SKELETON = (("rn", "m"), ("nn", "m"), ("cl", "d"), ("li", "h"), ("ii", "u"), ("vv", "w"), ("ri", "n"), ("ti", "ü"))
 _SHAPES = str.maketrans("ec il1!|oa0s5tf7g9qb68", "cc" + "_" + "lllll" + "ooo" + "ss" + "ttt" + "ggg" + "bbb")
+_GAPS = re.compile(r"[\s_]+")
 
 
 def skeleton(text: str) -> str:
     """What is left of a line in its consistent form when confusable shapes are taken as one."""
     t = _close(text).strip().lower()
-    for pattern, by in _SKELETON:
-        t = pattern.sub(by, t)
-    return re.sub(r"[\s_]+", "_", t.translate(_SHAPES))
+    for two, one in _SKELETON:
+        t = t.replace(two, one)
+    return _GAPS.sub("_", t.translate(_SHAPES))
 
 
 def _case(word: str, like: str) -> str:
@@ -226,37 +228,35 @@ def confusions(grams: DataFrame, triples: int) -> tuple[dict[str, list[tuple[str
 def channel(grams: DataFrame, least: float) -> dict[str, list[tuple[str, float]]]:
     """What a stretch of one or two letters may have been, with bits, learned by expectation and maximisation from words of alphabets.
 
-    A word with a gap is a context. Where one filling is ``RARER`` times as frequent as another, the other is a misreading of it or a word of its own. Each
-    rare word is shared out among its explanations, first evenly and then by how often their confusion explains anything, until
-    the confusions that explain much stand out; a confusion is kept if it makes up ``CONFUSION_SHARE`` of all. Words of fewer than ``least``
+    A word with a gap is a context. Where one filling is ``RARER`` times as frequent as another, the other is a misreading of it or a word of its own. The
+    rare words of one set of explanations are shared out among them, first evenly and then by how often each confusion explains anything, until
+    the confusions that explain much stand out; one is kept if it makes up ``CONFUSION_SHARE`` of all. Words of fewer than ``least``
     occurrences are left out, so the work is bounded like the table of words.
     """
     words = grams.where((F.col("kind") == "w") & (F.col("n") >= least) & F.col("gram").rlike(f"^[{_LETTERS}0-9!|]{{4,24}}$")).select("gram", "n")
     gaps = words.selectExpr(
         """inline(flatten(transform(array(1, 2), k -> transform(sequence(1, length(gram) - k + 1), i -> named_struct(
-        'around', substr(gram, 1, i - 1) || '_' || substr(gram, i + k), 'filling', substr(gram, i, k), 'word', gram, 'n', n)))))"""
+        'around', substr(gram, 1, i - 1) || '_' || substr(gram, i + k), 'x', named_struct('n', n, 'filling', substr(gram, i, k), 'word', gram))))))"""
     )
-    usual = gaps.groupBy("around").agg(F.max(F.struct("n", "filling", "word")).alias("usual"), F.count("*").alias("fillings")).where("fillings > 1").select(
-        "around", F.col("usual.n").alias("most"), F.col("usual.filling").alias("right"), F.col("usual.word").alias("printed"))
-    # one letter for another leaves gaps of two with a common letter as well: the shortest gap tells the confusion
-    explained = gaps.join(usual, "around").where(f"n * {RARER} <= most AND filling <> right").groupBy("word", "printed", "n", "most").agg(
-        F.min(F.struct(F.expr("length(filling) + length(right)").alias("size"), "filling", "right")).alias("c")
-    ).select("word", "n", "most", F.col("c.filling").alias("filling"), F.col("c.right").alias("right"))
-    explained = checkpoint(explained)
-    weights: dict[tuple[str, str], float] = {}
-    for _ in range(3):
-        if weights:
-            rows = [(x, y, w) for (x, y), w in weights.items()]  # at most 1 / CONFUSION_SHARE
-            known = F.broadcast(explained.sparkSession.createDataFrame(rows, "filling STRING, right STRING, weight DOUBLE"))
-            weighted = explained.join(known, ["filling", "right"])
-        else:
-            weighted = explained.withColumn("weight", F.lit(1.0))
-        mine = weighted.withColumn("part", F.col("weight") * F.col("most"))
-        totals = mine.groupBy("word").agg(F.sum("part").alias("all_parts"))
-        counts = mine.join(totals, "word").groupBy("filling", "right").agg(F.sum(F.expr("n * part / all_parts")).alias("c"), F.countDistinct("word").alias("words"))
-        counts = counts.where("words > 2").select("filling", "right", "c")
-        total = counts.agg(F.sum("c")).collect()[0][0] or 0.0
-        weights = {(r["filling"], r["right"]): r["c"] / total for r in counts.where(F.col("c") >= CONFUSION_SHARE * total).collect()}
+    # the fillings of a gap are as many as an alphabet has stretches of two letters at most
+    fillings = gaps.groupBy("around").agg(F.collect_list("x").alias("xs")).where("size(xs) > 1").selectExpr("xs", "array_max(xs) AS usual")
+    rare = fillings.selectExpr(
+        f"""inline(transform(filter(xs, x -> x.n * {RARER} <= usual.n AND left(x.filling, 1) <> left(usual.filling, 1) AND right(x.filling, 1) <> right(usual.filling, 1)),
+        x -> named_struct('word', x.word, 'n', x.n, 'confusion', named_struct('wrong', x.filling, 'right', usual.filling))))"""
+    )
+    sets = checkpoint(rare.groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_set("confusion")).alias("confusions")).groupBy("confusions").agg(F.sum("n").alias("n"), F.count("*").alias("words")))
+    total = sets.agg(F.sum("n")).collect()[0][0] or 0
+    rows = sets.where((F.col("n") >= CONFUSION_SHARE * total / 2) & (F.col("words") > 1)).collect()  # at most 2 / CONFUSION_SHARE
+    explained = [([(c["wrong"], c["right"]) for c in r["confusions"]], r["n"]) for r in rows]
+    weights = {c: 1.0 for cs, _ in explained for c in cs}
+    for _ in range(20):
+        counts: Counter = Counter()
+        for cs, n in explained:
+            whole = sum(weights.get(c, 0.0) for c in cs)
+            for c in cs if whole else ():
+                counts[c] += n * weights.get(c, 0.0) / whole
+        whole = sum(counts.values()) or 1.0
+        weights = {c: n / whole for c, n in counts.items() if n >= CONFUSION_SHARE * whole}
     out: dict[str, list[tuple[str, float]]] = {}
     for (wrong, right), share in sorted(weights.items()):
         marked = [c for c in wrong + right if len(unicodedata.normalize("NFD", c)) > 1 and not _SECOND.match(c)]
@@ -336,7 +336,7 @@ class Reader:
                         filling = word[i : i + k]
                         if filling.isascii() or _SECOND.fullmatch(filling):
                             for w in self._gaps.get(f"{word[:i]}_{word[i + k:]}", ()):
-                                if w not in found and (filling.isascii() and not filling.isalpha() or filling.isascii() == w[i : len(w) - len(word) + i + k].isascii()):
+                                if w[i] != word[i] and w[len(w) - len(word) + i + k - 1] != word[i + k - 1] and w not in found and (filling.isascii() and not filling.isalpha() or filling.isascii() == w[i : len(w) - len(word) + i + k].isascii()):
                                     found[w] = UNLISTED
         return ((word, 0.0), *sorted(found.items(), key=lambda x: (x[1], -self.words[x[0]])))
 
@@ -505,19 +505,18 @@ class Reader:
                 best, most = usual, gain
         return best
 
-    def _doubtful(self, lines: list[str], i: int) -> bool:
+    def _doubtful(self, lines: list[str], classes: list[str], i: int, strange: bool) -> bool:
         """Whether the line holds a confusable character; one that is mostly right counts if it reads otherwise between its neighbours, also across line breaks; so does any other in an unknown place of a known context."""
-        if not _HAN.search(lines[i]):
-            return False
         found = self._confusable.findall(lines[i]) if self._confusable else []
+        if not found and not (strange and _HAN.search(lines[i])):
+            return False
         if found and not self.common.issuperset(found):
             return True
         # two characters of what stands around the line
-        before = _classes(lines[i - 1])[-2:] if i and "�" not in lines[i - 1] else ""
-        after = _classes(lines[i + 1])[:3] if i + 1 < len(lines) and "�" not in lines[i + 1] else ""
-        own = _classes(lines[i])
-        around = (before + own + after).replace("00", "0")
-        if self._strange(around):
+        before = classes[i - 1][-2:] if i and "�" not in classes[i - 1] else ""
+        after = classes[i + 1][:3] if i + 1 < len(lines) and "�" not in classes[i + 1] else ""
+        around = (before + classes[i] + after).replace("00", "0")
+        if strange and self._strange(around):
             return True
         if not found:
             return False
@@ -535,7 +534,8 @@ class Reader:
 
     def _strange(self, chars: str) -> list[int]:
         """Places of characters that no known triple holds, among neighbours whose triples are known, where the context is filled by another."""
-        known = bytes(map(self.triples.__contains__, map("".join, zip(chars, chars[1:], chars[2:]))))
+        triples = self.triples
+        known = bytes([chars[i : i + 3] in triples for i in range(len(chars) - 2)])
         out = []
         at = known.find(b"\0\0\0")
         while at >= 0:
@@ -554,7 +554,14 @@ class Reader:
         """Corrects confused characters of unspaced script in ``lines`` by Viterbi search over the readings of each, with contexts that reach over line breaks."""
         confused = self.confusions
         # stretches of characters with their places, from lines that hold a doubtful one and their neighbours; digits and capitals are one class
-        near = {j for i in range(len(lines)) if self._doubtful(lines, i) for j in (i - 1, i, i + 1)}
+        whole = _classes("\n".join(lines))
+        strange = bool(self._strange(whole.replace("\n\n", "\0").replace("\n", "").replace("\0", "\n").replace("00", "0")))
+        if not strange and not (self._confusable and self._confusable.search(whole)):
+            return
+        classes = whole.split("\n")
+        near = {j for i in range(len(lines)) if self._doubtful(lines, classes, i, strange) for j in (i - 1, i, i + 1)}
+        if not near:
+            return
         chars: list[str] = []
         places: list[tuple[int, int]] = []
         for i in sorted(near & set(range(len(lines)))):
@@ -643,13 +650,12 @@ class Reader:
 
 #: Signs that the consistent form narrows, as the counts have them.
 _WIDE = {",": "，", ";": "；"}
-_WIDER = str.maketrans(_WIDE | {" ": None})
 _CODES = re.compile("[0-9A-Z]+")
 
 
 def _classes(line: str) -> str:
     """The line as the counts have it: no blanks, and digits and capitals as one class."""
-    return _CODES.sub("0", line.translate(_WIDER))
+    return _CODES.sub("0", line.replace(" ", "").replace(",", "，").replace(";", "；"))
 
 
 # Openings of lines that stand by themselves.
@@ -738,7 +744,9 @@ def edge_lines(tab: str, label: str | None, lines: list[str], page: int) -> Iter
                 if c:
                     yield i + 1, _core_shape(c[0]), c[1], True, "title" if page == 1 and i == first else "top" if i in top else "line"
             elif len(lines[i]) <= LONGEST_INNER and not _SENTENCE_END.search(lines[i]):  # counts against headers of the corpus only
-                yield i + 1, _core_shape(lines[i].strip()), False, False, "line"
+                core = _core(lines[i].strip())
+                if not _NO_HEADER.search(core):
+                    yield i + 1, skeleton(core), False, False, "line"
     elif tab == "parsed_documents":
         titled = False
         for i, x in enumerate(lines):
@@ -772,11 +780,28 @@ EDGE_LINES = 2
 _LEADING = re.compile(r"^[#\s]*(?:[0-9OlIS]+(?:\.[0-9OlIS]+)*\.?\s+)?")
 
 
+_CODE_LAST = set("0123456789-/OSBlIosbi")
+_MAY_LEAD = set("# \t0123456789OlIS")
+_DIGIT = re.compile("[0-9]")
+_FIGURES = re.compile(r"[0-9]+(?:[.,][0-9]+)*")
+
+
+def _core(line: str) -> str:
+    """A line without heading marks, leading number and closing code."""
+    if line[:1] in _MAY_LEAD:
+        line = _LEADING.sub("", line)
+    return _CODE_END.sub("", line) if line.rstrip()[-1:] in _CODE_LAST else line
+
+
 def _core_shape(core: str | None) -> str | None:
     """The shape of a line without heading marks, leading number and closing code, with other numbers as one sign."""
-    return None if core is None else skeleton(re.sub(r"[0-9]+(?:[.,][0-9]+)*", "#", _CODE_END.sub("", _LEADING.sub("", core))))
+    if core is None:
+        return None
+    core = _core(core)
+    return skeleton(_FIGURES.sub("#", core) if _DIGIT.search(core) else core)
 
 
+_NO_HEADER = re.compile("[.。，,;；:：#{}0-9]")
 #: Marks that a header of the corpus or of a document does not have.
 _SENTENCE_MARKS = re.compile("[.。，,;；:：#{}|]")
 
@@ -824,7 +849,8 @@ def found(records: DataFrame, publishers: list[str], made: dict | None = None) -
 
     ``publishers`` are names that may stand in headers, from a table of fixed size; ``made`` are the ``tables`` of the records, if they are at hand.
     """
-    lines = checkpoint(lines_of(records, made or tables(records)).distinct())
+    # lines of records delivered twice are there twice: shares are the same, pages and results are counted once
+    lines = checkpoint(lines_of(records, made or tables(records)))
     edges = lines.where("kind = 'edge'")
     keys = ["tab", "document_id", "page_number", "part_no", "line_no"]
 
@@ -850,20 +876,22 @@ def found(records: DataFrame, publishers: list[str], made: dict | None = None) -
     titles = edges.where("role = 'title' AND shape IS NOT NULL").select("document_id", "shape", F.lit(True).alias("is_title"), F.lit(None).cast("boolean").alias("is_own"))
     titles = titles.unionByName(own.withColumn("is_title", F.lit(None).cast("boolean"))).groupBy("document_id", "shape").agg(F.max("is_title").alias("is_title"), F.max("is_own").alias("is_own"))
     marked = edges.where("edge OR tab <> 'native_text_pages' OR role = 'title'").join(titles, ["document_id", "shape"], "left").join(repeated.withColumn("is_header", F.lit(True)), "shape", "left")
+    marked = marked.withColumn("may_be", F.col("shape").isNull() | (F.col("role") == "marked") | known | F.col("is_header").isNotNull() | F.col("is_own").isNotNull())
+    marked = checkpoint(marked.where("is_title OR may_be"))  # read twice
 
     # a title on the first page is the heading, unless it is there twice: then the one at the foot, or else the first, is the header
     page = Window.partitionBy("tab", "document_id", "page_number", "part_no")
     place = Window.partitionBy("tab", "document_id", "page_number").orderBy("part_no", "line_no")
-    shown = marked.where("is_title").withColumn("times", F.count("*").over(Window.partitionBy("tab", "document_id", "page_number")))
+    shown = marked.where("is_title").distinct().withColumn("times", F.count("*").over(Window.partitionBy("tab", "document_id", "page_number")))
     shown = shown.withColumn("nth", F.row_number().over(place)).withColumn("foot", F.max(F.expr("role = 'line'")).over(page))
     heading = F.expr(
         "CASE WHEN numbered THEN false WHEN tab = 'parsed_documents' THEN role = 'title' WHEN page_number > 1 THEN role = 'title' AND tab = 'run_pages' "
         "WHEN tab = 'run_pages' THEN role = 'title' OR (times = 1 AND role <> 'marked') WHEN times = 1 THEN true WHEN foot THEN role <> 'line' ELSE nth = 2 END"
     )
     again = shown.where(F.col("edge") | (F.col("tab") != "native_text_pages")).where(~heading).select(*keys)
-    plain = marked.where("edge AND role <> 'heading'").where(F.col("shape").isNull() | (F.col("role") == "marked") | known | F.col("is_header").isNotNull() | F.col("is_own").isNotNull()).where("is_title IS NULL OR role = 'marked'").select(*keys)
+    plain = marked.where("edge AND role <> 'heading' AND may_be AND (is_title IS NULL OR role = 'marked')").select(*keys)
     furniture = again.unionByName(plain).distinct()
-    rest = lines.where("kind <> 'edge'").select(*keys, "kind").join(furniture, keys, "left_anti")
+    rest = lines.where("kind <> 'edge'").select(*keys, "kind").join(furniture, keys, "left_anti").distinct()
     return furniture.withColumn("kind", F.lit("furniture")).unionByName(rest)
 
 
