@@ -110,6 +110,23 @@ def p8_shares(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repaired, p3_found, p3_classes, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
 
+#: Windows of 200 characters that occur in several documents, joined where they overlap or touch.
+_SPANS = """
+WITH d AS (SELECT doc_id, text FROM documents WHERE length(text) >= 200),
+w AS (SELECT doc_id, CAST(i AS BIGINT) AS i, substr(text, CAST(i + 1 AS BIGINT), 200) AS s FROM (SELECT doc_id, text, unnest(range(0, length(text) - 199)) AS i FROM d) x),
+k AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+p AS (SELECT DISTINCT doc_id, i FROM w SEMI JOIN k USING (s)),
+n AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS begins FROM p),
+g AS (SELECT doc_id, i, sum(begins) OVER (PARTITION BY doc_id ORDER BY i) AS no FROM n)
+SELECT doc_id, min(i) AS span_start, max(i) + 200 AS span_end FROM g GROUP BY doc_id, no
+"""
+
 SQL = {
+    "p8_found": _SPANS,
+    "p8_shares": f"""
+WITH s AS (SELECT doc_id, CAST(sum(span_end - span_start) AS BIGINT) AS shared_chars FROM ({_SPANS}) f GROUP BY doc_id)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, coalesce(shared_chars, 0) AS shared_chars, coalesce(shared_chars, 0) / nullif(length(text), 0) AS share
+FROM documents LEFT JOIN s USING (doc_id)
+""",
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

@@ -8,7 +8,7 @@ doubling minima. Equal windows have equal minima, so one hash function finds eve
 
 Groups whose min-hash occurs in one record only are dropped. Of the rest, a group that occurs
 as a whole in another record is shared as a whole; of the others the windows are
-compared one by one by their hash, with two records standing for all that hold a group whole. All comparisons are aggregates (least and greatest record of a key), so no pair of
+compared one by one by 96 bits of two hashes, with two records standing for all that hold a group whole. All comparisons are aggregates (least and greatest record of a key), so no pair of
 records is ever formed, and equal keys combine before they are shuffled.
 
 Defined results: records with a null id or text, or one shorter than the span, share nothing; a span repeated inside one
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.checkpoint import checkpoint_and_release
+from quire.checkpoint import checkpoint
 from quire.partitioning import spread
 
 SPAN = 200
@@ -32,7 +32,8 @@ GRAM = 140
 #: Characters hashed at once; a longer text is hashed by itself.
 CHUNK = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15
+#: Bases of two independent hashes: 64 bits of the first and 32 of the second tell stretches apart.
+_BASE, _CHECK_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -44,20 +45,23 @@ def _mix(z: np.ndarray) -> np.ndarray:
 _state: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    if "up" not in _state or len(_state["up"]) < n:
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            p = np.full(max(n, CHUNK + 1), base, np.uint64)
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo 2^64."""
+    up, down = f"up {base}", f"down {base}"
+    if up not in _state or len(_state[up]) < n:
+        for name, factor in ((up, base), (down, pow(base, -1, 1 << 64))):
+            p = np.full(max(n, CHUNK + 1), factor, np.uint64)
             p[0] = 1
             _state[name] = np.multiply.accumulate(p)
-    return _state["up"][:n], _state["down"][:n]
+    return _state[up][:n], _state[down][:n]
 
 
-def _values() -> np.ndarray:
-    if "values" not in _state:
-        _state["values"] = _mix(np.arange(0x110000, dtype=np.uint64) * np.uint64(_BASE) + np.uint64(12345))
-    return _state["values"]
+def _values(base: int) -> np.ndarray:
+    """A random number for each character."""
+    name = f"values {base}"
+    if name not in _state:
+        _state[name] = _mix(_mix(np.arange(0x110000, dtype=np.uint64) * np.uint64(base) + np.uint64(12345)) + np.uint64(base))
+    return _state[name]
 
 
 class Hashes:
@@ -69,23 +73,33 @@ class Hashes:
         self.lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.ends = np.cumsum(self.lengths)
         self.starts = self.ends - self.lengths
-        up, self.down = _powers(self.n + 1)
-        self.sums = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(_values()[points] * up[: self.n], out=self.sums[1:])
+        self.sums, self.down = self._sums(points, _BASE)
+        self.check_sums, self.check_down = self._sums(points, _CHECK_BASE)
+
+    def _sums(self, points: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+        up, down = _powers(self.n + 1, base)
+        sums = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(_values(base)[points] * up[: self.n], out=sums[1:])
+        return sums, down
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
+    def check(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """32 more bits of the same stretches."""
+        h = _mix((self.check_sums[end] - self.check_sums[start]) * self.check_down[start] + (end - start).astype(np.uint64))
+        return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
     def grams(self, k: int) -> np.ndarray:
         return _mix((self.sums[k:] - self.sums[:-k]) * self.down[: self.n - k + 1])
 
 
 def window_groups(texts: list[str], span: int = SPAN, gram: int = GRAM):
-    """Of each maximal group of windows with one min-hash: text number, first and last window start, min-hash, hash of the covered stretch."""
+    """Of each maximal group of windows with one min-hash: text number, first and last window start, min-hash, hash of the covered stretch and its check."""
     h = Hashes(texts)
     empty = np.empty(0, np.int64)
     if h.n < span:
-        return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
+        return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64), empty.astype(np.int32)
     width = span - gram + 1
     m, reach = h.grams(gram), 1
     while reach * 2 <= width:
@@ -104,7 +118,7 @@ def window_groups(texts: list[str], span: int = SPAN, gram: int = GRAM):
     at = np.flatnonzero(begins & inside)
     text = np.searchsorted(h.ends, at, side="right")
     last = np.minimum(np.append(at[1:], len(m)) - 1, h.ends[text] - span)
-    return text, at - h.starts[text], last - h.starts[text], m[at], h.of(at, last + span)
+    return text, at - h.starts[text], last - h.starts[text], m[at], h.of(at, last + span), h.check(at, last + span)
 
 
 def _chunks(ids: list, texts: list, *more: list) -> Iterator[tuple]:
@@ -120,20 +134,20 @@ def _chunks(ids: list, texts: list, *more: list) -> Iterator[tuple]:
 
 
 def groups(documents: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """``doc_id, first, last, h, whole``: the window groups of all records."""
+    """``doc_id, first, last, h, whole, checked``: the window groups of all records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ids, texts in _chunks(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                text, first, last, h, whole = window_groups(texts, span, gram)
+                text, first, last, h, whole, checked = window_groups(texts, span, gram)
                 doc = np.array(ids, np.int64)[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(whole.view(np.int64))],
-                    ["doc_id", "first", "last", "h", "whole"],
+                    [pa.array(doc), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(checked)],
+                    ["doc_id", "first", "last", "h", "whole", "checked"],
                 )
 
     rows = documents.select("doc_id", "text").where(f"doc_id IS NOT NULL AND length(text) >= {span}")
-    return spread(rows).mapInArrow(run, "doc_id BIGINT, first INT, last INT, h BIGINT, whole BIGINT")
+    return spread(rows).mapInArrow(run, "doc_id BIGINT, first INT, last INT, h BIGINT, whole BIGINT, checked INT")
 
 
 def _in_several(df: DataFrame, *key: str) -> DataFrame:
@@ -142,7 +156,7 @@ def _in_several(df: DataFrame, *key: str) -> DataFrame:
 
 
 def _windows(rows: DataFrame, span: int) -> DataFrame:
-    """``doc_id, first, window``: start and hash of every window of the stretches ``parts`` of ``text``."""
+    """``doc_id, first, window, checked``: start, hash and check of every window of the stretches ``parts`` of ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,10 +168,10 @@ def _windows(rows: DataFrame, span: int) -> DataFrame:
                 at = start + np.repeat(h.starts, counts)
                 doc = np.repeat(np.array(ids, np.int64), counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc), pa.array(start.astype(np.int32)), pa.array(h.of(at, at + span).view(np.int64))], ["doc_id", "first", "window"]
+                    [pa.array(doc), pa.array(start.astype(np.int32)), pa.array(h.of(at, at + span).view(np.int64)), pa.array(h.check(at, at + span))], ["doc_id", "first", "window", "checked"]
                 )
 
-    return rows.select("doc_id", "text", "firsts", "lasts").mapInArrow(run, "doc_id BIGINT, first INT, window BIGINT")
+    return rows.select("doc_id", "text", "firsts", "lasts").mapInArrow(run, "doc_id BIGINT, first INT, window BIGINT, checked INT")
 
 
 def merged(stretches: DataFrame) -> DataFrame:
@@ -176,8 +190,8 @@ def shared_spans(documents: DataFrame, span: int = SPAN, gram: int = GRAM) -> Da
     """``doc_id, span_start, span_end``: the maximal runs of characters that lie in a stretch of at least ``span`` characters
     found verbatim in another record."""
     found = groups(documents, span, gram)
-    candidates = checkpoint_and_release(documents.sparkSession, lambda: found.join(_in_several(found, "h"), "h", "left_semi"))
-    flagged = candidates.join(_in_several(candidates, "h", "whole"), ["h", "whole"], "left")
+    candidates = checkpoint(found.join(_in_several(found, "h"), "h", "left_semi"))
+    flagged = candidates.join(_in_several(candidates, "h", "whole", "checked"), ["h", "whole", "checked"], "left")
     entire = flagged.where("a IS NOT NULL").selectExpr("doc_id", "first", f"last + {span} AS end")
     # of a group that is shared as a whole, two records stand for all where others may share a part of it
     partly = flagged.where("a IS NULL")
@@ -190,7 +204,7 @@ def shared_spans(documents: DataFrame, span: int = SPAN, gram: int = GRAM) -> Da
     )
     texts = documents.select("doc_id", "text").where(f"length(text) >= {span}")
     windows = _windows(texts.join(parts, "doc_id"), span)
-    single = windows.join(_in_several(windows, "window"), "window", "left_semi").selectExpr("doc_id", "first", f"first + {span} AS end")
+    single = windows.join(_in_several(windows, "window", "checked"), ["window", "checked"], "left_semi").selectExpr("doc_id", "first", f"first + {span} AS end")
     return merged(entire.unionByName(single))
 
 

@@ -67,7 +67,7 @@ def test_long_text(spark):
 def test_groups_are_the_wide_nodes_of_the_cartesian_tree():
     rng = random.Random(2)
     text = "".join(rng.choices("abcdef", k=400))
-    _, first, last, h, _ = spans.window_groups([text], span=40, gram=20)
+    _, first, last, h, _, _ = spans.window_groups([text], span=40, gram=20)
     grams = spans.Hashes([text]).grams(20)
     width = 21
     want = [(int(grams[i : i + width].argmin()) + i) for i in range(len(text) - 39)]
