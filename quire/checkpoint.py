@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,16 +27,3 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     _ensure_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def checkpoint_and_release(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
-    """``checkpoint`` of what ``make`` returns, after which the shuffle files behind it are given up, not only when the driver happens to collect garbage.
-
-    They go once nothing refers to the plan that wrote them, which is why the plan is made here.
-    """
-    written = checkpoint(make())
-    for _ in range(3):  # listeners may hold the plan a little longer
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.4)
-    return written
