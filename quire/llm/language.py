@@ -18,6 +18,7 @@ language; ties go to the language first in alphabetical order; rows delivered tw
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -31,9 +32,13 @@ from quire.llm.lookalikes import one_form
 from quire.partitioning import spread
 
 LONGEST = 4
-#: Landmarks of each language.
+#: Landmarks of each language at most, drawn by the hash of their text; samples beyond these are fitted, but are no landmarks.
 LANDMARKS = 20
+#: Characters that the samples may hold.
+MOST_CHARACTERS = (1 << 15) - 1
 RIDGE = 1e-3
+#: Labelled samples that are fitted at most.
+MOST_SAMPLES = 20_000
 #: Stretches scored by one product.
 BATCH = 256
 #: A longer text is scored by stretches of so many characters at most, as the presence of n-grams saturates.
@@ -90,12 +95,14 @@ class Model:
     """Weights of each n-gram for each language."""
 
     def __init__(self, samples: list[tuple[str, str]]):
-        samples = sorted({(lang, one_form(text)) for lang, text in samples if lang and text})
+        samples = sorted({(lang, one_form(text)) for lang, text in samples if lang and text}, key=lambda x: (x[0], hashlib.blake2b(x[1].encode("utf-8", "surrogatepass")).digest()))
         self.languages = sorted({lang for lang, _ in samples})
         points = [_points(f" {t} ") for _, t in samples]
         alphabet = np.unique(np.concatenate(points)) if points else np.empty(0, np.uint32)
-        self.ids = np.zeros(0x110000, np.uint64)
-        self.ids[alphabet] = np.arange(1, len(alphabet) + 1)
+        if len(alphabet) > MOST_CHARACTERS:
+            raise ValueError(f"the samples hold more than {MOST_CHARACTERS} different characters")
+        self.alphabet = alphabet
+        self._index_characters()
         sets = [self._grams(p) for p in points]
         taken: dict[str, int] = {}
         landmarks = []
@@ -105,13 +112,9 @@ class Model:
                 landmarks.append(i)
         keys, seen = np.unique(np.concatenate([sets[i] for i in landmarks]), return_counts=True) if landmarks else (np.empty(0, np.uint64), np.empty(0, int))
         keys = keys[seen >= 2]
-        slot = self._slot(keys)
-        _, first = np.unique(slot, return_index=True)  # of two n-grams in one slot the first is kept
-        keys = keys[np.sort(first)]
         self.size = len(keys)
-        self.slots = np.full(1 << _SLOTS, -1, np.int32)
-        self.slots[self._slot(keys)] = np.arange(self.size)
         self.keys = keys
+        self._index_keys()
         rows = np.zeros((len(samples), self.size), np.float32)
         for i, s in enumerate(sets):
             rows[i, np.searchsorted(keys, s[np.isin(s, keys)])] = 1
@@ -129,6 +132,27 @@ class Model:
         solve = np.linalg.solve(phi.T @ phi + RIDGE * np.eye(phi.shape[1]), phi.T @ target)
         self.weights = np.hstack([marks.T @ (whiten @ solve), np.ones((self.size, 1))]).astype(np.float32)
 
+    def _index_characters(self) -> None:
+        self.ids = np.zeros(0x110000, np.uint64)
+        self.ids[self.alphabet] = np.arange(1, len(self.alphabet) + 1)
+
+    def _index_keys(self) -> None:
+        """A table of slots; n-grams that meet another one in their slot are looked up by bisection."""
+        slot = self._slot(self.keys)
+        _, first = np.unique(slot, return_index=True)
+        self.slots = np.full(1 << _SLOTS, -1, np.int32)
+        self.slots[slot[first]] = first
+        self.others = np.setdiff1d(np.arange(self.size), first)  # in the order of their keys, as these are sorted
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("ids", "slots", "others")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        if hasattr(self, "keys"):
+            self._index_characters()
+            self._index_keys()
+
     def _spans(self, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each n: the keys of the n-grams from every place, and where all their characters are known."""
         c = self.ids[points]
@@ -137,7 +161,7 @@ class Model:
             if n > 1:
                 if len(c) < n:
                     return
-                key = (key[:-1] << np.uint64(13)) | c[n - 1 :]
+                key = (key[:-1] << np.uint64(15)) | c[n - 1 :]
                 ok = ok[:-1] & (c[n - 1 :] > 0)
             yield key | np.uint64(n) << np.uint64(60), ok
 
@@ -160,8 +184,13 @@ class Model:
         for key, ok in self._spans(joined):
             at = self.slots[self._slot(key)]
             hit = np.flatnonzero(ok & (at >= 0))
-            hit = hit[self.keys[at[hit]] == key[hit]]
+            same = self.keys[at[hit]] == key[hit]
+            missed, hit = hit[~same], hit[same]
             present[owner[hit], at[hit]] = 1
+            if len(self.others) and len(missed):
+                place = np.minimum(np.searchsorted(self.keys[self.others], key[missed]), len(self.others) - 1)
+                good = self.keys[self.others[place]] == key[missed]
+                present[owner[missed[good]], self.others[place[good]]] = 1
         product = present @ self.weights
         known = product[:, -1]
         return product[:, :-1] / np.sqrt(np.maximum(known, 1))[:, None], known
@@ -234,17 +263,18 @@ def languages_of(contents: list[str], model: Model, restorer: encoding.Restorer)
 def paragraphs(contracts: DataFrame, samples: DataFrame) -> DataFrame:
     """``document_id, label, main, para_no, lang, confidence`` of ``contracts`` (``document_id, label, text``): number 0 is the whole content.
 
-    ``samples`` (``lang, text``) are the sure examples, a table of fixed size.
+    ``samples`` (``lang, text``) are the sure examples, of which ``MOST_SAMPLES`` at most are fitted, drawn by their hash.
     """
     session = contracts.sparkSession
-    examples = [(r[0], r[1]) for r in samples.select("lang", "text").collect()]
-    shared = session.sparkContext.broadcast((examples, encoding.unit_costs(encoding.count_units(contracts))))
+    rows = samples.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL").distinct().orderBy(F.xxhash64("lang", "text"), "lang", "text").limit(MOST_SAMPLES)
+    model = Model([(r[0], r[1]) for r in rows.collect()])  # fitted once; the workers get its weights
+    shared = session.sparkContext.broadcast((model, encoding.unit_costs(encoding.count_units(contracts))))
     made: list = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
-            pairs, costs = shared.value
-            made.extend((Model(pairs), encoding.Restorer(costs)))
+            model, costs = shared.value
+            made.extend((model, encoding.Restorer(costs)))
         for whole in batches:
             for start in range(0, len(whole), 100):
                 b = whole.slice(start, 100)

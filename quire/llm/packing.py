@@ -2,11 +2,11 @@
 
 Variable-capacity best fit over the histogram of sizes. Sizes are whole and at most the largest
 capacity, so the histogram has at most that many entries whatever the number of items, and equal items
-and equal bins are placed as one. Sizes are taken in falling order; each goes to the open bin it fills
-best, and where none has room a bin of the capacity that costs least is opened. Which capacity that is
-depends on all items, so several opening rules are carried through and the cheapest plan is kept: for each permitted capacity, that
-one wherever it holds the item, else the smallest that does; and for each size the capacity that costs least for an item of it. These are
-not all rules there could be. At the end each bin is downsized to the smallest capacity that holds its contents. Items are then
+and equal bins are placed as one. Sizes are taken in falling order. At every opening all permitted capacities are weighed: each is filled
+with the largest items left that fit, and the one that costs least, thus leaves the least share of itself unused, is opened, as often as the
+items last. At the end each bin is downsized to the smallest capacity that holds its contents. Plain best fit with one
+capacity preferred throughout is planned beside it, and the cheapest plan is kept; no plan can take less than the sum of all sizes, and
+``gap`` tells by how much the plan exceeds it. Items are then
 matched with the plan's slots by their rank among the items of their size, found by a two-step count in which
 no group of equal sizes is held by one task.
 
@@ -27,8 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parts into which the items of one size are ranked apart.
-RANK_PARTS = 64
+#: Parts into which the items of one size are ranked apart at least, and pieces of a part at most if all items have one size.
+RANK_PARTS, PART_PIECES = 64, 500_000
 
 
 @dataclass
@@ -81,14 +81,45 @@ def best_fit(histogram: dict[int, int], opening: dict[int, int]) -> list[Bins]:
     return closed + [b for r in rooms for b in by_room[r]]
 
 
+def least_cost(histogram: dict[int, int], capacities: list[int]) -> list[Bins]:
+    """Bins opened one kind after another, each of the capacity that leaves the least share unused when it is filled with the largest items left that fit."""
+    left = dict(histogram)
+    sizes = sorted(left)  # those of which items are left
+    bins: list[Bins] = []
+    while sizes:
+        largest = sizes[-1]
+        best: tuple[float, int, list[tuple[int, int]]] | None = None
+        for capacity in capacities:
+            if capacity < largest:
+                continue
+            room, contents, at = capacity, [], len(sizes) - 1
+            while at >= 0:
+                size = sizes[at]
+                each = min(room // size, left[size])
+                if each:
+                    contents.append((size, each))
+                    room -= size * each
+                at = min(at, bisect.bisect_right(sizes, room)) - 1
+            unused = room / capacity
+            if best is None or (unused, -capacity) < (best[0], -best[1]):
+                best = unused, capacity, contents
+        _, capacity, contents = best
+        count = min(left[size] // each for size, each in contents)
+        bins.append(Bins(capacity, count, contents))
+        for size, each in contents:
+            left[size] -= each * count
+            if not left[size]:
+                sizes.pop(bisect.bisect_left(sizes, size))
+    return bins
+
+
 def plan(histogram: dict[int, int], capacities: list[int]) -> tuple[list[Bins], list[int]]:
-    """The cheapest plan over the opening rules, and each group's capacity after downsizing."""
+    """The cheapest plan, and each group's capacity after downsizing."""
     capacities = sorted(set(capacities))
     best: tuple[int, list[Bins], list[int]] | None = None
-    rules = [{s: preferred if s <= preferred else capacities[bisect.bisect_left(capacities, s)] for s in histogram} for preferred in capacities]
-    rules.append({s: min((c for c in capacities if c >= s), key=lambda c: (c / (c // s), c)) for s in histogram})  # by the cost of an item
-    for opening in rules:
-        bins = [b for b in best_fit(histogram, opening) if b.contents]
+    openings = [{s: preferred if s <= preferred else capacities[bisect.bisect_left(capacities, s)] for s in histogram} for preferred in capacities]
+    for bins in (least_cost(histogram, capacities), *(best_fit(histogram, x) for x in openings)):
+        bins = [b for b in bins if b.contents]
         fitted = [capacities[bisect.bisect_left(capacities, b.used)] for b in bins]
         cost = sum(c * b.count for c, b in zip(fitted, bins))
         if best is None or cost < best[0]:
@@ -96,6 +127,12 @@ def plan(histogram: dict[int, int], capacities: list[int]) -> tuple[list[Bins],
     return (best[1], best[2]) if best else ([], [])
 
 
+def gap(histogram: dict[int, int], bins: list[Bins], fitted: list[int]) -> float:
+    """By which share the plan's capacity exceeds the sum of all sizes, below which no plan can be."""
+    whole = sum(s * n for s, n in histogram.items())
+    return sum(c * b.count for c, b in zip(fitted, bins)) / whole - 1 if whole else 0.0
+
+
 def _slots(bins: list[Bins], fitted: list[int]) -> tuple[np.ndarray, ...]:
     """By size, then rank: size, first rank, items per bin, first container, capacity; and the number of containers."""
     rows, taken, first = [], {}, 0
@@ -111,20 +148,21 @@ def _slots(bins: list[Bins], fitted: list[int]) -> tuple[np.ndarray, ...]:
 def fill(sizes: DataFrame, capacities: list[int], key: str = "doc_id", size: str = "tokens") -> DataFrame:
     """``key, piece_no, tokens, container_id, capacity``: the pieces of all items with their containers.
 
-    ``sizes`` is read three times; pass a written or checkpointed table.
+    ``sizes`` is read four times; pass a written or checkpointed table.
     """
     largest = max(capacities)
     items = sizes.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("tokens")).selectExpr(
         "doc_id",
         f"posexplode(transform(sequence(0, greatest(0, (tokens - 1) div {largest})), i -> least({largest}, tokens - i * {largest}))) AS (piece_no, tokens)",
     )
-    items = items.withColumn("part", F.expr(f"pmod(xxhash64(doc_id, piece_no), {RANK_PARTS})"))
+    parts = max(RANK_PARTS, -(-(items.agg(F.count("*")).collect()[0][0]) // PART_PIECES))
+    items = items.withColumn("part", F.expr(f"pmod(xxhash64(doc_id, piece_no), {parts})"))
     counts = items.groupBy("tokens", "part").count()
     counted = {r["tokens"]: r["n"] for r in counts.groupBy("tokens").agg(F.sum("count").alias("n")).collect()}  # as many as the largest capacity at most
     counted.pop(0, None)
     bins, fitted = plan(counted, capacities)
     of_size, of_rank, each, first, capacity, containers = _slots(bins, fitted)
-    slot_size = of_size * (1 << 40) + of_rank
+    shared = sizes.sparkSession.sparkContext.broadcast((of_size * (1 << 40) + of_rank, of_rank, each, first, capacity, containers))  # slots of at most as many sizes as the largest capacity
 
     before = Window.partitionBy("tokens").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("tokens", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
@@ -133,6 +171,7 @@ def fill(sizes: DataFrame, capacities: list[int], key: str = "doc_id", size: str
     ranked = ranked.select("doc_id", "piece_no", "tokens", (F.col("rank") + F.col("before")).cast("long").alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot_size, of_rank, each, first, capacity, containers = shared.value
         for b in batches:
             doc, tokens, rank = (pc.fill_null(b.column(i), 0).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 2, 3))
             if len(slot_size):

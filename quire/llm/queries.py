@@ -99,6 +99,12 @@ def p7_use(spark, sf_dir):
     )
 
 
+def p7_gap(spark, sf_dir):
+    """Tokens, the capacity that holds them, and by which share it exceeds them; no filling can have less capacity than tokens."""
+    whole = p7_use(spark, sf_dir).agg(F.sum("used_tokens").alias("tokens"), F.sum(F.col("used_tokens") + F.col("unused_tokens")).alias("capacity_tokens"))
+    return whole.withColumn("gap", F.col("capacity_tokens") / F.col("tokens") - 1)
+
+
 def p8_found(spark, sf_dir):
     return spans.shared_spans(table(spark, sf_dir, "documents"))
 
@@ -108,7 +114,7 @@ def p8_shares(spark, sf_dir):
     return spans.shares(documents, spans.shared_spans(documents))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repaired, p3_found, p3_classes, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repaired, p3_found, p3_classes, p3_forms, p5_found, p5_languages, p6_ids, p6_decoded, p7_containers, p7_use, p7_gap, p8_found, p8_shares)}
 
 #: Windows of 200 characters that occur in several documents, joined where they overlap or touch.
 _SPANS = """

@@ -15,6 +15,7 @@ blanks; strings that look like special tokens are ordinary text; repeated rows s
 from __future__ import annotations
 
 import base64
+import hashlib
 import itertools
 from collections.abc import Iterator
 
@@ -33,6 +34,8 @@ SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 
 #: Words kept with their ids per worker; when full, the store is emptied and filled anew.
 WORD_STORE = 400_000
+#: Answers of the automaton kept per worker; when full, they are forgotten.
+ANSWER_STORE = 2_000_000
 #: Longer words are encoded each time.
 WORD_LENGTH = 200
 
@@ -90,6 +93,8 @@ class MergeAutomaton:
         key = (lineage, time, token)
         known = self._known.get(key)
         if known is None:
+            if len(self._known) >= ANSWER_STORE:
+                self._known.clear()
             known = self._known[key] = self._find(lineage, time, token)
         return known
 
@@ -157,18 +162,28 @@ class _Words(dict):
         return ids
 
 
-_loaded: dict[str, tuple] = {}
+_loaded: dict[bytes, tuple] = {}
 
 
-def load(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> tuple[MergeAutomaton, _Words, regex.Pattern]:
-    """The compiled automaton, its word store and the split pattern; compiled once in each Python worker."""
-    path = f"{folder}/{vocabulary}"
-    if path not in _loaded:
-        with open(path, "rb") as f:
-            ranks = sorted((int(b), base64.b64decode(a)) for a, b in map(bytes.split, f))
+def read_vocabulary(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> bytes:
+    """The vocabulary file, which the driver alone needs to have."""
+    with open(f"{folder}/{vocabulary}", "rb") as f:
+        return f.read()
+
+
+def compiled(content: bytes) -> tuple[MergeAutomaton, _Words, regex.Pattern]:
+    """The automaton of a vocabulary file, its word store and the split pattern; compiled once in each Python worker."""
+    key = hashlib.blake2b(content).digest()
+    if key not in _loaded:
+        ranks = sorted((int(b), base64.b64decode(a)) for a, b in map(bytes.split, content.splitlines()))
         automaton = MergeAutomaton([x for _, x in ranks])
-        _loaded[path] = automaton, _Words(automaton), regex.compile(SPLIT_PATTERN)
-    return _loaded[path]
+        _loaded[key] = automaton, _Words(automaton), regex.compile(SPLIT_PATTERN)
+    return _loaded[key]
+
+
+def load(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> tuple[MergeAutomaton, _Words, regex.Pattern]:
+    """``compiled`` of a file at hand."""
+    return compiled(read_vocabulary(folder, vocabulary))
 
 
 def _ids(text: str | None, words: _Words, split: regex.Pattern) -> np.ndarray:
@@ -179,9 +194,10 @@ def _ids(text: str | None, words: _Words, split: regex.Pattern) -> np.ndarray:
 
 def encode(documents: DataFrame, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, ids``: the token ids of each text."""
+    shared = documents.sparkSession.sparkContext.broadcast(read_vocabulary(folder, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, words, split = load(folder, vocabulary)
+        _, words, split = compiled(shared.value)
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
@@ -197,9 +213,10 @@ def encode(documents: DataFrame, folder: str = TOKENIZERS, vocabulary: str = VOC
 
 def sizes(documents: DataFrame, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, tokens``: the number of token ids of each text."""
+    shared = documents.sparkSession.sparkContext.broadcast(read_vocabulary(folder, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, words, split = load(folder, vocabulary)
+        _, words, split = compiled(shared.value)
         get = words.__getitem__
         for batch in batches:
             counts = [sum(map(len, map(get, split.findall(t)))) if t else 0 for t in batch.column(1).to_pylist()]
@@ -210,9 +227,10 @@ def sizes(documents: DataFrame, folder: str = TOKENIZERS, vocabulary: str = VOCA
 
 def decode(encoded: DataFrame, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, text`` of ``doc_id, ids``; a null list stays null, an empty one gives the empty text."""
+    shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(folder, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, _, _ = load(folder, vocabulary)
+        automaton, _, _ = compiled(shared.value)
         for batch in batches:
             texts = [None if x is None else automaton.decode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])

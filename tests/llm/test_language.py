@@ -68,3 +68,29 @@ def test_long_paragraphs_count_as_short_ones_do(samples):
         assert [x for x, _ in alone] == [lang, lang]
         assert [x for x, _ in mixed] == [lang, lang, other, other]
         assert (within[0][0], within[-1][0]) == (other, lang)
+
+
+def test_a_model_is_the_same_after_being_sent(spark):
+    import pickle
+
+    import numpy as np
+
+    from quire.llm.language import Model
+
+    samples = [("en", "the pump was closed and the station was read"), ("de", "die Pumpe wurde geschlossen und die Anlage abgelesen"), ("en", "and the other station was open"), ("de", "und die andere Anlage war offen")]
+    model = Model(samples)
+    sent = pickle.loads(pickle.dumps(model))
+    texts = ["the station", "die Anlage", "", "xyz"]
+    assert all(np.allclose(a, b) for a, b in zip(model.scores(texts), sent.scores(texts)))
+
+
+def test_ngrams_that_meet_in_a_slot_are_kept(monkeypatch):
+    import numpy as np
+
+    from quire.llm import language
+
+    samples = [("en", "the pump was closed and the station was read"), ("de", "die Pumpe wurde geschlossen und die Anlage abgelesen"), ("en", "and the other station was open"), ("de", "und die andere Anlage war offen")]
+    texts = ["the station was", "die Anlage wurde", "x"]
+    wide = language.Model(samples).scores(texts)
+    monkeypatch.setattr(language, "_SLOTS", 4)
+    assert all(np.allclose(a, b) for a, b in zip(wide, language.Model(samples).scores(texts)))

@@ -69,3 +69,16 @@ def test_one_size_holds_a_third(spark):
 def test_bins_are_opened_by_the_cost_of_an_item():
     bins, fitted = packing.plan({6: 1, 5: 2, 3: 2}, [6, 10])  # one preferred capacity gives 24 or 26
     assert sum(c * b.count for c, b in zip(fitted, bins)) == 22
+
+
+def test_each_opening_weighs_all_capacities():
+    histogram = {300: 50, 700: 40, 212: 60, 1848: 10, 100: 30, 12: 200}
+    bins, fitted = packing.plan(histogram, [512, 2048, 8192])
+    placed: dict = {}
+    for b in bins:
+        assert b.used <= b.room
+        for size, each in b.contents:
+            placed[size] = placed.get(size, 0) + each * b.count
+    assert placed == histogram and packing.gap(histogram, bins, fitted) < 0.02
+    assert packing.gap({512: 7, 2048: 3}, *packing.plan({512: 7, 2048: 3}, [512, 2048])) == 0
+    assert packing.plan({}, [512]) == ([], []) and packing.gap({}, [], []) == 0
