@@ -20,10 +20,21 @@ def _ensure_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+#: Lets Spark delete the shuffle files of a query when it ends.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it from there, so that a lost executor costs no recomputation.
 
-    ``df`` without rows stays without rows; the schema is kept, nulls included.
+    The shuffle files behind it, which nothing reads again, go when it is written. ``df`` without rows stays without rows; the schema is
+    kept, nulls included.
     """
     _ensure_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN_UP, "false")
+    conf.set(_CLEAN_UP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, which is run with this setting
+    finally:
+        conf.set(_CLEAN_UP, before)
