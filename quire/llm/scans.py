@@ -129,16 +129,15 @@ def is_page_number(text: str) -> bool:
 
 # Shapes of two letters with the one they are like.
 _SKELETON = (("rn", "m"), ("nn", "m"), ("cl", "d"), ("li", "h"), ("ii", "u"), ("vv", "w"), ("ri", "n"), ("ti", "ü"))
-_SHAPES = str.maketrans("ec il1!|oa0s5tf7g9qb68", "cc" + "_" + "lllll" + "ooo" + "ss" + "ttt" + "ggg" + "bbb")
-_GAPS = re.compile(r"[\s_]+")
+_SHAPES = bytes.maketrans(b"ecil1!|oa0s5tf7g9qb68", b"cc" + b"lllll" + b"ooo" + b"ss" + b"ttt" + b"ggg" + b"bbb")
 
 
 def skeleton(text: str) -> str:
     """What is left of a line in its consistent form when confusable shapes are taken as one."""
-    t = _close(text).strip().lower()
+    t = "_".join(_close(text).lower().replace("_", " ").split())
     for two, one in _SKELETON:
         t = t.replace(two, one)
-    return _GAPS.sub("_", t.translate(_SHAPES))
+    return t.encode("utf-8", "surrogatepass").translate(_SHAPES).decode("utf-8", "surrogatepass")  # signs of one byte only
 
 
 def _case(word: str, like: str) -> str:
@@ -534,20 +533,20 @@ class Reader:
 
     def _strange(self, chars: str) -> list[int]:
         """Places of characters that no known triple holds, among neighbours whose triples are known, where the context is filled by another."""
-        triples = self.triples
-        known = bytes([chars[i : i + 3] in triples for i in range(len(chars) - 2)])
-        out = []
-        at = known.find(b"\0\0\0")
-        while at >= 0:
-            end = at + 3
-            while end < len(known) and not known[end]:
-                end += 1
-            if end == at + 3:
-                k = at + 2
-                usual = self.usual.get(chars[k - 1] + chars[k + 1])
-                if usual and usual != chars[k] and _HAN.match(chars[k]):
-                    out.append(k)
-            at = known.find(b"\0\0\0", end)
+        triples, n = self.triples, len(chars) - 2
+        out, passed = [], -1
+        for i in range(0, n, 3):  # three unknown triples in a row hold one of these places
+            if chars[i : i + 3] in triples or i <= passed:
+                continue
+            begin, passed = i, i
+            while begin and chars[begin - 1 : begin + 2] not in triples:
+                begin -= 1
+            while passed + 1 < n and chars[passed + 1 : passed + 4] not in triples:
+                passed += 1
+            if passed == begin + 2:
+                usual = self.usual.get(chars[begin + 1] + chars[begin + 3])
+                if usual and usual != chars[passed] and _HAN.match(chars[passed]):
+                    out.append(passed)
         return out
 
     def _read_characters(self, lines: list[str], misread: set[int]) -> None:
