@@ -101,5 +101,5 @@ def binding_problems(bindings: DataFrame) -> DataFrame:
 
 def latest(rows: DataFrame, *keys: str, by: str) -> DataFrame:
     """One row per key: the one with the greatest ``by``; of equal ones the least row by its other columns."""
-    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(by), F.xxhash64(*[c for c in rows.columns if c not in keys and c != by]))
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(by), *[c for c in rows.columns if c not in keys and c != by])
     return rows.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")

@@ -264,3 +264,75 @@ def test_footnotes_follow_captions(spark):
     items = spark.createDataFrame([("d", "table", ["T1", " "], ["n1", None, "n2"]), ("d", "text", ["x"], ["y"]), ("d", "image", None, None)], "document_id STRING, kind STRING, captions ARRAY<STRING>, footnotes ARRAY<STRING>")
     got = [(r["row_no"], r["label"], r["caption"]) for r in contract.with_captions(items).collect()]
     assert got == [(0, "table", None), (1, "table_title", "T1"), (2, "caption", "n1"), (3, "caption", "n2"), (0, "other", None), (0, "image", None)]
+
+
+def test_pages_before_a_failure_are_kept(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"a")
+
+    class Stream:
+        def parse(self, name, content, options):
+            yield "page 1"
+            yield "page 2"
+            raise RuntimeError("page 3 is broken")
+
+    class Nothing:
+        def parse(self, name, content, options):
+            return packages.Attempt("succeeded", page_count=0)
+
+    class Rich:
+        def parse(self, name, content, options):
+            return packages.Attempt("succeeded", ["p"], texts=["t", None], images=[b"i", None], page_count=2)
+
+    attempts = packages.parse(packages.documents(spark, str(tmp_path)), [("stream", Stream), ("nothing", Nothing), ("rich", Rich)])
+    rows = attempts.orderBy("attempt_no").collect()
+    assert [(r["status"], r["pages"], r["page_count"]) for r in rows] == [("partial", ["page 1", "page 2"], None), ("failed", [], None), ("succeeded", ["p"], 2)]
+    assert [(r["page_number"], r["text"]) for r in packages.native_texts(attempts).collect()] == [(1, "t")]
+    assert [(r["page_number"], bytes(r["image"]), r["scale"]) for r in packages.page_images(attempts).collect()] == [(1, b"i", 2.0)]
+    with pytest.raises(ValueError):
+        packages.page_images(attempts, 5.0)
+
+
+def test_json_files_are_read_strictly(spark, tmp_path):
+    for name, text in (("good", b'{"a": 1}'), ("list", b"[1]"), ("bad", b'{"a"'), ("latin", b'{"a": "\xe9"}')):
+        (tmp_path / f"{name}.json").write_bytes(text)
+    got = {r["path"].rsplit("/", 1)[1]: r["problem"] for r in packages.json_files(spark, str(tmp_path)).collect()}
+    assert got == {"good.json": None, "list.json": "no_object", "bad.json": "unreadable", "latin.json": "unreadable"}
+
+
+def test_content_packages(spark, tmp_path):
+    for name, middle, content in (
+        ("good", '{"pdf_info": [{"page_idx": 0, "page_size": [10, 20]}]}', '[{"type": "text", "text": "a", "page_idx": 0}]'),
+        ("odd", '{"pdf_info": [{"page_idx": 0, "page_size": [10, 0]}, {"page_idx": 0, "page_size": [1, 1]}]}', '[{"type": "text", "page_idx": 7}]'),
+        ("bare", None, None),
+    ):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.json").write_text("{}")
+        if middle:
+            (tmp_path / name / f"{name}_middle.json").write_text(middle)
+            (tmp_path / name / f"{name}_content_list.json").write_text(content)
+    pages, items, problems = packages.content_packages(spark, str(tmp_path))
+    assert pages.count() == 3 and items.where("text = 'a'").count() == 1
+    got = {(r["package"].rsplit("/", 1)[1], r["problem"]) for r in problems.collect()}
+    assert got == {("odd", "page_size"), ("odd", "page_index"), ("odd", "unknown_page"), ("bare", "page_files"), ("bare", "no_content_list")}
+
+
+def test_a_version_with_violations_is_not_published(spark, tmp_path):
+    df = spark.createDataFrame([("r1", 1)], "run_id STRING, n INT")
+    with pytest.raises(ValueError, match="violations"):
+        sinks.publish({"runs": df}, str(tmp_path), checks={"runs": lambda t: t.where("n < 5")})
+    with pytest.raises(FileNotFoundError):
+        sinks.published(spark, str(tmp_path), "runs")
+    sinks.publish({"runs": df}, str(tmp_path), checks={"runs": lambda t: t.where("n < 0")})
+    sinks.publish({"runs": df.withColumn("n", F.lit(2))}, str(tmp_path), replace=True)
+    assert [r["n"] for r in sinks.published(spark, str(tmp_path), "runs").collect()] == [2]
+
+
+def test_tables_as_csv_and_markdown(spark):
+    import csv
+    import io
+
+    cells = [("t", 1, 1, "a"), ("t", 1, 2, 'b "q", c'), ("t", 2, 1, None), ("t", 2, 2, "x\ny")]
+    text = sinks.table_csv(spark.createDataFrame(cells, "artifact_id STRING, row_no INT, column_no INT, cell STRING"), "artifact_id").first()["csv"]
+    assert text.startswith("﻿") and list(csv.reader(io.StringIO(text[1:]))) == [["a", 'b "q", c'], ["", "x\ny"]]
+    got = {r["document_id"]: r["problem"] for r in sinks.markdown(spark.createDataFrame([("d", "# T"), ("e", " "), ("f", None)], "document_id STRING, text STRING")).collect()}
+    assert got == {"d": None, "e": "empty_text", "f": "empty_text"}
