@@ -342,6 +342,15 @@ class Restorer:
             self._tokens[token] = out
         return out
 
+    def _explained(self, line: str) -> bool:
+        """Whether the line's unknown units are look-alike characters of known words."""
+        for token in line.split():
+            if not token.isascii() and self.measure(token)[2]:
+                form = one_form(token)
+                if self.measure(form)[2] or any(len(w) > 2 and w not in self.costs and w.lower() not in self.costs for w in _ASCII_WORD.findall(form)):
+                    return False
+        return True
+
     def suspicious(self, line: str) -> bool:
         """Whether the line holds a unit that the table lacks."""
         return self.measure(line)[2] > 0
@@ -384,7 +393,7 @@ class Restorer:
             whole &= self._decoders(c)
         if rich and (unknown or LOST in token):
             for u in units(token.replace(LOST, " ")):
-                if u not in self.costs:
+                if u not in self.costs and not (is_sign(u) and u[1] in self.characters):  # a known sign may only have got another neighbour
                     bits = 0
                     for c in u:
                         if c >= "\x80":
@@ -408,7 +417,7 @@ class Restorer:
                         spans[-1] += c if own is None else own
                     else:
                         spans.append(c if own is None else own)
-                if LOST not in token and max(sum(y >= 0x80 for y in x) for x in spans if type(x) is tuple) < 2:
+                if not any(type(x) is tuple for x in spans) or LOST not in token and max((sum(y >= 0x80 for y in x) for x in spans if type(x) is tuple), default=0) < 2:
                     continue  # a single sign beside right text is no evidence
             else:
                 continue
@@ -929,7 +938,7 @@ class Restorer:
         utf8_only = False
         if LOST not in line:
             _, _, unknown, _, rarest = self.measure(line)
-            utf8_only = rarest < RARE or not unknown or not self.suspicious(one_form(line))
+            utf8_only = rarest < RARE or not unknown or self._explained(line)
             if utf8_only:  # what it holds is known, so that only bytes of UTF-8 are evidence
                 present = self.measure(line)[0]
                 if not self._like_utf8(line) or not any(self.measure(t)[0] + GAIN_UTF8 <= present for t in self._valid_utf8(line).values()):

@@ -141,3 +141,15 @@ def test_damage_that_fills_the_corpus_is_no_evidence():
 def test_many_lost_letters_take_bounded_work(words):
     text = "�".join("abcdefgh" * 40)
     assert words.restore(text)[1] == 1
+
+
+def test_any_line_of_odd_characters_is_read(words):
+    """No mixture of scripts, signs and lost characters makes the search fail, and clean text beside it stays."""
+    import random
+
+    rng = random.Random(4)
+    pool = "aé…±“”。，：检修台账äøÃ©ïîêàçФЖ℃�\x85\xa0\x81🙂́ｶ가ﬁ 12"
+    for _ in range(400):
+        line = "".join(rng.choices(pool, k=rng.randint(1, 40)))
+        text, n = words.restore(line)
+        assert isinstance(text, str) and n in (0, 1)
