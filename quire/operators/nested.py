@@ -45,8 +45,8 @@ def _whole(number: str) -> str:
     return f"coalesce(try_cast({number} AS BIGINT), IF(try_cast({number} AS DOUBLE) = floor(try_cast({number} AS DOUBLE)), try_cast(try_cast({number} AS DOUBLE) AS BIGINT), NULL))"
 
 
-def read_pages(run_pages: DataFrame) -> DataFrame:
-    """``run_id, document_id, page_number, page``: the page record of each readable ``page_json``; others are left out.
+def parsed_pages(run_pages: DataFrame, *kept: str) -> DataFrame:
+    """``run_id, document_id, page_number``, the columns ``kept``, and ``page``, the page record of ``page_json``, null where it is unreadable.
 
     ``page`` has ``page_index, page_count, width, height, parsing_res_list`` (label, content, box, id and order of each block) and
     ``ocr_lines`` (text, score, box). Only text that is no JSON object is unreadable: a field of another type is cast if it can be, else null.
@@ -54,21 +54,22 @@ def read_pages(run_pages: DataFrame) -> DataFrame:
     raw = F.from_json(F.col("page_json"), PAGE_FIELDS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"})
     blocks = _members("raw.parsing_res_list", BLOCK_FIELDS)
     lines = _members("raw.ocr_lines", LINE_FIELDS)
-    return (
-        run_pages.select("run_id", "document_id", "page_number", raw.alias("raw"))
-        .where("raw IS NOT NULL AND raw._unreadable IS NULL")
-        .selectExpr(
-            "run_id", "document_id", "page_number",
-            f"""named_struct('page_index', {_whole("raw.page_index")}, 'page_count', {_whole("raw.page_count")},
-            'width', try_cast(raw.width AS DOUBLE), 'height', try_cast(raw.height AS DOUBLE),
-            'parsing_res_list', transform({blocks}, b -> IF(b IS NULL, NULL, named_struct('block_label', b.block_label, 'block_content', b.block_content,
-                'block_bbox', {_numbers("b.block_bbox")}, 'block_id', b.block_id, 'block_order', {_whole("b.block_order")}))),
-            'ocr_lines', transform({lines}, l -> IF(l IS NULL, NULL, named_struct('text', l.text, 'score', try_cast(l.score AS DOUBLE),
-                'bbox', {_numbers("l.bbox")})))) AS page""",
-        )
+    return run_pages.select("run_id", "document_id", "page_number", *kept, raw.alias("raw")).selectExpr(
+        "run_id", "document_id", "page_number", *kept,
+        f"""IF(raw IS NULL OR raw._unreadable IS NOT NULL, NULL, named_struct('page_index', {_whole("raw.page_index")}, 'page_count', {_whole("raw.page_count")},
+        'width', try_cast(raw.width AS DOUBLE), 'height', try_cast(raw.height AS DOUBLE),
+        'parsing_res_list', transform({blocks}, b -> IF(b IS NULL, NULL, named_struct('block_label', b.block_label, 'block_content', b.block_content,
+            'block_bbox', {_numbers("b.block_bbox")}, 'block_id', b.block_id, 'block_order', {_whole("b.block_order")}))),
+        'ocr_lines', transform({lines}, l -> IF(l IS NULL, NULL, named_struct('text', l.text, 'score', try_cast(l.score AS DOUBLE),
+            'bbox', {_numbers("l.bbox")}))))) AS page""",
     )
 
 
+def read_pages(run_pages: DataFrame) -> DataFrame:
+    """``parsed_pages`` of readable records; others are left out."""
+    return parsed_pages(run_pages).where("page IS NOT NULL")
+
+
 def elements(documents: DataFrame) -> DataFrame:
     """One row per element: ``document_id, element_no`` (from 1) and the element's own fields."""
     return documents.selectExpr(

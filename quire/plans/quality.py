@@ -149,8 +149,7 @@ def export_counts(spark, sf_dir):
 
 def page_payload_checks(spark, sf_dir):
     p = table(spark, sf_dir, "run_pages").dropDuplicates(["run_id", "page_number"])
-    page = F.from_json("page_json", nested.PAGE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"})
-    rows = p.select("run_id", "page_number", "width", "height", page.alias("page")).withColumn("page", F.expr("IF(page._unreadable IS NULL, page, NULL)"))
+    rows = nested.parsed_pages(p, "width", "height")
     return validate.page_payloads(rows)
 
 
